@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trellis.session import cut_lineage
+
 
 def global_lag(df: DataFrame, order: list[str], cols: list[str], n_ranges: int | None = None,
                prefix: str = "prev_") -> DataFrame:
@@ -21,7 +23,10 @@ def global_lag(df: DataFrame, order: list[str], cols: list[str], n_ranges: int |
     (``order`` must be a total order, e.g. end with a unique id)."""
     spark = df.sparkSession
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_rng", F.spark_partition_id())
+    # the range id must be one fixed value per row for both uses below (AQE may
+    # coalesce the range partitions differently in two plan branches), so the
+    # narrow projection is written once to the shared checkpoint folder
+    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_rng", F.spark_partition_id()))
     w = Window.partitionBy("_rng").orderBy(*order)
     inner = ranged
     for c in cols + order:

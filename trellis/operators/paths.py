@@ -261,7 +261,7 @@ def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Colu
     levels = []
     for n in range(1, max_len + 1):
         frontier = (frontier.join(e, F.col("cur") == F.col("a"))
-                    .where(~F.array_contains("rels", "rel_id"))
+                    .where(~F.array_contains(F.col("rels"), F.col("rel_id")))
                     .select("source", F.col("b").alias("cur"),
                             F.concat("nodes", F.array("b")).alias("nodes"),
                             F.concat("rels", F.array("rel_id")).alias("rels"),
