@@ -97,6 +97,9 @@ def upsert(current: DataFrame | None, rows: DataFrame, keys: list[str],
     """Core keyed upsert.  ``rows`` already holds the key columns by their
     target names.  Returns (new table, touched rows with a ``created`` flag)."""
     # input values are evaluated on the input rows; callables run after the join
+    # an ON MATCH value may also be ``(value, combine)``: ``combine(new, old)`` after the join
+    combine = {k: v[1] for k, v in on_match.items() if isinstance(v, tuple)}
+    on_match = {k: (v[0] if isinstance(v, tuple) else v) for k, v in on_match.items()}
     eager_c = {k: v for k, v in on_create.items() if isinstance(v, Column)}
     eager_m = {k: v for k, v in on_match.items() if isinstance(v, Column)}
     lazy_m = {k: v for k, v in on_match.items() if not isinstance(v, Column)}
@@ -147,6 +150,8 @@ def upsert(current: DataFrame | None, rows: DataFrame, keys: list[str],
         v = old(p)
         if p in on_match:
             mv = F.col(f"n.__m_{p}") if p in eager_m else lazy_m[p](old)
+            if p in combine:
+                mv = combine[p](mv, old(p))
             v = F.when(matched, mv).otherwise(v)
         if p in on_create:
             v = F.when(created, F.col(f"n.__c_{p}")).otherwise(v)
