@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from trellis.model import Graph
 from trellis.operators.match import edge_frame
-from trellis.session import bounded_count, cut_lineage
+from trellis.session import RoundState, bounded_count, cut_lineage, materialize_by
 
 
 def _edges(graph: Graph, rel_type, label, direction, weight: Column | None = None,
@@ -107,26 +107,30 @@ def bfs(graph: Graph, sources: DataFrame, rel_type, label: str, direction: str =
 
     Output ``source, id, depth, route`` (route = node ids, ties resolved by the
     smallest predecessor id at every step)."""
-    e = _edges(graph, rel_type, label, direction).select("a", "b").distinct()
-    frontier = sources.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("depth"),
-                              F.array(F.col("id")).alias("route"))
-    frontier = cut_lineage(frontier)
-    visited = frontier
+    e = materialize_by(_edges(graph, rel_type, label, direction).select("a", "b").distinct(), "a")
+    frontier = cut_lineage(sources.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("depth"),
+                                          F.array(F.col("id")).alias("route")))
+    # visited = union of the levels.  Every level is cut from its lineage: a level's
+    # plan refers to all earlier levels (anti join), so uncut plans grow exponentially.
+    parts = [frontier]
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
+        visited = reduce(DataFrame.unionAll, parts).select("source", "id")
         cand = (frontier.join(e, F.col("id") == F.col("a"))
                 .groupBy("source", F.col("b").alias("id"))
                 .agg(F.min(F.struct(F.col("a").alias("pred"), F.col("route"))).alias("m")))
-        new = (cand.join(visited.select("source", "id"), ["source", "id"], "left_anti")
+        new = (cand.join(visited, ["source", "id"], "left_anti")
                .select("source", "id", F.lit(depth).alias("depth"),
                        F.concat(F.col("m.route"), F.array(F.col("id"))).alias("route")))
         new = cut_lineage(new)
-        if new.isEmpty():
+        if new.count() == 0:
             break
-        visited = cut_lineage(visited.unionAll(new))
+        parts.append(new)
+        if len(parts) >= 8:
+            parts = [cut_lineage(reduce(DataFrame.unionAll, parts))]
         frontier = new
-    return visited
+    return reduce(DataFrame.unionAll, parts)
 
 
 # ---------------------------------------------------------------- weighted
@@ -139,6 +143,7 @@ def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int |
     the smallest predecessor id.  A candidate equal in key but with another
     route refreshes the route (its predecessor's route changed)."""
     rounds = 0
+    keeper = RoundState(every=4)
     key = ["dist", "hops", "pred"]
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
@@ -164,12 +169,13 @@ def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int |
             *[F.when(better, F.col(f"n.c.{k}")).otherwise(F.col(f"s.{k}")).alias(k) for k in key],
             F.when(better, F.col("n.c.route")).otherwise(F.col("s.route")).alias("route"),
             better.alias("changed"))
-        merged = cut_lineage(merged)
+        merged = keeper.keep(merged)
         changed = merged.where("changed").drop("changed")
         state = merged.drop("changed")
-        if changed.isEmpty():
+        # one job per round: fills the kept state and counts the changed labels
+        if merged.agg(F.count_if("changed")).first()[0] == 0:
             break
-    return state
+    return cut_lineage(state)
 
 
 def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column,
@@ -181,7 +187,7 @@ def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weigh
     best over paths of at most k relationships.  ``targets`` (``id``) prunes
     candidates that are already dearer than the best target reached.
     Output ``source, id, dist, hops, pred, route``."""
-    e = _edges(graph, rel_type, label, direction, weight=weight, collapse=True)
+    e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, collapse=True), "a")
     init = sources.select(F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
                           F.lit(0).alias("hops"), F.col("id").alias("pred"), F.array(F.col("id")).alias("route"))
     init = cut_lineage(init)
@@ -216,12 +222,13 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
     Every node keeps its Pareto set of ``(dist, cost)`` labels; a label
     survives when its cost is below every label ordered before it (the running
     minimum excludes the row itself).  Output: best label per (source, id)."""
-    e = _edges(graph, rel_type, label, direction, weight=weight, cost=cost)
+    e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, cost=cost), "a")
     init = sources.select(F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
                           F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("id").alias("pred"),
                           F.array(F.col("id")).alias("route"))
     state = cut_lineage(init)
     changed = state
+    keeper = RoundState(every=4)
     order = ["dist", "cost", "hops", "pred", "route"]
     # an identical label offered again sorts after the old one and is dropped
     w = Window.partitionBy("source", "id").orderBy(*order, F.col("old").desc())
@@ -238,10 +245,10 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
         kept = (both.withColumn("mc", F.min("cost").over(prior))
                 .where(F.col("mc").isNull() | (F.col("cost") < F.col("mc")))
                 .drop("mc"))
-        kept = cut_lineage(kept)
+        kept = keeper.keep(kept)
         state = kept.drop("old")
         changed = kept.where(~F.col("old")).drop("old")
-        if changed.isEmpty():
+        if kept.agg(F.count_if(~F.col("old"))).first()[0] == 0:
             break
     best = Window.partitionBy("source", "id").orderBy(*order)
     return (state.withColumn("rn", F.row_number().over(best)).where("rn = 1").drop("rn"))
@@ -253,7 +260,7 @@ def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Colu
 
     Top-k per target is done in two steps over a salt of the route so a target
     reached by a third of all trails is ranked by many tasks first."""
-    e = _edges(graph, rel_type, label, direction, weight=weight)
+    e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight), "a")
     frontier = sources.select(F.col("id").alias("source"), F.col("id").alias("cur"),
                               F.array(F.col("id")).alias("nodes"),
                               F.array().cast(f"array<{e.schema['rel_id'].dataType.simpleString()}>").alias("rels"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trellis.model import Graph
 from trellis.operators.match import top_k
-from trellis.session import cut_lineage
+from trellis.session import RoundState, cut_lineage
 
 
 def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, max_rounds: int = 20,
@@ -41,14 +41,17 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     dangling_ids = cut_lineage(nodes.join(outdeg, F.col("id") == F.col("src"), "left_anti"))
     ranks = cut_lineage(nodes.withColumn("score", F.lit(1.0 / n)))
     base = (1.0 - damping) / n
+    keeper = RoundState(every=5)
+    dangling = ranks.join(dangling_ids, "id", "left_semi").agg(F.sum("score")).first()[0] or 0.0
     for _ in range(max_rounds):
-        dangling = ranks.join(dangling_ids, "id", "left_semi").agg(F.sum("score")).first()[0] or 0.0
         contrib = (ranks.join(edges_w, F.col("id") == F.col("src"))
                    .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("inv")).alias("c")))
         new = (nodes.join(contrib, "id", "left")
                .select("id", (F.lit(base) + F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0))
                                                                + F.lit(dangling / n))).alias("score")))
-        new = cut_lineage(new)
+        new = keeper.keep(new)
+        # one job per round: it materialises the new ranks and reads the mass to hand back
+        dangling = new.join(dangling_ids, "id", "left_semi").agg(F.sum("score")).first()[0] or 0.0
         if tol is not None:
             delta = (new.alias("a").join(ranks.alias("b"), "id")
                      .agg(F.sum(F.abs(F.col("a.score") - F.col("b.score")))).first()[0])
@@ -57,7 +60,7 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
                 break
         else:
             ranks = new
-    return ranks
+    return cut_lineage(ranks)
 
 
 def page_rank_top(graph: Graph, label: str, rel_type: str, prop: str, k: int, **kw) -> DataFrame:

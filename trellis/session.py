@@ -32,6 +32,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master.startswith("local"):
+        builder = builder.config("spark.driver.memory", "8g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -67,6 +69,42 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition on ``keys`` and write once to the shared folder: a loop that
+    joins this frame on ``keys`` every round reads compact data instead of
+    recomputing its derivation."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartition(n, *keys))
+
+
+class RoundState:
+    """Lineage control for loops: ``persist`` every round, reliable checkpoint every
+    ``every`` rounds.  A lost executor recomputes at most ``every`` rounds from the
+    last checkpoint (every round is deterministic)."""
+
+    def __init__(self, every: int = 4):
+        self.every = every
+        self.n = 0
+        self._held: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        if self.n % self.every == 0:
+            out = cut_lineage(df)
+            for old in self._held:
+                old.unpersist()
+            self._held = []
+            return out
+        out = df.persist()
+        self._held.append(out)
+        return out
+
+    def release(self) -> None:
+        for old in self._held:
+            old.unpersist()
+        self._held = []
+
+
 def bounded_count(df: DataFrame, bound: int) -> int:
     """Count rows, but stop reading after ``bound + 1`` of them."""
     return df.limit(bound + 1).count()
