@@ -20,6 +20,8 @@ from trellis.model import Graph
 from trellis.session import require_small
 
 SEP = "__"
+# columns the edge view adds next to rel_id (a relationship property may not use them)
+RESERVED_EDGE_COLUMNS = {"a", "b", "type", "far_label"}
 
 
 def _node_frame(graph: Graph, var: str, labels: list[str]) -> DataFrame:
@@ -27,8 +29,8 @@ def _node_frame(graph: Graph, var: str, labels: list[str]) -> DataFrame:
     for label in labels:
         df = graph.nodes[label]
         frames.append(df.select(
-            graph.id_col(label).alias(f"{var}{SEP}id"),
-            F.lit(label).alias(f"{var}{SEP}label"),
+            graph.id_col(label).alias(f"{var}{SEP}_id"),
+            F.lit(label).alias(f"{var}{SEP}_label"),
             *[F.col(c).alias(f"{var}{SEP}{c}") for c in df.columns]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -55,6 +57,9 @@ def edge_frame(graph: Graph, rel_type: str | None, near_label: str | None,
                 continue
             if far_labels is not None and far not in far_labels:
                 continue
+            clash = RESERVED_EDGE_COLUMNS & set(df.columns)
+            if clash:
+                raise ValueError(f"relationship property names {sorted(clash)} are reserved")
             a, b = ("src", "dst") if d == "out" else ("dst", "src")
             e = df.select(F.col("rel_id"), F.col(a).alias("a"), F.col(b).alias("b"),
                           F.lit(t).alias("type"), F.lit(far).alias("far_label"),
@@ -99,11 +104,15 @@ class Match:
     # ------------------------------------------------------------ references
     def _materialize(self, var: str) -> None:
         label = self.pending.pop(var)
-        frame = _node_frame(self.graph, var, [label]).drop(f"{var}{SEP}id")
-        key = f"{var}{SEP}id"
+        frame = _node_frame(self.graph, var, [label]).drop(f"{var}{SEP}_id")
+        key = f"{var}{SEP}_id"
         self.df = self.df.join(frame.withColumn(key, self.graph.id_col(label, f"{var}{SEP}")), key, "inner")
 
     def c(self, ref: str) -> Column:
+        """``var.prop`` → property column; ``var`` → node id (or path node list);
+        ``labels(var)`` → the node's label."""
+        if ref.startswith("labels(") and ref.endswith(")"):
+            return F.col(f"{ref[7:-1]}{SEP}_label")
         if "." in ref:
             var, prop = ref.split(".", 1)
             if var in self.pending:
@@ -111,7 +120,7 @@ class Match:
             return F.col(f"{var}{SEP}{prop}")
         if ref in self.paths:
             return F.col(f"{ref}{SEP}nodes")
-        return F.col(f"{ref}{SEP}id")
+        return F.col(f"{ref}{SEP}_id")
 
     def _new(self, df, nodes=None, rels=None, paths=None, pending=None) -> Match:
         return Match(self.graph, df, nodes or self.nodes, rels or self.rels, paths or self.paths,
@@ -148,7 +157,7 @@ class Match:
         shared = [v for v in other.nodes if v in self.nodes] + [v for v in other.rels if v in self.rels]
         if not shared:
             raise ValueError("no shared variable; use bind() with a proven-small side")
-        keys = [f"{v}{SEP}{'id' if v in other.nodes else 'rel_id'}" for v in shared]
+        keys = [f"{v}{SEP}{'_id' if v in other.nodes else 'rel_id'}" for v in shared]
         drop = [c for c in other.df.columns if c in self.df.columns and c not in keys]
         df = self.df.join(other.df.drop(*drop), keys, "inner")
         return self._new(df, nodes={**self.nodes, **other.nodes}, rels={**self.rels, **other.rels})
@@ -163,7 +172,7 @@ class Match:
         e, labels = edge_frame(self.graph, rel_type, near, far_labels, direction)
         rv = rel_var or f"_r{len(self.rels)}"
         e = e.select(*[F.col(c).alias(f"{rv}{SEP}{c}") for c in e.columns])
-        df = self.df.join(e, F.col(f"{frm}{SEP}id") == F.col(f"{rv}{SEP}a"), "inner")
+        df = self.df.join(e, F.col(f"{frm}{SEP}_id") == F.col(f"{rv}{SEP}a"), "inner")
         if rel_props:
             df = df.where(_eq_filter(rv, rel_props))
         # relationship isomorphism: two relationship variables never bind the same relationship
@@ -173,10 +182,10 @@ class Match:
         nodes = dict(self.nodes)
         pending = dict(self.pending)
         if bound:
-            df = df.where(F.col(f"{node_var}{SEP}id") == F.col(f"{rv}{SEP}b"))
+            df = df.where(F.col(f"{node_var}{SEP}_id") == F.col(f"{rv}{SEP}b"))
         elif (not node_props and len(labels) == 1
               and self.graph.guaranteed(rel_type, near, labels[0], direction)):
-            df = df.withColumn(f"{node_var}{SEP}id", F.col(f"{rv}{SEP}b"))
+            df = df.withColumn(f"{node_var}{SEP}_id", F.col(f"{rv}{SEP}b"))
             nodes[node_var] = labels
             pending[node_var] = labels[0]
         else:
@@ -184,8 +193,8 @@ class Match:
             cond = _eq_filter(node_var, node_props)
             if cond is not None:
                 frame = frame.where(cond)
-            df = df.join(frame, (F.col(f"{node_var}{SEP}id") == F.col(f"{rv}{SEP}b"))
-                         & (F.col(f"{node_var}{SEP}label") == F.col(f"{rv}{SEP}far_label")), "inner")
+            df = df.join(frame, (F.col(f"{node_var}{SEP}_id") == F.col(f"{rv}{SEP}b"))
+                         & (F.col(f"{node_var}{SEP}_label") == F.col(f"{rv}{SEP}far_label")), "inner")
             nodes[node_var] = labels
         rels = dict(self.rels)
         rels[rv] = rel_type
@@ -212,17 +221,17 @@ class Match:
 
         frm = frm or self._last_node()
         near = self.nodes[frm][0] if len(self.nodes[frm]) == 1 else None
-        starts = self.df.select(F.col(f"{frm}{SEP}id").alias("start")).distinct()
+        starts = self.df.select(F.col(f"{frm}{SEP}_id").alias("start")).distinct()
         t = trails(self.graph, starts, rel_type, near, label, min_hops, max_hops, direction, carry)
         pv = path or f"_p{len(self.paths)}"
         t = t.select(F.col("start").alias(f"{pv}{SEP}start"), F.col("cur").alias(f"{pv}{SEP}end"),
                      F.col("nodes").alias(f"{pv}{SEP}nodes"), F.col("rels").alias(f"{pv}{SEP}rels"),
                      F.col("hops").alias(f"{pv}{SEP}length"),
                      *([F.col("carried").alias(f"{pv}{SEP}carried")] if carry else []))
-        df = self.df.join(t, F.col(f"{frm}{SEP}id") == F.col(f"{pv}{SEP}start"), "inner")
+        df = self.df.join(t, F.col(f"{frm}{SEP}_id") == F.col(f"{pv}{SEP}start"), "inner")
         far = [label] if label else self.nodes[frm]
         frame = _node_frame(self.graph, node_var, far)
-        df = df.join(frame, F.col(f"{node_var}{SEP}id") == F.col(f"{pv}{SEP}end"), "inner")
+        df = df.join(frame, F.col(f"{node_var}{SEP}_id") == F.col(f"{pv}{SEP}end"), "inner")
         nodes = dict(self.nodes)
         nodes[node_var] = far
         paths = dict(self.paths)

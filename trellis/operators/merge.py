@@ -196,7 +196,9 @@ def merge_rels(graph: Graph, rel_type: str, src_label: str, dst_label: str, rows
         on_match.setdefault(k, v)
     j = _endpoint(graph, rows, src_label, src_on, "__src")
     j = _endpoint(graph, j, dst_label, dst_on, "__dst")
-    j = j.select("*", F.col("__src").alias("src"), F.col("__dst").alias("dst"),
+    taken = {"src", "dst", *key_props}
+    j = j.select(*[F.col(c) for c in j.columns if c not in taken],
+                 F.col("__src").alias("src"), F.col("__dst").alias("dst"),
                  *[_as_col(v).alias(k) for k, v in key_props.items()])
     keys = ["src", "dst"] + list(key_props)
     rk = (rel_type, src_label, dst_label)

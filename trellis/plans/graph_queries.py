@@ -174,7 +174,7 @@ def unlabelled_endpoint(spark, sf):
     """MATCH (x)-[:IN_NATION]->(n:Nation) RETURN labels(x), n.n_name, count(*)"""
     g = fx.trade_graph(spark, sf)
     m = g.match("n", "Nation").inc("r", "IN_NATION", "x")
-    return m.agg({"x_label": "x.label", "n_name": "n.n_name"}, n=F.count(F.lit(1)))
+    return m.agg({"x_label": "labels(x)", "n_name": "n.n_name"}, n=F.count(F.lit(1)))
 
 
 @register("cross_match", ids="M12", sql="""
