@@ -103,6 +103,9 @@ def upsert(current: DataFrame | None, rows: DataFrame, keys: list[str],
     eager_c = {k: v for k, v in on_create.items() if isinstance(v, Column)}
     eager_m = {k: v for k, v in on_match.items() if isinstance(v, Column)}
     lazy_m = {k: v for k, v in on_match.items() if not isinstance(v, Column)}
+    # a plain SET gives both branches the same expression: carry it once
+    shared = {k for k, v in eager_m.items() if k in eager_c and v is eager_c[k]}
+    eager_m = {k: v for k, v in eager_m.items() if k not in shared}
     prepared = rows.select(*[F.col(k) for k in keys],
                            *[v.alias(f"__c_{k}") for k, v in eager_c.items()],
                            *[v.alias(f"__m_{k}") for k, v in eager_m.items()],
@@ -149,7 +152,8 @@ def upsert(current: DataFrame | None, rows: DataFrame, keys: list[str],
     for p in props:
         v = old(p)
         if p in on_match:
-            mv = F.col(f"n.__m_{p}") if p in eager_m else lazy_m[p](old)
+            mv = (F.col(f"n.__c_{p}") if p in shared else
+                  F.col(f"n.__m_{p}") if p in eager_m else lazy_m[p](old))
             if p in combine:
                 mv = combine[p](mv, old(p))
             v = F.when(matched, mv).otherwise(v)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trellis.functions import scalar as S
 from trellis.operators.merge import upsert, upsert_table
@@ -132,3 +133,30 @@ def link_contacts(existing: DataFrame | None, subs: DataFrame, association_type:
     new = contacts_from(subs).select("hs_name", "email", F.lit(association_type).alias("association_type"))
     both = new if existing is None else existing.unionByName(new)
     return both.dropDuplicates(["hs_name", "email", "association_type"])
+
+
+def distinct_in_window(active: DataFrame, who: str, day: str, n: int) -> DataFrame:
+    """Per day D, the number of distinct ``who`` active on some day in ``[D-n+1, D]``.
+
+    Each active (who, day) covers the days ``[day, day+n-1]``; a person's covered
+    days are merged into disjoint intervals (a window over that person's active
+    days: bounded by the calendar, not by the data), then a +1/-1 sweep over the
+    interval ends counts the people covering each day.  Exact, and no row is
+    copied n times."""
+    a = active.select(F.col(who).alias("w"), F.col(day).alias("d")).distinct()
+    per = Window.partitionBy("w").orderBy("d")
+    # a new interval starts when the previous active day is n or more days back
+    gap = F.coalesce(F.datediff("d", F.lag("d").over(per)), F.lit(n)) >= n
+    runs = a.withColumn("start", gap.cast("int")).withColumn(
+        "run", F.sum("start").over(per.rowsBetween(Window.unboundedPreceding, 0)))
+    iv = runs.groupBy("w", "run").agg(F.min("d").alias("lo"), F.date_add(F.max("d"), n - 1).alias("hi"))
+    days = active.select(F.col(day).alias("d")).distinct()
+    marks = (iv.select(F.col("lo").alias("d"), F.lit(1).alias("x"))
+             .unionAll(iv.select(F.date_add("hi", 1).alias("d"), F.lit(-1).alias("x")))
+             .unionAll(days.select("d", F.lit(0).alias("x"))))  # every asked day gets a total
+    # one row per calendar day from here on: the running sum is over days, not people
+    per_day = marks.groupBy("d").agg(F.sum("x").alias("x"))
+    running = per_day.withColumn("n_distinct", F.sum("x").over(Window.orderBy("d").rowsBetween(
+        Window.unboundedPreceding, 0)))
+    return days.join(running.select("d", "n_distinct"), "d", "left").select(
+        "d", F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"))

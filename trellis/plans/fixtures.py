@@ -68,21 +68,26 @@ def coordinates(key_col: str):
 
 
 # ---------------------------------------------------------------- B2 handoff
-def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def handoff_edges(spark: SparkSession, sf_dir: str, event_type: str = "signup") -> DataFrame:
     """Consecutive events of one day hand off from the earlier user to the later one."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     lagged = global_lag(ev, ["ts", "event_id"], ["user_id"])
     h = lagged.where(F.to_date("prev_ts") == F.to_date("ts")).select(
         F.col("event_id").alias("eid"), F.col("prev_user_id").alias("src"), F.col("user_id").alias("dst"),
         F.round(F.col("value") * 100).cast("bigint").alias("w"), "event_type", "ts")
-    return h.where((F.col("src") != F.col("dst")) & (F.col("event_type") == "signup") & (F.col("w") < 1000))
+    return h.where((F.col("src") != F.col("dst")) & (F.col("event_type") == event_type) & (F.col("w") < 1000))
 
 
-def handoff_graph(spark: SparkSession, sf_dir: str) -> Graph:
+def handoff_graph(spark: SparkSession, sf_dir: str, with_follow: bool = False) -> Graph:
+    """``HANDOFF`` (signup events); ``with_follow`` adds ``FOLLOW``, the same rule on purchases."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     e = handoff_edges(spark, sf_dir)
     g = Graph().with_nodes("User", users, "user_id")
-    return g.with_rels("HANDOFF", "User", "User", e.select(F.col("eid").alias("rel_id"), "src", "dst", "w", "ts"))
+    g = g.with_rels("HANDOFF", "User", "User", e.select(F.col("eid").alias("rel_id"), "src", "dst", "w", "ts"))
+    if with_follow:
+        f = handoff_edges(spark, sf_dir, "purchase")
+        g = g.with_rels("FOLLOW", "User", "User", f.select(F.col("eid").alias("rel_id"), "src", "dst", "w", "ts"))
+    return g
 
 
 # ---------------------------------------------------------------- B3 usage

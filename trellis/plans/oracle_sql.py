@@ -10,6 +10,8 @@ h AS (SELECT event_id AS eid,
       FROM events),
 handoff AS (SELECT * FROM h WHERE src IS NOT NULL AND src <> dst
             AND event_type = 'signup' AND w < 1000),
+follow AS (SELECT * FROM h WHERE src IS NOT NULL AND src <> dst
+           AND event_type = 'purchase' AND w < 1000),
 users AS (SELECT DISTINCT user_id FROM events)""",
     "usage_events": """
 usage_events AS (SELECT event_id, ts, user_id,

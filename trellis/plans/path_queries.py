@@ -162,6 +162,30 @@ def shortest_path_pair(spark, sf):
                       F.array_join(F.transform("route", lambda x: x.cast("string")), ",").alias("route"))
 
 
+WEDGES_TYPES = """we AS (SELECT a, b, min(w) AS w FROM (SELECT src AS a, dst AS b, w FROM handoff
+                                                UNION ALL SELECT src, dst, w FROM follow) GROUP BY a, b)"""
+
+
+@register("shortest_path_rel_types", ids="P3", sql=_with(START, WEDGES_TYPES, *_relax_ctes(_RELAX_ROUNDS)) + f"""
+SELECT id AS user_id, d AS path_weight, h AS hops FROM r{_RELAX_ROUNDS}""")
+def shortest_path_rel_types(spark, sf):
+    """algo.SPpaths(relTypes: ['HANDOFF', 'FOLLOW'], weightProp: 'w'): several types as one edge set."""
+    g = fx.handoff_graph(spark, sf, with_follow=True)
+    res = weighted_paths(g, _start_df(g), ["HANDOFF", "FOLLOW"], "User", F.col("w"))
+    return res.select(F.col("id").alias("user_id"), F.col("dist").cast("bigint").alias("path_weight"), "hops")
+
+
+@register("shortest_path_stops", ids="P4", sql=_with(START, """
+bfs(id, d) AS (SELECT s, 0 FROM start UNION
+               SELECT h.dst, b.d + 1 FROM bfs b JOIN handoff h ON h.src = b.id WHERE b.d < 200)""",
+    recursive=True) + "SELECT id AS user_id, min(d) AS stops FROM bfs GROUP BY id")
+def shortest_path_stops(spark, sf):
+    """Another weight: every relationship costs one stop, so the path weight is its stop count."""
+    g = fx.handoff_graph(spark, sf)
+    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.lit(1))
+    return res.select(F.col("id").alias("user_id"), F.col("dist").cast("int").alias("stops"))
+
+
 # ------------------------------------------------------------------ P6 P8
 @register("shortest_path_maxlen", ids="P6", sql=_with(START, WEDGES, *_relax_ctes(MAX_LEN)) + f"""
 SELECT id AS user_id, d AS path_weight, h AS hops FROM r{MAX_LEN}""")

@@ -222,17 +222,18 @@ SELECT event_date, jobs,
   (SELECT count(DISTINCT user_id) FROM ud WHERE d > event_date - 28 AND d <= event_date) AS unique_users_28d
 FROM days""")
 def activity_1_7_28(spark, sf):
-    """Jobs per day and distinct users over 1, 7 and 28 days: each (user, day) is spread to
-    the days whose window covers it, then counted distinct per day (exact)."""
+    """Jobs per day and distinct users over 1, 7 and 28 days (exact)."""
     ev = fx.table(spark, sf, "events").select(F.to_date("ts").alias("d"), "user_id")
-    jobs = ev.groupBy(F.col("d").alias("event_date")).agg(F.count("*").alias("jobs"))
+    jobs = ev.groupBy(F.col("d").alias("event_date")).agg(F.count("*").alias("jobs"),
+                                                          F.countDistinct("user_id").alias("unique_users_1d"))
     ud = ev.distinct()
     out = jobs
-    for n in (1, 7, 28):
-        covered = ud.select(F.explode(F.sequence("d", F.date_add("d", n - 1))).alias("event_date"), "user_id")
-        cnt = covered.groupBy("event_date").agg(F.countDistinct("user_id").alias(f"unique_users_{n}d"))
-        out = out.join(cnt, "event_date", "left")
-    return out
+    for n in (7, 28):
+        out = out.join(U.distinct_in_window(ud, "user_id", "d", n).withColumnRenamed("d", "event_date")
+                       .withColumnRenamed("n_distinct", f"unique_users_{n}d"), "event_date", "left")
+    return out.select("event_date", "jobs", "unique_users_1d",
+                      F.coalesce("unique_users_7d", F.lit(0)).cast("bigint").alias("unique_users_7d"),
+                      F.coalesce("unique_users_28d", F.lit(0)).cast("bigint").alias("unique_users_28d"))
 
 
 @register("engagement_ctr", ids="A12", sql="""
