@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trellis.model import Graph
 from trellis.operators.match import top_k
-from trellis.session import RoundState, cut_lineage
+from trellis.session import RoundState, cut_lineage, materialize_by
 
 
 def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, max_rounds: int = 20,
@@ -37,7 +37,8 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     edges = (edges.join(ids, F.col("src") == F.col("k"), "left_semi")
              .join(ids, F.col("dst") == F.col("k"), "left_semi").distinct())
     outdeg = edges.groupBy("src").agg(F.count("*").alias("deg"))
-    edges_w = cut_lineage(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")))
+    # written once; bucketed on src (or broadcast when proven small) so rounds never reshuffle it
+    edges_w = materialize_by(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")), "src")
     dangling_ids = cut_lineage(nodes.join(outdeg, F.col("id") == F.col("src"), "left_anti"))
     ranks = cut_lineage(nodes.withColumn("score", F.lit(1.0 / n)))
     base = (1.0 - damping) / n

@@ -69,12 +69,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition on ``keys`` and write once to the shared folder: a loop that
-    joins this frame on ``keys`` every round reads compact data instead of
-    recomputing its derivation."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartition(n, *keys))
+ROWS_PER_BUCKET = 2_000_000
+SMALL_ROWS = 1_000_000
+
+
+def materialize_by(df: DataFrame, *keys: str, buckets: int | None = None) -> DataFrame:
+    """Write a frame that a loop joins on ``keys`` every round, once, to the shared folder.
+
+    The row count decides the strategy: up to ``SMALL_ROWS`` rows it is only
+    written (each round AQE picks the join from run-time sizes, typically
+    broadcasting the smaller frontier); beyond that it becomes a table bucketed
+    on ``keys``, so each round shuffles only its other (changing) side, never
+    this one."""
+    spark = df.sparkSession
+    if buckets is None:
+        small = cut_lineage(df)
+        n_rows = small.count()
+        if n_rows <= SMALL_ROWS:
+            return small
+        df = small
+    if buckets is None:
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(1, min(cap, -(-n_rows // ROWS_PER_BUCKET)))
+    name = f"trellis_bucketed_{uuid.uuid4().hex[:12]}"
+    (df.write.mode("overwrite").bucketBy(buckets, *keys)
+     .option("path", scratch_path(spark, "bucketed")).saveAsTable(name))
+    return spark.table(name)
 
 
 class RoundState:
