@@ -140,42 +140,36 @@ def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int |
 
     Labels compare as ``(dist, hops, pred)``: hops grow strictly along a
     predecessor chain, so zero-weight cycles cannot loop, and ties resolve to
-    the smallest predecessor id.  A candidate equal in key but with another
-    route refreshes the route (its predecessor's route changed)."""
+    the smallest predecessor id.  Each round is one aggregate over the state
+    and the new candidates: the label also carries ``-round``, so among equal
+    labels the one offered this round wins (its predecessor's route changed),
+    and "changed" means "won this round".  The aggregate is partial, so a hub
+    reached by many candidates is reduced before the shuffle."""
     rounds = 0
     keeper = RoundState(every=4)
-    key = ["dist", "hops", "pred"]
+    label = ["dist", "hops", "pred", "r", "route"]
+    state = state.withColumn("r", F.lit(0))
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
         cand = (changed.join(e, F.col("id") == F.col("a"))
-                .select("source", F.col("b").alias("nid"), (F.col("dist") + F.col("w")).alias("dist"),
-                        (F.col("hops") + 1).alias("hops"), F.col("id").alias("pred"),
+                .select("source", F.col("b").alias("id"), (F.col("dist") + F.col("w")).alias("dist"),
+                        (F.col("hops") + 1).alias("hops"), F.col("id").alias("pred"), F.lit(-rounds).alias("r"),
                         F.concat(F.col("route"), F.array(F.col("b"))).alias("route")))
         if prune_targets is not None:
             best = (state.join(prune_targets, "id", "left_semi")
                     .groupBy("source").agg(F.min("dist").alias("bound")))
             cand = (cand.join(best, "source", "left")
                     .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound"))).drop("bound"))
-        best_c = (cand.groupBy("source", F.col("nid").alias("id"))
-                  .agg(F.min(F.struct(*key, "route")).alias("c")))
-        joined = state.alias("s").join(best_c.alias("n"), ["source", "id"], "full_outer")
-        s_key = F.struct(*[F.col(f"s.{k}") for k in key])
-        c_key = F.struct(*[F.col(f"n.c.{k}") for k in key])
-        better = F.col("n.c").isNotNull() & (
-            F.col("s.dist").isNull() | (c_key < s_key)
-            | ((c_key == s_key) & (F.col("n.c.route") != F.col("s.route"))))
-        merged = joined.select(
-            "source", "id",
-            *[F.when(better, F.col(f"n.c.{k}")).otherwise(F.col(f"s.{k}")).alias(k) for k in key],
-            F.when(better, F.col("n.c.route")).otherwise(F.col("s.route")).alias("route"),
-            better.alias("changed"))
+        merged = (state.select("source", "id", *label).unionByName(cand)
+                  .groupBy("source", "id").agg(F.min(F.struct(*label)).alias("m"))
+                  .select("source", "id", "m.*"))
         merged = keeper.keep(merged)
-        changed = merged.where("changed").drop("changed")
-        state = merged.drop("changed")
-        # one job per round: fills the kept state and counts the changed labels
-        if merged.agg(F.count_if("changed")).first()[0] == 0:
+        state = merged
+        changed = merged.where(F.col("r") == -rounds)
+        # one job per round: fills the kept state and counts the labels won this round
+        if merged.agg(F.count_if(F.col("r") == -rounds)).first()[0] == 0:
             break
-    return cut_lineage(state)
+    return cut_lineage(state.drop("r"))
 
 
 def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column,
@@ -190,7 +184,7 @@ def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weigh
     e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, collapse=True), "a")
     init = sources.select(F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
                           F.lit(0).alias("hops"), F.col("id").alias("pred"), F.array(F.col("id")).alias("route"))
-    init = cut_lineage(init)
+    init = cut_lineage(init.withColumn("r", F.lit(0)))
     return _relax(init, init, e, max_len, targets.select("id") if targets is not None else None)
 
 
