@@ -22,6 +22,10 @@ class Catalog:
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        # frames handed out by load(): a version that keeps one of them refers to its folder
+        # instead of copying it, so an incremental load rewrites only what it touched
+        # (the frame is kept so its id cannot be reused; reuse only within the same graph)
+        self._origin: dict[int, tuple[DataFrame, str, str]] = {}
 
     # ------------------------------------------------------------ helpers
     def _exists(self, p: str) -> bool:
@@ -45,19 +49,30 @@ class Catalog:
         return self.spark.createDataFrame(sorted(names), "graph_name string")
 
     def save(self, name: str, graph: Graph) -> int:
-        """Write a new version of ``name`` (G9 replace = save over an existing name)."""
+        """Write a new version of ``name`` (G9 replace = save over an existing name).
+
+        Tables unchanged since ``load`` are referenced, not copied; the pointer
+        moves only after every table of the new version is written."""
         cur = self._current(name)
         v = 1 if cur is None else cur + 1
         base = f"{self.root}/{name}/v{v}"
         meta = []
+
+        def place(df: DataFrame, sub: str) -> str:
+            seen = self._origin.get(id(df))
+            if seen is not None and seen[0] is df and seen[1] == name:
+                return seen[2]
+            path = f"{base}/{sub}"
+            df.write.mode("overwrite").parquet(path)
+            return path
+
         for label, df in graph.nodes.items():
-            df.write.mode("overwrite").parquet(f"{base}/nodes/{label}")
-            meta.append(("node", label, "", "", ",".join(graph.keys[label])))
+            meta.append(("node", label, "", "", ",".join(graph.keys[label]), place(df, f"nodes/{label}")))
         for (t, s, d), df in graph.rels.items():
-            df.write.mode("overwrite").parquet(f"{base}/rels/{t}__{s}__{d}")
             ends = [e for (tt, ss, dd, e) in graph.integrity if (tt, ss, dd) == (t, s, d)]
-            meta.append(("rel", t, s, d, ",".join(sorted(ends))))
-        self.spark.createDataFrame(meta, "kind string, name string, src string, dst string, extra string") \
+            meta.append(("rel", t, s, d, ",".join(sorted(ends)), place(df, f"rels/{t}__{s}__{d}")))
+        self.spark.createDataFrame(
+            meta, "kind string, name string, src string, dst string, extra string, path string") \
             .coalesce(1).write.mode("overwrite").json(f"{base}/_meta")
         self.spark.createDataFrame([(v,)], "version int").coalesce(1).write.mode("overwrite").json(
             f"{self.root}/{name}/_current")
@@ -70,20 +85,26 @@ class Catalog:
         base = f"{self.root}/{name}/v{v}"
         g = Graph()
         # the metadata is one row per label / relationship table: schema-sized, not data-sized
-        for m in self.spark.read.json(f"{base}/_meta").collect():
+        meta = self.spark.read.json(f"{base}/_meta").collect()
+
+        def read(path: str) -> DataFrame:
+            df = self.spark.read.parquet(path)
+            self._origin[id(df)] = (df, name, path)
+            return df
+
+        for m in meta:
             if m["kind"] == "node":
-                g = g.with_nodes(m["name"], self.spark.read.parquet(f"{base}/nodes/{m['name']}"),
-                                 tuple(m["extra"].split(",")))
-        for m in self.spark.read.json(f"{base}/_meta").collect():
+                g = g.with_nodes(m["name"], read(m["path"]), tuple(m["extra"].split(",")))
+        for m in meta:
             if m["kind"] == "rel":
                 ends = set((m["extra"] or "").split(","))
-                g = g.with_rels(m["name"], m["src"], m["dst"],
-                                self.spark.read.parquet(f"{base}/rels/{m['name']}__{m['src']}__{m['dst']}"),
+                g = g.with_rels(m["name"], m["src"], m["dst"], read(m["path"]),
                                 src_exists="src" in ends, dst_exists="dst" in ends)
         return g
 
     def delete(self, name: str) -> bool:
-        """G12 ``graph_delete(name)``: drop every version and the pointer."""
+        """G12 ``graph_delete(name)``: drop every version and the pointer (versions of
+        this graph may share folders with each other, never with another graph)."""
         return bool(self._fs.delete(self._Path(f"{self.root}/{name}"), True))
 
     def versions(self, name: str) -> DataFrame:
