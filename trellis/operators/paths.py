@@ -108,6 +108,7 @@ def bfs(graph: Graph, sources: DataFrame, rel_type, label: str, direction: str =
     Output ``source, id, depth, route`` (route = node ids, ties resolved by the
     smallest predecessor id at every step)."""
     e = materialize_by(_edges(graph, rel_type, label, direction).select("a", "b").distinct(), "a")
+    sources = sources.select("id").distinct()
     frontier = cut_lineage(sources.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("depth"),
                                           F.array(F.col("id")).alias("route")))
     # visited = union of the levels.  Every level is cut from its lineage: a level's
@@ -182,8 +183,9 @@ def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weigh
     candidates that are already dearer than the best target reached.
     Output ``source, id, dist, hops, pred, route``."""
     e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, collapse=True), "a")
-    init = sources.select(F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
-                          F.lit(0).alias("hops"), F.col("id").alias("pred"), F.array(F.col("id")).alias("route"))
+    init = sources.select("id").distinct().select(
+        F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"),
+        F.col("id").alias("pred"), F.array(F.col("id")).alias("route"))
     init = cut_lineage(init.withColumn("r", F.lit(0)))
     return _relax(init, init, e, max_len, targets.select("id") if targets is not None else None)
 
@@ -217,7 +219,8 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
     survives when its cost is below every label ordered before it (the running
     minimum excludes the row itself).  Output: best label per (source, id)."""
     e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, cost=cost), "a")
-    init = sources.select(F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
+    init = sources.select("id").distinct().select(
+                          F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
                           F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("id").alias("pred"),
                           F.array(F.col("id")).alias("route"))
     state = cut_lineage(init)
@@ -255,7 +258,8 @@ def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Colu
     Top-k per target is done in two steps over a salt of the route so a target
     reached by a third of all trails is ranked by many tasks first."""
     e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight), "a")
-    frontier = sources.select(F.col("id").alias("source"), F.col("id").alias("cur"),
+    frontier = sources.select("id").distinct().select(
+                              F.col("id").alias("source"), F.col("id").alias("cur"),
                               F.array(F.col("id")).alias("nodes"),
                               F.array().cast(f"array<{e.schema['rel_id'].dataType.simpleString()}>").alias("rels"),
                               F.lit(0.0).alias("dist"))

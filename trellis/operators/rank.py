@@ -39,20 +39,23 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     outdeg = edges.groupBy("src").agg(F.count("*").alias("deg"))
     # written once; bucketed on src (or broadcast when proven small) so rounds never reshuffle it
     edges_w = materialize_by(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")), "src")
-    dangling_ids = cut_lineage(nodes.join(outdeg, F.col("id") == F.col("src"), "left_anti"))
-    ranks = cut_lineage(nodes.withColumn("score", F.lit(1.0 / n)))
+    # nodes without out-links carry a flag, so their mass is one sum over the ranks (no join)
+    flagged = nodes.join(outdeg.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left") \
+        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling"))
+    ranks = cut_lineage(flagged.withColumn("score", F.lit(1.0 / n)))
     base = (1.0 - damping) / n
     keeper = RoundState(every=5)
-    dangling = ranks.join(dangling_ids, "id", "left_semi").agg(F.sum("score")).first()[0] or 0.0
+    dangling_mass = F.sum(F.when(F.col("dangling"), F.col("score")).otherwise(F.lit(0.0)))
+    dangling = ranks.agg(dangling_mass).first()[0] or 0.0
     for _ in range(max_rounds):
         contrib = (ranks.join(edges_w, F.col("id") == F.col("src"))
                    .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("inv")).alias("c")))
-        new = (nodes.join(contrib, "id", "left")
-               .select("id", (F.lit(base) + F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0))
-                                                               + F.lit(dangling / n))).alias("score")))
+        new = (ranks.select("id", "dangling").join(contrib, "id", "left")
+               .select("id", "dangling", (F.lit(base) + F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0))
+                                                                           + F.lit(dangling / n))).alias("score")))
         new = keeper.keep(new)
-        # one job per round: it materialises the new ranks and reads the mass to hand back
-        dangling = new.join(dangling_ids, "id", "left_semi").agg(F.sum("score")).first()[0] or 0.0
+        # one job per round: it fills the kept ranks and reads the mass to hand back
+        dangling = new.agg(dangling_mass).first()[0] or 0.0
         if tol is not None:
             delta = (new.alias("a").join(ranks.alias("b"), "id")
                      .agg(F.sum(F.abs(F.col("a.score") - F.col("b.score")))).first()[0])
@@ -61,6 +64,7 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
                 break
         else:
             ranks = new
+    ranks = ranks.select("id", "score")
     return cut_lineage(ranks)
 
 
