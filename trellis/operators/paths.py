@@ -147,7 +147,7 @@ def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int |
     and "changed" means "won this round".  The aggregate is partial, so a hub
     reached by many candidates is reduced before the shuffle."""
     rounds = 0
-    keeper = RoundState(every=4)
+    keeper = RoundState(every=2)  # a round reads the last state twice: cut often
     label = ["dist", "hops", "pred", "r", "route"]
     state = state.withColumn("r", F.lit(0))
     while max_rounds is None or rounds < max_rounds:
@@ -225,7 +225,7 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
                           F.array(F.col("id")).alias("route"))
     state = cut_lineage(init)
     changed = state
-    keeper = RoundState(every=4)
+    keeper = RoundState(every=2)  # a round reads the last state twice: cut often
     order = ["dist", "cost", "hops", "pred", "route"]
     # an identical label offered again sorts after the old one and is dropped
     w = Window.partitionBy("source", "id").orderBy(*order, F.col("old").desc())

@@ -40,9 +40,10 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     # written once; bucketed on src (or broadcast when proven small) so rounds never reshuffle it
     edges_w = materialize_by(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")), "src")
     # nodes without out-links carry a flag, so their mass is one sum over the ranks (no join)
-    flagged = nodes.join(outdeg.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left") \
-        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling"))
-    ranks = cut_lineage(flagged.withColumn("score", F.lit(1.0 / n)))
+    flagged = cut_lineage(
+        nodes.join(outdeg.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")
+        .select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")))
+    ranks = flagged.withColumn("score", F.lit(1.0 / n))
     base = (1.0 - damping) / n
     keeper = RoundState(every=5)
     dangling_mass = F.sum(F.when(F.col("dangling"), F.col("score")).otherwise(F.lit(0.0)))
@@ -50,7 +51,9 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     for _ in range(max_rounds):
         contrib = (ranks.join(edges_w, F.col("id") == F.col("src"))
                    .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("inv")).alias("c")))
-        new = (ranks.select("id", "dangling").join(contrib, "id", "left")
+        # the node list comes from the written frame: each round reads the previous ranks once,
+        # so the plan grows by one round, not twofold
+        new = (flagged.join(contrib, "id", "left")
                .select("id", "dangling", (F.lit(base) + F.lit(damping) * (F.coalesce(F.col("c"), F.lit(0.0))
                                                                            + F.lit(dangling / n))).alias("score")))
         new = keeper.keep(new)
