@@ -227,8 +227,7 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
     changed = state
     keeper = RoundState(every=2)  # a round reads the last state twice: cut often
     order = ["dist", "cost", "hops", "pred", "route"]
-    # an identical label offered again sorts after the old one and is dropped
-    w = Window.partitionBy("source", "id").orderBy(*order, F.col("old").desc())
+    w = Window.partitionBy("source", "id").orderBy(*order)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
@@ -238,17 +237,23 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
                         (F.col("cost") + F.col("c")).alias("cost"), (F.col("hops") + 1).alias("hops"),
                         F.col("id").alias("pred"), F.concat(F.col("route"), F.array(F.col("b"))).alias("route"))
                 .where(F.col("cost") <= F.lit(max_cost)))
-        both = state.withColumn("old", F.lit(True)).unionByName(cand.withColumn("old", F.lit(False)))
-        kept = (both.withColumn("mc", F.min("cost").over(prior))
+        both = state.withColumn("new", F.lit(False)).unionByName(cand.withColumn("new", F.lit(True)))
+        # only the best label per (node, cost) can be Pareto-optimal: a partial min first, so a
+        # hub's window holds at most one label per distinct cost (an old label wins exact ties)
+        best_per_cost = (both.groupBy("source", "id", "cost")
+                         .agg(F.min(F.struct("dist", "hops", "pred", "route", "new")).alias("m"))
+                         .select("source", "id", "cost", "m.*"))
+        kept = (best_per_cost.withColumn("mc", F.min("cost").over(prior))
                 .where(F.col("mc").isNull() | (F.col("cost") < F.col("mc")))
                 .drop("mc"))
         kept = keeper.keep(kept)
-        state = kept.drop("old")
-        changed = kept.where(~F.col("old")).drop("old")
-        if kept.agg(F.count_if(~F.col("old"))).first()[0] == 0:
+        state = kept.drop("new")
+        changed = kept.where(F.col("new")).drop("new")
+        if kept.agg(F.count_if(F.col("new"))).first()[0] == 0:
             break
-    best = Window.partitionBy("source", "id").orderBy(*order)
-    return (state.withColumn("rn", F.row_number().over(best)).where("rn = 1").drop("rn"))
+    # best label per node: a partial min, not a window
+    return (state.groupBy("source", "id").agg(F.min(F.struct(*order)).alias("m"))
+            .select("source", "id", *[F.col(f"m.{c}").alias(c) for c in order]))
 
 
 def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column, k: int,
