@@ -272,7 +272,7 @@ def created_stamp(spark, sf):
     """MATCH (c:Customer) SET c.created = timestamp()  (``now`` injected)"""
     g = fx.trade_graph(spark, sf)
     g2, _ = merge_nodes(g, "Customer", fx.table(spark, sf, "customer"), {"c_custkey": F.col("c_custkey")},
-                        set_={"created": S.timestamp_millis("2024-06-01 00:00:00")})
+                        set_={"created": S.timestamp_millis("2024-06-01T00:00:00Z")})
     return g2.nodes["Customer"].select("c_custkey", "created")
 
 

@@ -81,6 +81,13 @@ def _subs(spark, sf, apps=None):
 S_ENGINE_VERSION = "v4.20.1"
 
 
+def _period_start(ev):
+    """Start of the look-back period: the last event time (one number read from the data, kept
+    as wall-clock text so the session time zone cannot shift it) minus LOOKBACK_DAYS."""
+    end = ev.agg(F.max("ts").cast("string")).first()[0]
+    return F.lit(end).cast("timestamp_ntz") - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
+
+
 # ------------------------------------------------------------------ J1-J5
 @register("event_winner", ids="J2 J4", sql=_usage_cte() + """
 SELECT loc AS consumer_account_locator, event_type, event_id FROM win""")
@@ -190,8 +197,7 @@ GROUP BY 1, 2""")
 def installs_daily(spark, sf):
     ev = fx.usage_events(spark, sf)
     # the period end is one number read from the data
-    end = ev.agg(F.max("ts")).first()[0]
-    since = F.lit(end) - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
+    since = _period_start(ev)
     ev = ev.where(F.col("listing_name").like(fx.LISTING_FILTER) & F.col("event_type").isin(*U.EVENT_TYPES)
                   & (F.col("ts") >= since))
     return ev.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(F.count("*").alias("daily_count"))
@@ -272,8 +278,7 @@ def usage_summary(spark, sf):
                  F.count_if(S.status("upgrade_state") == "active").alias("active_installs_now"),
                  F.count_if(F.col("upgrade_state") == "COMPLETE").alias("healthy_installs"))
     ev = fx.table(spark, sf, "events")
-    end = ev.agg(F.max("ts")).first()[0]
-    recent = ev.where(F.col("ts") >= F.lit(end) - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS"))
+    recent = ev.where(F.col("ts") >= _period_start(ev))
     b = recent.agg(F.count("*").alias("total_jobs_in_period"),
                    F.countDistinct("user_id").alias("unique_consumers_in_period"))
     return a.crossJoin(F.broadcast(b))
