@@ -3,8 +3,9 @@
 Our own part files keep SQL null and the empty string apart (``nullValue``
 ``\\N``, ``emptyValue`` ``""``) and quote with ``"`` escaped by ``"``.  Rows are
 read by position (``row[i]``, 0-based, all strings) or by header name.
-Values holding a newline need ``multiLine``; such files are not split, so
-parts are kept small by the writer (one part per partition).
+Reads are splittable by default (large files are read by many tasks).  Values
+holding a newline need ``multiline=True``, which makes each file one task, so
+our writer keeps parts small (one part per partition).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from trellis.model import Graph
 from trellis.operators.merge import merge_nodes
 
 WRITE_OPTS = {"escape": '"', "quote": '"', "nullValue": "\\N", "emptyValue": '""'}
-READ_OPTS = {"escape": '"', "quote": '"', "nullValue": "\\N", "emptyValue": "", "multiLine": "true"}
+READ_OPTS = {"escape": '"', "quote": '"', "nullValue": "\\N", "emptyValue": ""}
 
 
 def unload_csv(df: DataFrame, path: str, header: bool = False, partition_by: list[str] | None = None) -> str:
@@ -36,11 +37,13 @@ def positional_schema(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(n)])
 
 
-def read_positional(spark: SparkSession, path: str, n_cols: int, header: bool = False) -> DataFrame:
+def read_positional(spark: SparkSession, path: str, n_cols: int, header: bool = False,
+                    multiline: bool = False) -> DataFrame:
     """S3 ``LOAD CSV FROM ... AS row``: every field a string, addressed by position.
 
     Adds ``row`` (``ARRAY<STRING>``) so ``row[i]`` past the end is null (F11)."""
-    r = spark.read.schema(positional_schema(n_cols)).option("header", str(header).lower())
+    r = (spark.read.schema(positional_schema(n_cols)).option("header", str(header).lower())
+         .option("multiLine", str(multiline).lower()))
     for k, v in READ_OPTS.items():
         r = r.option(k, v)
     df = r.csv(path)
@@ -52,9 +55,10 @@ def row(i: int) -> Column:
     return row_item("row", i)
 
 
-def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | str,
+                    multiline: bool = False) -> DataFrame:
     """S4 ``COPY INTO ... SKIP_HEADER=1 FIELD_OPTIONALLY_ENCLOSED_BY='"'`` with a fixed schema."""
-    r = spark.read.schema(schema).option("header", "true")
+    r = spark.read.schema(schema).option("header", "true").option("multiLine", str(multiline).lower())
     for k, v in READ_OPTS.items():
         r = r.option(k, v)
     return r.csv(path)

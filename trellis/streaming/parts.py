@@ -26,8 +26,7 @@ def stream_load_parts(spark: SparkSession, folder: str, schema: T.StructType, ca
     """Apply ``apply(graph, batch_rows)`` per part file; returns the number of batches run."""
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("header", str(header).lower())
     for k, v in READ_OPTS.items():
-        if k != "multiLine":
-            r = r.option(k, v)
+        r = r.option(k, v)
     stream = r.csv(folder)
     seen = []
 
