@@ -1,7 +1,5 @@
 """Pattern-builder semantics: undirected = both directions, isomorphism, trails, bounded cross match."""
 
-import itertools
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on sf0.001 (the driver's check runs sf0.01)."""
 
-import hashlib
 import math
 
 import duckdb

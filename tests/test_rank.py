@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from trellis.model import Graph
 from trellis.operators.rank import degree, page_rank

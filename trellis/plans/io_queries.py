@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trellis.catalog import Catalog
 from trellis.functions import scalar as S
@@ -248,7 +247,7 @@ UNION ALL SELECT o_orderkey, 0, o_custkey FROM orders WHERE o_orderstatus <> 'P'
 def normalize_rows(spark, sf):
     """Result texts of every shape (array, {data}, {records}, {results}, object, null) → rows."""
     o = fx.table(spark, sf, "orders")
-    text = F.expr(_RESULT_TEXT.replace("||", "||"))
+    text = F.expr(_RESULT_TEXT)
     v = K.parse_or_raw(text)
     rows = o.select("o_orderkey", F.posexplode(K.normalize_result(v)).alias("pos", "elem"))
     return rows.select("o_orderkey", F.col("pos").cast("int").alias("pos"),
