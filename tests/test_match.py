@@ -69,3 +69,13 @@ def test_unlabelled_endpoint_unions_labels(spark):
          .with_rels("TO", "A", "T", e1).with_rels("TO", "B", "T", e2))
     m = g.match("t", "T").inc("r", "TO", "x")
     assert rows(m.ret(label="labels(x)", x="x")) == [("A", 1), ("B", 2)]
+
+
+def test_pattern_relationships_distinct_across_var_length(spark):
+    g, edges = ring_graph(spark)
+    # (a)-[r]->(b)-[*1..2]->(c): r never reappears inside the segment, and vice versa
+    m = g.match("a", "N").out("r", "R", "b", "N").var_hop("R", "c", "N", 1, 2, path="p")
+    assert m.df.where(F.array_contains("p__rels", F.col("r__rel_id"))).count() == 0
+    m2 = g.match("a", "N").var_hop("R", "b", "N", 1, 2, path="p").out("r", "R", "c", "N")
+    got = m2.df.where(F.array_contains("p__rels", F.col("r__rel_id"))).count()
+    assert got == 0 and m2.df.count() > 0

@@ -179,6 +179,9 @@ class Match:
         for other, t in self.rels.items():
             if rel_type is None or t is None or t == rel_type:
                 df = df.where(F.col(f"{other}{SEP}rel_id") != F.col(f"{rv}{SEP}rel_id"))
+        for other, t in self.paths.items():  # ... nor one inside a variable-length segment
+            if rel_type is None or t is None or t == rel_type:
+                df = df.where(~F.array_contains(F.col(f"{other}{SEP}rels"), F.col(f"{rv}{SEP}rel_id")))
         nodes = dict(self.nodes)
         pending = dict(self.pending)
         if bound:
@@ -232,6 +235,13 @@ class Match:
         far = [label] if label else self.nodes[frm]
         frame = _node_frame(self.graph, node_var, far)
         df = df.join(frame, F.col(f"{node_var}{SEP}_id") == F.col(f"{pv}{SEP}end"), "inner")
+        # relationships of one pattern are distinct: the segment avoids the ones already bound
+        for other, t in self.rels.items():
+            if t is None or t == rel_type:
+                df = df.where(~F.array_contains(F.col(f"{pv}{SEP}rels"), F.col(f"{other}{SEP}rel_id")))
+        for other, t in self.paths.items():
+            if t is None or t == rel_type:
+                df = df.where(F.size(F.array_intersect(F.col(f"{pv}{SEP}rels"), F.col(f"{other}{SEP}rels"))) == 0)
         nodes = dict(self.nodes)
         nodes[node_var] = far
         paths = dict(self.paths)
