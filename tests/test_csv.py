@@ -52,3 +52,22 @@ def test_parts_in_name_order_and_empty(spark):
     empty = rows_.where(F.lit(False))
     g3, s3 = C.load_parts_merge_nodes(g, empty, "N", {"k": F.col("k")})
     assert s3.count() == 0 and rows(g3.nodes["N"]) == [(3,)]
+
+
+def test_parts_tagged_by_file_name(spark):
+    path = scratch_path(spark, "t-parts")
+    df = spark.range(0, 30).select(F.col("id").alias("k"))
+    C.unload_csv(df.repartition(3, "k"), path)
+    tagged = C.with_part(C.read_positional(spark, path, 1))
+    parts = sorted({r.part for r in tagged.select("part").collect()})
+    assert len(parts) == 3 and all(p.startswith("part-") and p.endswith(".csv") for p in parts)
+    assert tagged.count() == 30
+
+
+def test_parts_tagged_by_partition_folder(spark):
+    path = scratch_path(spark, "t-pfold")
+    df = spark.range(0, 12).select(F.col("id").alias("k"), (F.col("id") % 3).alias("g"))
+    C.unload_csv(df, path, partition_by=["g"])
+    name = path.rstrip("/").split("/")[-1]
+    tagged = C.with_part(C.read_positional(spark, path, 1), folder=name)
+    assert sorted({r.part for r in tagged.select("part").collect()}) == ["g=0", "g=1", "g=2"]

@@ -2,8 +2,9 @@
 
 ``g.match("c", "Customer").out("r", "PLACED", "o", "Order")`` is the pattern
 ``(c:Customer)-[r:PLACED]->(o:Order)``.  Every bound variable contributes
-columns named ``<var>__<property>`` plus ``<var>__id``; ``m.c("c.c_name")``
-resolves a Cypher-style reference to its column.  The result is an ordinary
+columns named ``<var>__<property>`` plus ``<var>___id`` and ``<var>___label``;
+``m.c("c.c_name")`` resolves a Cypher-style reference to its column,
+``m.c("c")`` to the node id and ``m.c("labels(c)")`` to its label.  The result is an ordinary
 DataFrame, so Catalyst prunes unused properties down to the parquet scans,
 pushes property filters into them and picks the join strategy (AQE turns a
 shuffle join into a broadcast only when run-time sizes allow it).

@@ -30,7 +30,6 @@ SUBSCRIPTION_FIELDS = [
     "node_instance_type", "subscription_id_omnistrate", "deployment_type", "hs_last_modified_at",
     "subscription_plan", "email",
 ]
-RECORD_FIELDS = SUBSCRIPTION_FIELDS + ["first_name", "last_name"]
 
 
 def listing_events(events: DataFrame, listing_filter: str) -> DataFrame:

@@ -119,25 +119,12 @@ class RoundState:
         self._held.append(out)
         return out
 
-    def release(self) -> None:
-        for old in self._held:
-            old.unpersist()
-        self._held = []
-
 
 def bounded_count(df: DataFrame, bound: int) -> int:
     """Count rows, but stop reading after ``bound + 1`` of them."""
     return df.limit(bound + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; beyond it the join stays
-    a shuffle join (and AQE may still pick broadcast from run-time sizes)."""
-    if bounded_count(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def require_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     """For operators whose result is all pairs of two sides (Cypher's
     ``MATCH (a), (b)``): refuse unless one side is proven small."""

@@ -10,6 +10,8 @@ our writer keeps parts small (one part per partition).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,11 +89,12 @@ def inline_csv(df: DataFrame, text_col: str, schema_ddl: str, keep: list[str] |
 
 # ---------------------------------------------------------------- multi-part loads
 def with_part(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """Tag each row with its part: the file name (or partition folder) below ``folder``."""
-    path = F.col("_metadata.file_path")
-    name = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1) if folder is None else \
-        F.regexp_extract(path, "^.*?" + folder.replace(".", r"\.") + r"/+([^/]+)", 1)
-    return df.withColumn("part", name)
+    """Tag each row with its part (S7, F22): the file name, or with ``folder`` (a folder
+    name) the entry right below that folder, e.g. a ``key=value`` partition folder."""
+    if folder is None:
+        return df.withColumn("part", F.col("_metadata.file_name"))
+    pattern = r"(?:^|/)" + re.escape(folder) + r"/+([^/]+)"
+    return df.withColumn("part", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
 
 
 def load_parts_merge_nodes(graph: Graph, rows: DataFrame, label: str, key: dict[str, Column],
