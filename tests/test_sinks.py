@@ -58,3 +58,18 @@ def test_array_of_objects(spark):
     df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
     items = K.array_of_objects(df, ["k"]).first()["items"]
     assert [(x.k, x.v) for x in items] == [(1, "a"), (2, "b")]
+
+
+def test_query_result_options(spark):
+    import pytest
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
+    assert K.query_result(df, None) is df
+    assert K.query_result(df, '{"other": 1}') is df
+    s = K.query_result(df, {"WRITE": {"output_table": "spark_catalog.default.trellis_t_query"}}, ["k"]).first()
+    assert (s.output_table, s.row_count) == ("spark_catalog.default.trellis_t_query", 2)
+    back = spark.table("spark_catalog.default.trellis_t_query")
+    assert sorted((r.row_index, r.v) for r in back.select(
+        "row_index", F.variant_get("row_data", "$.v", "string").alias("v")).collect()) == [(0, "a"), (1, "b")]
+    with pytest.raises(ValueError):
+        K.query_result(df, '{"write": {"outputTable": "not_qualified"}}')
+    spark.sql("DROP TABLE IF EXISTS spark_catalog.default.trellis_t_query")

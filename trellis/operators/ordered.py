@@ -21,12 +21,12 @@ def global_lag(df: DataFrame, order: list[str], cols: list[str], n_ranges: int |
                prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` for every ``c`` in ``cols``: the value on the previous row by ``order``
     (``order`` must be a total order, e.g. end with a unique id)."""
-    spark = df.sparkSession
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     # the range id must be one fixed value per row for both uses below (AQE may
     # coalesce the range partitions differently in two plan branches), so the
     # narrow projection is written once to the shared checkpoint folder
-    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_rng", F.spark_partition_id()))
+    byrange = df.repartitionByRange(n_ranges, *order) if n_ranges else df.repartitionByRange(*order)
+    ranged = cut_lineage(byrange.withColumn("_rng", F.spark_partition_id()))
     w = Window.partitionBy("_rng").orderBy(*order)
     inner = ranged
     for c in cols + order:

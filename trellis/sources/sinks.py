@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +40,9 @@ def with_row_index(df: DataFrame, order: list[str], n_ranges: int | None = None)
     Rows are range-partitioned on the order; the range id is materialised once
     (checkpoint) so counting and numbering see the same ranges; each row's
     index is its range's offset plus its number inside the range."""
-    spark = df.sparkSession
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_rng", F.spark_partition_id()))
+    # without an explicit count AQE may merge small ranges; the range id is written once either way
+    byrange = df.repartitionByRange(n_ranges, *order) if n_ranges else df.repartitionByRange(*order)
+    ranged = cut_lineage(byrange.withColumn("_rng", F.spark_partition_id()))
     counts = ranged.groupBy("_rng").agg(F.count("*").alias("_n"))
     # one row per range: a running sum over a table of at most n rows
     offsets = counts.select("_rng", (F.sum("_n").over(Window.orderBy("_rng")
@@ -71,6 +72,30 @@ def write_rows(df: DataFrame, output: str, order: list[str], as_table: bool = Fa
         F.lit(output).alias("output_table"), "row_count", F.lit(WRITE_NOTE).alias("note"))
 
 
+WRITE_KEYS = ["write", "WRITE"]
+TABLE_KEYS = ["outputTable", "output_table", "OUTPUTTABLE", "OUTPUT_TABLE"]
+
+
+def _first_key(obj, names):
+    for n in names:
+        if isinstance(obj, dict) and n in obj:
+            return obj[n]
+    return None
+
+
+def query_result(df: DataFrame, options=None, order: list[str] | None = None) -> DataFrame:
+    """``graph_query(graph, query, options)``: without ``write`` options the rows
+    themselves; with them (F24: looked up under several spellings, options as a dict
+    or JSON text) the rows are written to the checked table and the summary row is
+    returned (S10-S12).  ``order`` (default: all columns) fixes ROW_INDEX."""
+    opts = json.loads(options) if isinstance(options, str) else (options or {})
+    write = _first_key(opts, WRITE_KEYS)
+    if write is None:
+        return df
+    table = check_table_name(_first_key(write, TABLE_KEYS))
+    return write_rows(df, table, order or df.columns, as_table=True)
+
+
 def parse_or_raw(text: Column) -> Column:
     """JSON text → VARIANT; unparseable text → ``{"raw_result": text}``; SQL null → null."""
     return F.when(text.isNull(), F.lit(None)).otherwise(
