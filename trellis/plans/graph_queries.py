@@ -11,6 +11,7 @@ from trellis.plans import fixtures as fx
 from trellis.plans.oracle_sql import cte
 from trellis.plans.registry import register
 from trellis.model import Graph
+from trellis.sources.sinks import query_echo as echo_rows
 
 
 # ------------------------------------------------------------------ M5 A2 R7
@@ -161,8 +162,7 @@ def query_echo(spark, sf):
     m = g.match("c", "Customer").out("r", "PLACED", "o", "Order")
     res = m.agg({"c_mktsegment": "c.c_mktsegment"}, n_orders=F.count(F.lit(1)))
     text = "MATCH (c:Customer)-[:PLACED]->(o:Order) RETURN c.c_mktsegment, count(*)"
-    return res.select(F.lit("trade").alias("graph_name"), F.lit(text).alias("cypher_query"),
-                      F.to_json(F.struct("c_mktsegment", "n_orders")).alias("result"))
+    return echo_rows("trade", text, res)
 
 
 # ------------------------------------------------------------------ M8 M12 M13 M14
