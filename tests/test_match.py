@@ -79,3 +79,10 @@ def test_pattern_relationships_distinct_across_var_length(spark):
     m2 = g.match("a", "N").var_hop("R", "b", "N", 1, 2, path="p").out("r", "R", "c", "N")
     got = m2.df.where(F.array_contains("p__rels", F.col("r__rel_id"))).count()
     assert got == 0 and m2.df.count() > 0
+
+
+def test_cross_match_refuses_two_large_sides(spark):
+    big = spark.range(0, 10_050).select(F.col("id").alias("k"))
+    g = Graph().with_nodes("B", big, "k")
+    with pytest.raises(ValueError):
+        g.match("a", "B").bind("b", "B")

@@ -36,3 +36,23 @@ def test_degree_directions(spark):
     assert {r.id: r.degree for r in degree(g, "V", "E", "out").collect()} == {1: 2, 2: 1, 3: 0}
     assert {r.id: r.degree for r in degree(g, "V", "E", "in").collect()} == {1: 0, 2: 1, 3: 2}
     assert {r.id: r.degree for r in degree(g, "V", "E", "both").collect()} == {1: 2, 2: 2, 3: 2}
+
+
+def test_pagerank_tolerance_mode_converges(spark):
+    n = 8
+    edges = [(i, i, (i + 1) % n) for i in range(n - 1)] + [(50, 0, 4), (51, 2, 6)]  # node 7 dangles
+    nodes = spark.createDataFrame([(i,) for i in range(n)], "id long")
+    e = spark.createDataFrame(edges, "rel_id long, src long, dst long")
+    g = Graph().with_nodes("V", nodes, "id").with_rels("E", "V", "V", e)
+    got = {r.id: r.score for r in page_rank(g, "V", "E", max_rounds=200, tol=1e-12).collect()}
+    out = {}
+    for _, s, d in edges:
+        out.setdefault(s, []).append(d)
+    r = np.full(n, 1.0 / n)
+    for _ in range(500):
+        nr = np.full(n, 0.15 / n) + 0.85 * sum(r[i] for i in range(n) if i not in out) / n
+        for s, ds in out.items():
+            for d in ds:
+                nr[d] += 0.85 * r[s] / len(ds)
+        r = nr
+    assert max(abs(got[i] - r[i]) for i in range(n)) < 1e-9
