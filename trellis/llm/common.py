@@ -37,9 +37,13 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+WHITE = " \t\n\x0b\f\r"
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null or blank texts."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACES))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

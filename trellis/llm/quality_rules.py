@@ -29,29 +29,37 @@ MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 
 
-def _count(text: Column, regex: str) -> Column:
-    """Code points that the class ``regex`` matches."""
-    return F.length(text) - F.length(F.regexp_replace(text, f"{regex}+", ""))
+FEW = 24
+COUNTED = {"n_symbols": SYMBOLS, "bangs": "!", "digits": "0123456789", "stops": "."}
+
+
+def _less(longer: Column, shorter: Column) -> Column:
+    return (F.length(longer) - F.length(shorter)).cast("long")
 
 
 def _count_of(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    return _less(text, F.translate(text, chars, ""))
 
 
 def repeated_words(w: Column) -> Column:
     """Words inside three-word windows that occur twice or more (first occurrence included)."""
-    def covered(windows: Column) -> Column:
+    def places(windows: Column) -> Column:
+        """Starts of the windows that have a twin, in order."""
+        twins = let(F.sort_array(windows), lambda s: F.array_distinct(
+            F.filter(s, lambda x, k: (k > 0) & (F.get(s, k - 1) == x))))
+        every = F.sequence(F.lit(0), F.size(windows) - 1)
+        # a few repeated windows are looked up one by one, many by sorting hashes with their places
+        looked_up = lambda t: F.filter(every, lambda i: F.array_contains(t, F.get(windows, i)))
         by_hash = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        sorted_out = let(by_hash, lambda s: F.sort_array(F.transform(
+            F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["h"] == x["h"])) | (F.get(s, k + 1)["h"] == x["h"])),
+            lambda x: x["i"])))
+        return let(twins, lambda t: F.when(F.size(t) <= FEW, looked_up(t)).otherwise(sorted_out))
 
-        def places(s: Column) -> Column:
-            last = F.size(s) - 1
-            twin = F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["h"] == x["h"]))
-                            | ((k < last) & (F.get(s, k + 1)["h"] == x["h"])))
-            return F.sort_array(F.transform(twin, lambda x: x["i"]))
-
+    def covered(windows: Column) -> Column:
         start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
         return F.aggregate(
-            let(by_hash, places), start,
+            places(windows), start,
             lambda acc, p: F.struct((p + 3).alias("end"), (acc["n"] + p + 3 - F.greatest(acc["end"], p)).alias("n")),
             lambda acc: acc["n"])
 
@@ -64,27 +72,29 @@ def repeated_words(w: Column) -> Column:
     return let(w, of)
 
 
-def repeated_lines(text: Column) -> Column:
+def repeated_lines(lines: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, " \t\n\x0b\f\r", "") != "")
-    return let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))
+    return let(F.filter(lines, lambda x: x.rlike("[^\\x20\\x09-\\x0D]")), lambda a: F.size(a) - F.size(F.array_distinct(a)))
 
 
 def text_figures(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns and the figures the rules look at (prefix ``q_``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
+    rest = F.regexp_replace(text, "[\\p{L}\\s]+", "")     # neither letter nor ASCII space: short in prose
+    facts = docs.select(
         *keep,
         let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"),
+                                            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
                                             repeated_words(w).cast("long").alias("n_repeat_words"))).alias("q_w"),
-        F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long").alias("q_word_chars"),
-        _count_of(text, SYMBOLS).cast("long").alias("q_n_symbols"),
-        repeated_lines(text).cast("long").alias("q_n_dup_lines"),
-        F.size(F.split(text, "\n")).cast("long").alias("q_n_lines"),
-        _count(text, "\\p{Lu}").alias("q_upper"), _count(text, "\\p{L}").alias("q_letters"),
-        _count_of(text, "!").alias("q_bangs"), _count_of(text, "0123456789").alias("q_digits"),
-        _count_of(text, ".").alias("q_stops"),
-    ).withColumns({"q_n_words": F.col("q_w.n_words"), "q_n_repeat_words": F.col("q_w.n_repeat_words")}).drop("q_w")
+        let(F.split(text, "\n"), lambda x: F.struct(F.size(x).cast("long").alias("n_lines"),
+                                                    repeated_lines(x).cast("long").alias("n_dup_lines"))).alias("q_l"),
+        _less(text, F.regexp_replace(text, "\\p{Lu}+", "")).alias("q_upper"), rest.alias("q_rest"))
+    return facts.select(
+        *keep, "q_upper", F.col("q_w.n_words").alias("q_n_words"), F.col("q_w.word_chars").alias("q_word_chars"),
+        F.col("q_w.n_repeat_words").alias("q_n_repeat_words"), F.col("q_l.n_lines").alias("q_n_lines"),
+        F.col("q_l.n_dup_lines").alias("q_n_dup_lines"),
+        (F.col("q_w.word_chars") - F.length("q_rest")).alias("q_letters"),
+        *(_count_of(F.col("q_rest"), chars).alias(f"q_{name}") for name, chars in COUNTED.items()))
 
 
 def rule_votes() -> dict[str, Column]:
