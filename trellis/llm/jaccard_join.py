@@ -357,7 +357,7 @@ def band_pairs(post: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
 # -- the join ----------------------------------------------------------------------------
 
 def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles of every row; doc_id, component_id of ids with at least one link or copy)."""
+    """(doc_id, n_shingles of every row; doc_id, component_id, n_rows of the ids that can have a link)."""
     share = store(shared_share(docs, k), "near-share")
     likely = (share.filter(f"doc_id IS NOT NULL AND n_shingles > 0 AND n_shared * 100 >= n_shingles * {PERCENT}")
               .groupBy("doc_id").agg(F.max("n_shared").alias("n_shared")))
@@ -382,18 +382,35 @@ def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFra
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a")
     same_id = member.join(several, "doc_id").select("a", F.col("rep").alias("b"))
     comps = components(stars.union(more).union(same_id))
+    rows = sets.groupBy("doc_id").agg(F.count("*").alias("n_rows"))
     found = (member.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-             .groupBy("doc_id").agg(F.min(F.coalesce("comp", "rep")).alias("component_id")))
+             .groupBy("doc_id").agg(F.min(F.coalesce("comp", "rep")).alias("component_id")).join(rows, "doc_id"))
     return share.select("doc_id", "n_shingles"), store(found, "near-found")
 
 
 def join_components(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     rows, found = near_components(docs, k)
-    return (rows.join(found, "doc_id", "left")
+    return (rows.join(found.select("doc_id", "component_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, with one document of each group: the one of smallest id.
+
+    Texts without words and rows without an id stay; of several rows with this id one stays."""
+    _, found = near_components(docs)
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("near_id"))
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("near_id"), "left_anti")
+    again = store(found.filter("n_rows > 1").select(F.col("doc_id").alias("near_id")), "near-again")
+    if again.isEmpty():
+        return kept
+    same = F.col("doc_id").cast("long") == F.col("near_id")
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    several = kept.filter(has_words).join(again, same, "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, same & has_words, "left_anti").unionByName(several)
+
+
 @register("op6_jaccard_tiles")
 def op6_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by a shingle Jaccard of 0.75 or more."""

@@ -156,6 +156,19 @@ def token_digest(docs: DataFrame) -> DataFrame:
 
 WEIGHTS = {"mix_domain": DOMAIN_WEIGHTS, "mix_lang": LANG_WEIGHTS}
 
+def mix(docs: DataFrame) -> DataFrame:
+    """The mixture: each document, with all its columns, once for each epoch it is in.
+
+    Copies are found from the leaf's row of the plan, so texts are not shuffled."""
+    digest = store(token_digest(docs), "mix-digest")
+    plan = plan_mixture(digest, LEVELS, WEIGHTS)
+    names = docs.columns
+    rows = with_levels(docs).select("doc_id", *LEVELS, F.struct(*names).alias("mix_row"))
+    return (copies_of(rows, plan, LEVELS)
+            .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("mix_epoch"))
+            .select(*(F.col("mix_row")[c].alias(c) for c in names)))
+
+
 OP1_SQL = """
 WITH d AS (
   SELECT doc_id,

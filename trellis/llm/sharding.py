@@ -10,7 +10,7 @@ The map has one row per slot (``n_slots``, a parameter), so the passes over it a
 
 Defined results: a null text has no bytes (its size is the fixed overhead, its checksum 0);
 rows with equal ids, also null ids, share a slot; an empty table gives an empty result and a
-map with all slots; columns other than ``doc_id`` and ``text`` are ignored.
+map with all slots; columns other than ``doc_id`` and ``text`` are ignored (``with_shards`` keeps them, but for its own two names).
 """
 
 from __future__ import annotations
@@ -110,17 +110,30 @@ def assign(digest: DataFrame, slot_map: DataFrame, weights: DataFrame) -> DataFr
             .withColumn("slot", (F.col("start") + F.col("nth")).cast("long")))
 
 
-def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS) -> tuple[DataFrame, DataFrame]:
-    """Shard documents by size: returns (records with shard and slot, final slot map).
-
-    Two map versions are stored: the first deal, and its edit by the measured bytes."""
-    spark = docs.sparkSession
-    digest = store(record_digest(docs, n_slots), "shard-digest")
+def fitted_map(digest: DataFrame, n_shards: int, n_slots: int) -> tuple[DataFrame, DataFrame]:
+    """(slot map, slot weights) for these records.  Two versions are stored: the first deal,
+    and its edit by the measured bytes, which is returned."""
+    spark = digest.sparkSession
     weights = store(slot_weights(digest, n_slots), "shard-weights")
     folder = scratch_path(spark, "slot-map")
     v0 = save_map(first_map(spark, n_slots, n_shards), folder, 0)
-    v1 = save_map(rebalance(v0, weights, n_shards), folder, 1)
-    return assign(digest, v1, weights), v1
+    return save_map(rebalance(v0, weights, n_shards), folder, 1), weights
+
+
+def with_shards(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS) -> DataFrame:
+    """``docs``, all columns, with virtual_slot and shard; texts stay where they are."""
+    slot_map, _ = fitted_map(record_digest(docs, n_slots), n_shards, n_slots)
+    names = [c for c in docs.columns if c not in ("virtual_slot", "shard")]
+    found = slot_map.select(F.col("vslot").alias("virtual_slot"), "shard")
+    return (docs.select(*names).withColumn("virtual_slot", slot_of(F.col("doc_id"), n_slots))
+            .join(F.broadcast(found), "virtual_slot").select(*names, "virtual_slot", "shard"))
+
+
+def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS) -> tuple[DataFrame, DataFrame]:
+    """Shard documents by size: returns (records with shard and slot, final slot map)."""
+    digest = store(record_digest(docs, n_slots), "shard-digest")
+    slot_map, weights = fitted_map(digest, n_shards, n_slots)
+    return assign(digest, slot_map, weights), slot_map
 
 
 @register("op4_virtual_slots")
