@@ -71,7 +71,7 @@ def shingle_hashes(h: np.ndarray, bounds: np.ndarray, k: int = 5, short_whole: b
     else none; a text without words has none."""
     n = np.diff(bounds)
     sums = np.zeros(max(len(h) - k + 1, 0), np.uint64)
-    for j in range(k):
+    for j in range(k if len(sums) else 0):
         sums += h[j:len(h) - k + 1 + j] * _PLACE[j]
     full = np.maximum(n - k + 1, 0)
     first = np.repeat(bounds[:-1], full) if len(sums) else np.zeros(0, np.int64)
