@@ -167,6 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
 
     got = (training_rows(docs, labels, max_rows).repartition(1)
            .mapInPandas(run, "value binary, bias double").first())          # one row
+    if got is None:                                                         # no labelled row at all
+        return train([], [])
     return Model(np.frombuffer(got["value"], np.float32), got["bias"])
 
 
