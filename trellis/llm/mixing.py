@@ -163,7 +163,7 @@ def mix(docs: DataFrame) -> DataFrame:
     digest = store(token_digest(docs), "mix-digest")
     plan = plan_mixture(digest, LEVELS, WEIGHTS)
     names = docs.columns
-    rows = with_levels(docs).select("doc_id", *LEVELS, F.struct(*names).alias("mix_row"))
+    rows = with_levels(docs.select("doc_id", "lang", "source", F.struct(*names).alias("mix_row")))
     return (copies_of(rows, plan, LEVELS)
             .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("mix_epoch"))
             .select(*(F.col("mix_row")[c].alias(c) for c in names)))
