@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,7 @@ WORDS = 5             # words in a shingle
 BLOCK = 4096          # sets of a tile that one task compares with as many
 BITS = 8              # bitmap bits per set element, at least
 PACKED = 5            # bytes of a hash inside its part
+NO_ID = -2**63        # a null id on its way through packed arrays
 
 
 def text_sets(texts: list[str | None], k: int, most: int = 8_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -67,7 +69,7 @@ def _deal(n_parts: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = pc.fill_null(b.column("doc_id"), NO_ID).to_numpy()
             for first, values, bounds in text_sets(b.column("text").to_pylist(), k):
                 n = len(bounds) - 1
                 sizes = np.diff(bounds)
@@ -144,7 +146,8 @@ def shared_share(docs: DataFrame, k: int = WORDS) -> DataFrame:
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_deal(n_parts, k), _PARTS)
     answers = dealt.groupBy("part").applyInArrow(_count_shared, _REPLY)
-    return answers.groupBy("chunk").applyInArrow(_add_up, _SHARE)
+    return (answers.groupBy("chunk").applyInArrow(_add_up, _SHARE)
+            .withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))))
 
 
 # -- 2. classes --------------------------------------------------------------------------
@@ -401,11 +404,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Texts without words and rows without an id stay; of several rows with this id one stays."""
     _, found = near_components(docs)
     gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("near_id"))
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("near_id"), "left_anti")
+    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["near_id"], "left_anti")
     again = store(found.filter("n_rows > 1").select(F.col("doc_id").alias("near_id")), "near-again")
     if again.isEmpty():
         return kept
-    same = F.col("doc_id").cast("long") == F.col("near_id")
+    same = kept["doc_id"].cast("long") == again["near_id"]
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
     several = kept.filter(has_words).join(again, same, "left_semi").dropDuplicates(["doc_id"])
     return kept.join(again, same & has_words, "left_anti").unionByName(several)
