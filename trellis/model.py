@@ -42,6 +42,9 @@ class Graph:
         nodes[label] = df
         keys = dict(self.keys)
         keys[label] = key
+        if label in self.nodes:      # a new node set: earlier promises about this label no longer hold
+            return replace(self, nodes=nodes, keys=keys, integrity=frozenset(
+                x for x in self.integrity if label != (x[1] if x[3] == "src" else x[2])))
         return replace(self, nodes=nodes, keys=keys)
 
     def with_rels(self, rel_type: str, src_label: str, dst_label: str, df: DataFrame,

@@ -33,6 +33,8 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     for (t, s, d), df in graph.rel_tables(rel_type, label, label):
         part = df.select("src", "dst")
         edges = part if edges is None else edges.unionAll(part)
+    if edges is None:                                    # no relationships: even scores
+        return nodes.withColumn("score", F.lit(1.0 / n))
     ids = nodes.select(F.col("id").alias("k"))
     edges = (edges.join(ids, F.col("src") == F.col("k"), "left_semi")
              .join(ids, F.col("dst") == F.col("k"), "left_semi").distinct())
@@ -75,8 +77,9 @@ def page_rank_top(graph: Graph, label: str, rel_type: str, prop: str, k: int, **
     """P10 ``page_rank(graph, label, rel_type, prop, k)``: ``node, score`` top k."""
     ranks = page_rank(graph, label, rel_type, **kw)
     props = graph.nodes[label].select(graph.id_col(label).alias("id"), F.col(prop).alias("node"))
-    scored = ranks.join(props, "id").select("node", F.round("score", 9).alias("score"))
-    return top_k(scored, k, ("score", "desc"), ("node", "asc"))
+    # the scores as they are decide; they are rounded for output only
+    best = top_k(ranks.join(props, "id").select("node", "score"), k, ("score", "desc"), ("node", "asc"))
+    return best.select("node", F.round("score", 9).alias("score"))
 
 
 def degree(graph: Graph, label: str, rel_type: str | None = None, direction: str = "out") -> DataFrame:

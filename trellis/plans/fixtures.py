@@ -140,10 +140,10 @@ def usage_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf_dir, "customer")
     old = c.where(F.col("c_custkey") % 3 != 0)
-    new = c.where(F.col("c_custkey") % 2 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    new = c.where("c_custkey % 2 = 0 OR c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
     return old, new
 
 
 def order_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = table(spark, sf_dir, "orders")
-    return o.where(F.col("o_orderkey") % 3 != 0), o.where(F.col("o_orderkey") % 2 == 0)
+    return o.where(F.col("o_orderkey") % 3 != 0), o.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")

@@ -42,9 +42,9 @@ usage_apps AS (SELECT
     "halves": """
 cust_old AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0),
 cust_new AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment
-             FROM customer WHERE c_custkey % 2 = 0),
+             FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0),
 ord_old AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0),
-ord_new AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0)""",
+ord_new AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)""",
 }
 
 

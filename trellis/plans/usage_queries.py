@@ -110,13 +110,13 @@ def subscriptions(spark, sf):
 
 # ------------------------------------------------------------------ J6-J9
 _HALF_OLD = "c_custkey % 3 <> 0"
-_HALF_NEW = "c_custkey % 2 = 0"
+_HALF_NEW = "(c_custkey % 2 = 0 OR c_custkey % 3 = 0)"
 
 
 def _half_subs(spark, sf):
     apps = _apps(spark, sf)
-    old = _subs(spark, sf, apps.where(F.col("c_custkey") % 3 != 0)).withColumn("hs_status", F.lit("stale"))
-    new = _subs(spark, sf, apps.where(F.col("c_custkey") % 2 == 0))
+    old = _subs(spark, sf, apps.where(_HALF_OLD)).withColumn("hs_status", F.lit("stale"))
+    new = _subs(spark, sf, apps.where(_HALF_NEW))
     return old, new
 
 

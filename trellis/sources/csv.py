@@ -66,16 +66,24 @@ def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | str,
     return r.csv(path)
 
 
-def read_inferred(spark: SparkSession, path: str, reviewed: dict[str, str], sampling_ratio: float = 0.1) -> DataFrame:
-    """Let Spark guess types on a sample, then apply the reviewed types explicitly
-    (a guess never reaches the result; ``try_cast`` leaves a bad value null)."""
-    r = (spark.read.option("header", "true").option("inferSchema", "true")
-         .option("samplingRatio", str(sampling_ratio)))
+def _header_reader(spark: SparkSession):
+    r = spark.read.option("header", "true")
     for k, v in READ_OPTS.items():
         r = r.option(k, v)
-    df = r.csv(path)
-    return df.select(*[F.col(c).cast("string").try_cast(t).alias(c) if c in reviewed else F.col(c)
-                       for c in df.columns for t in [reviewed.get(c)]])
+    return r
+
+
+def propose_types(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> dict[str, str]:
+    """Column types guessed from a sample, for review; no data is read by them."""
+    guess = _header_reader(spark).option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).csv(path)
+    return {f.name: f.dataType.simpleString() for f in guess.schema.fields}
+
+
+def read_inferred(spark: SparkSession, path: str, reviewed: dict[str, str]) -> DataFrame:
+    """Read every field as text, then apply the reviewed types (see ``propose_types``);
+    ``try_cast`` leaves a bad value null, a column without a reviewed type stays text."""
+    df = _header_reader(spark).csv(path)
+    return df.select(*(F.col(c).try_cast(reviewed[c]).alias(c) if c in reviewed else F.col(c) for c in df.columns))
 
 
 def inline_csv(df: DataFrame, text_col: str, schema_ddl: str, keep: list[str] | None = None) -> DataFrame:
