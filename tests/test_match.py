@@ -1,10 +1,12 @@
-"""Pattern-builder semantics: undirected = both directions, isomorphism, trails, bounded cross match."""
+"""Pattern-builder semantics: undirected = both directions, isomorphism, trails, linked matches."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from trellis.model import Graph
+from trellis.operators.match import Match
+from trellis.operators.paths import trails
 
 
 def ring_graph(spark):
@@ -53,9 +55,10 @@ def test_var_length_trails_match_brute_force(spark, lo, hi, und):
     assert rows(got) == brute_trails(edges, lo, hi, und)
 
 
-def test_cross_match_requires_a_small_side(spark):
+def test_two_endpoints_from_one_row(spark):
     g, _ = ring_graph(spark)
-    m = g.match("a", "N", name="n0").bind("b", "N", name="n1")
+    m = Match.from_rows(g, spark.createDataFrame([("n0", "n1"), ("n0", "zz")], "x string, y string"))
+    m = m.bind("a", "N", name=m.c("row.x")).bind("b", "N", name=m.c("row.y"))
     assert rows(m.ret(a="a", b="b")) == [("n0", "n1")]
 
 
@@ -81,8 +84,43 @@ def test_pattern_relationships_distinct_across_var_length(spark):
     assert got == 0 and m2.df.count() > 0
 
 
-def test_cross_match_refuses_two_large_sides(spark):
-    big = spark.range(0, 10_050).select(F.col("id").alias("k"))
-    g = Graph().with_nodes("B", big, "k")
-    with pytest.raises(ValueError):
-        g.match("a", "B").bind("b", "B")
+def test_unrelated_match_is_refused_at_any_size(spark):
+    for n in (1, 10_050):
+        g = Graph().with_nodes("B", spark.range(0, n).select(F.col("id").alias("k")), "k")
+        with pytest.raises(ValueError):
+            g.match("a", "B").bind("b", "B")
+
+
+def two_label_graph(spark):
+    """Three C and two S, all in the one N; ids repeat between the tables."""
+    ids = lambda n: spark.range(n).select(F.col("id").alias("k"))
+    rel = lambda n: spark.range(n).select(F.col("id").alias("rel_id"), F.col("id").alias("src"), F.lit(0).cast("long").alias("dst"))
+    return (Graph().with_nodes("C", ids(3), "k").with_nodes("S", ids(2), "k")
+            .with_nodes("N", spark.createDataFrame([(0, "x")], "k long, nn string"), "k")
+            .with_rels("IN", "C", "N", rel(3), dst_exists=True).with_rels("IN", "S", "N", rel(2), dst_exists=True))
+
+
+def test_relationships_of_two_tables_with_equal_ids_differ(spark):
+    g = two_label_graph(spark)
+    assert g.match("c", "C").out("r", "IN", "n", "N").inc("q", "IN", "s", "S").df.count() == 6
+
+
+def test_unlabelled_start_joins_by_label_too(spark):
+    g = two_label_graph(spark)
+    assert rows(g.match("x").out("r", "IN", "n", "N").ret(label="labels(x)", x="x")) == \
+        [("C", 0), ("C", 1), ("C", 2), ("S", 0), ("S", 1)]
+
+
+def test_consecutive_match_keeps_nodes_not_yet_joined(spark):
+    g = two_label_graph(spark)
+    both = g.match("c", "C").join(g.match("c", "C").out("r", "IN", "n", "N"))
+    assert rows(both.ret("n.nn", c="c")) == [("x", 0), ("x", 1), ("x", 2)]
+
+
+def test_trails_over_two_types_with_equal_ids(spark):
+    ids = spark.range(3).select(F.col("id").alias("k"))
+    one = spark.createDataFrame([(1, 0, 1)], "rel_id long, src long, dst long")
+    two = spark.createDataFrame([(1, 1, 2)], "rel_id long, src long, dst long")
+    g = Graph().with_nodes("V", ids, "k").with_rels("A", "V", "V", one).with_rels("B", "V", "V", two)
+    got = trails(g, ids.select(F.col("k").alias("start")), ["A", "B"], "V", "V", 2, 2)
+    assert rows(got.select("start", "cur")) == [(0, 2)]

@@ -73,3 +73,31 @@ def test_table_upsert_delete_ensure(spark):
     assert rows(delete_keys(out, spark.createDataFrame([("A",)], "key string"), ["key"])) == [("B", "20"), ("C", "30")]
     e = ensure_columns(out, {"key": "string", "extra": "int"})
     assert e.columns == ["key", "value", "extra"] and e.schema["extra"].dataType.simpleString() == "int"
+
+
+def test_two_creates_get_different_ids(spark):
+    g = Graph().with_nodes("N", spark.createDataFrame([(1,), (2,), (3,)], "k long"), "k")
+    for a, b in ((1, 2), (2, 3)):
+        inp = spark.createDataFrame([(a, b)], "a long, b long")
+        g = create_rels(g, "T", "N", "N", inp, {"k": "a"}, {"k": "b"})
+    hops = g.match("x", "N").out("r", "T", "y", "N").out("q", "T", "z", "N")
+    assert rows(hops.ret(x="x", z="z")) == [(1, 3)]
+
+
+def test_merge_then_create_and_parallel_rels_keep_their_ids(spark):
+    g = Graph().with_nodes("N", spark.createDataFrame([(1,), (2,)], "k long"), "k")
+    g = g.with_rels("R", "N", "N", spark.createDataFrame([(7, 1, 2), (8, 1, 2)], "rel_id long, src long, dst long"))
+    inp = spark.createDataFrame([(1, 2), (2, 1)], "a long, b long")
+    g, touched = merge_rels(g, "R", "N", "N", inp, {"k": "a"}, {"k": "b"})
+    got = rows(g.rels[("R", "N", "N")], "src", "dst", "rel_id")
+    assert [r[:2] for r in got] == [(1, 2), (1, 2), (2, 1)] and {r[2] for r in got[:2]} == {"7", "8"}
+    assert "rel_id" not in touched.columns
+    g = create_rels(g, "R", "N", "N", inp, {"k": "a"}, {"k": "b"}, rel_id=F.col("a"))
+    assert g.rels[("R", "N", "N")].count() == 5
+
+
+def test_first_load_of_a_struct_property(spark):
+    inp = spark.createDataFrame([(1, 2.0, 3.0)], "k long, x double, y double")
+    g, _ = merge_nodes(Graph(), "P", inp, {"k": "k"}, set_={"loc": F.struct("x", "y"), "tags": F.array("x")})
+    got = g.nodes["P"].first()
+    assert got["loc"]["y"] == 3.0 and got["tags"] == [2.0]

@@ -18,11 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trellis.model import Graph
-from trellis.session import require_small
 
 SEP = "__"
 # columns the edge view adds next to rel_id (a relationship property may not use them)
-RESERVED_EDGE_COLUMNS = {"a", "b", "type", "far_label"}
+RESERVED_EDGE_COLUMNS = {"a", "b", "type", "tab", "near_label", "far_label"}
 
 
 def _node_frame(graph: Graph, var: str, labels: list[str]) -> DataFrame:
@@ -41,9 +40,28 @@ def _eq_filter(var: str, props: dict) -> Column | None:
     return reduce(lambda a, b: a & b, conds) if conds else None
 
 
+def edge_identity(prefix: str = "") -> Column:
+    """A relationship among those of several tables: (table, id)."""
+    return F.struct(F.col(f"{prefix}tab").alias("tab"), F.col(f"{prefix}rel_id").cast("string").alias("rel_id")).alias("rel_id")
+
+
+def edge_tables(graph: Graph, types: list[str | None], near_label: str | None, far_labels: list[str] | None,
+                direction: str) -> int:
+    """How many relationship tables a step over these types reads."""
+    keys = set()
+    for t in types:
+        for (rt, s, d), _ in graph.rel_tables(t):
+            for way in (["out", "in"] if direction == "both" else [direction]):
+                near, far = (s, d) if way == "out" else (d, s)
+                if (near_label is None or near == near_label) and (far_labels is None or far in far_labels):
+                    keys.add((rt, s, d))
+    return len(keys)
+
+
 def edge_frame(graph: Graph, rel_type: str | None, near_label: str | None,
                far_labels: list[str] | None, direction: str) -> tuple[DataFrame, list[str]]:
-    """Relationships seen from the near end: ``rel_id, a (near id), b (far id), far_label, props``.
+    """Relationships seen from the near end: ``rel_id, a (near id), b (far id),
+    type, tab (the relationship table), near_label, far_label, props``.
 
     ``direction`` is ``out`` (near is the source), ``in`` or ``both``; for
     ``both`` each relationship appears once per direction with the same
@@ -51,6 +69,7 @@ def edge_frame(graph: Graph, rel_type: str | None, near_label: str | None,
     """
     parts, labels = [], set()
     dirs = ["out", "in"] if direction == "both" else [direction]
+    ids = {df.schema["rel_id"].dataType for _, df in graph.rel_tables(rel_type)}
     for d in dirs:
         for (t, s, dl), df in graph.rel_tables(rel_type):
             near, far = (s, dl) if d == "out" else (dl, s)
@@ -62,8 +81,9 @@ def edge_frame(graph: Graph, rel_type: str | None, near_label: str | None,
             if clash:
                 raise ValueError(f"relationship property names {sorted(clash)} are reserved")
             a, b = ("src", "dst") if d == "out" else ("dst", "src")
-            e = df.select(F.col("rel_id"), F.col(a).alias("a"), F.col(b).alias("b"),
-                          F.lit(t).alias("type"), F.lit(far).alias("far_label"),
+            e = df.select(F.col("rel_id").cast("string").alias("rel_id") if len(ids) > 1 else F.col("rel_id"), F.col(a).alias("a"), F.col(b).alias("b"),
+                          F.lit(t).alias("type"), F.lit("|".join((t, s, dl))).alias("tab"),
+                          F.lit(near).alias("near_label"), F.lit(far).alias("far_label"),
                           *[F.col(c) for c in df.columns if c not in ("rel_id", "src", "dst")])
             if direction == "both" and d == "in":
                 e = e.where(F.col("a") != F.col("b"))
@@ -137,8 +157,9 @@ class Match:
     def bind(self, var: str, label: str, **props) -> Match:
         """Another ``MATCH (var:label {k: v})``.  Values may be columns of bound
         variables (M14, row-driven match: an equi join).  With only literal
-        values the new side is unrelated to the rows so far (M12): it must be
-        proven small and is broadcast; we never pair two large sides."""
+        values the new side is unrelated to the rows so far; that is
+        refused: all pairs of two sides is not a join.  Bind both ends from one
+        row instead (``from_rows`` and two linked ``bind`` calls)."""
         frame = _node_frame(self.graph, var, [label])
         literal = {k: v for k, v in props.items() if not isinstance(v, Column)}
         linked = {k: v for k, v in props.items() if isinstance(v, Column)}
@@ -150,18 +171,24 @@ class Match:
         if linked:
             cond = reduce(lambda a, b: a & b, [F.col(f"{var}{SEP}{k}") == v for k, v in linked.items()])
             return self._new(self.df.join(frame, cond, "inner"), nodes=nodes)
-        small = require_small(frame, 10_000, f"MATCH ({var}:{label})")
-        return self._new(self.df.crossJoin(small), nodes=nodes)
+        raise ValueError(f"MATCH ({var}:{label}) shares no value with the rows so far; link it by a column")
 
     def join(self, other: Match) -> Match:
         """Consecutive MATCH clauses (M13): inner join on the shared variables."""
         shared = [v for v in other.nodes if v in self.nodes] + [v for v in other.rels if v in self.rels]
         if not shared:
-            raise ValueError("no shared variable; use bind() with a proven-small side")
+            raise ValueError("no shared variable")
         keys = [f"{v}{SEP}{'_id' if v in other.nodes else 'rel_id'}" for v in shared]
+        # ids are unique per label and per relationship table only
+        finer = [f"{v}{SEP}{'_label' if v in other.nodes else 'tab'}" for v in shared]
+        keys += [c for c in finer if c in self.df.columns and c in other.df.columns]
         drop = [c for c in other.df.columns if c in self.df.columns and c not in keys]
         df = self.df.join(other.df.drop(*drop), keys, "inner")
-        return self._new(df, nodes={**self.nodes, **other.nodes}, rels={**self.rels, **other.rels})
+        # a node is pending as long as neither side has joined its properties
+        pending = {v: x for m, o in ((self, other), (other, self)) for v, x in m.pending.items()
+                   if v not in o.nodes or v in o.pending}
+        return self._new(df, nodes={**self.nodes, **other.nodes}, rels={**self.rels, **other.rels},
+                         paths={**self.paths, **other.paths}, pending=pending)
 
     def hop(self, rel_var: str | None, rel_type: str | None, node_var: str, label: str | None = None,
             direction: str = "out", frm: str | None = None, rel_props: dict | None = None, **node_props) -> Match:
@@ -173,20 +200,28 @@ class Match:
         e, labels = edge_frame(self.graph, rel_type, near, far_labels, direction)
         rv = rel_var or f"_r{len(self.rels)}"
         e = e.select(*[F.col(c).alias(f"{rv}{SEP}{c}") for c in e.columns])
-        df = self.df.join(e, F.col(f"{frm}{SEP}_id") == F.col(f"{rv}{SEP}a"), "inner")
+        at = F.col(f"{frm}{SEP}_id") == F.col(f"{rv}{SEP}a")
+        if near is None:        # ids are unique per label only
+            at &= F.col(f"{frm}{SEP}_label") == F.col(f"{rv}{SEP}near_label")
+        df = self.df.join(e, at, "inner")
         if rel_props:
             df = df.where(_eq_filter(rv, rel_props))
         # relationship isomorphism: two relationship variables never bind the same relationship
         for other, t in self.rels.items():
             if rel_type is None or t is None or t == rel_type:
-                df = df.where(F.col(f"{other}{SEP}rel_id") != F.col(f"{rv}{SEP}rel_id"))
+                same_id = F.col(f"{other}{SEP}rel_id").cast("string") == F.col(f"{rv}{SEP}rel_id").cast("string")
+                if df.schema[f"{other}{SEP}rel_id"].dataType == df.schema[f"{rv}{SEP}rel_id"].dataType:
+                    same_id = F.col(f"{other}{SEP}rel_id") == F.col(f"{rv}{SEP}rel_id")
+                df = df.where((F.col(f"{other}{SEP}tab") != F.col(f"{rv}{SEP}tab")) | ~same_id)
         for other, t in self.paths.items():  # ... nor one inside a variable-length segment
             if rel_type is None or t is None or t == rel_type:
-                df = df.where(~F.array_contains(F.col(f"{other}{SEP}rels"), F.col(f"{rv}{SEP}rel_id")))
+                df = df.where(~self._on_path(df, other, rv))
         nodes = dict(self.nodes)
         pending = dict(self.pending)
         if bound:
             df = df.where(F.col(f"{node_var}{SEP}_id") == F.col(f"{rv}{SEP}b"))
+            if len(self.nodes[node_var]) > 1:
+                df = df.where(F.col(f"{node_var}{SEP}_label") == F.col(f"{rv}{SEP}far_label"))
         elif (not node_props and len(labels) == 1
               and self.graph.guaranteed(rel_type, near, labels[0], direction)):
             df = df.withColumn(f"{node_var}{SEP}_id", F.col(f"{rv}{SEP}b"))
@@ -204,6 +239,17 @@ class Match:
         rels[rv] = rel_type
         return self._new(df, nodes=nodes, rels=rels, pending=pending)
 
+    @staticmethod
+    def _on_path(df: DataFrame, path: str, rel: str) -> Column:
+        """Is the relationship one of the path's?  A path over several tables holds pairs (table, id)."""
+        held = F.col(f"{path}{SEP}rels")
+        kind = df.schema[f"{path}{SEP}rels"].dataType.elementType.simpleString()
+        if kind.startswith("struct"):
+            return F.array_contains(held, F.struct(F.col(f"{rel}{SEP}tab").alias("tab"),
+                                                   F.col(f"{rel}{SEP}rel_id").cast("string").alias("rel_id")))
+        same_table = F.col(f"{rel}{SEP}tab") == F.col(f"{path}{SEP}tab")
+        return same_table & F.array_contains(held.cast("array<string>"), F.col(f"{rel}{SEP}rel_id").cast("string"))
+
     def out(self, rel_var, rel_type, node_var, label=None, **kw) -> Match:
         return self.hop(rel_var, rel_type, node_var, label, "out", **kw)
 
@@ -231,6 +277,7 @@ class Match:
         t = t.select(F.col("start").alias(f"{pv}{SEP}start"), F.col("cur").alias(f"{pv}{SEP}end"),
                      F.col("nodes").alias(f"{pv}{SEP}nodes"), F.col("rels").alias(f"{pv}{SEP}rels"),
                      F.col("hops").alias(f"{pv}{SEP}length"),
+                     F.lit("|".join((rel_type or "", near or label or "", label or near or ""))).alias(f"{pv}{SEP}tab"),
                      *([F.col("carried").alias(f"{pv}{SEP}carried")] if carry else []))
         df = self.df.join(t, F.col(f"{frm}{SEP}_id") == F.col(f"{pv}{SEP}start"), "inner")
         far = [label] if label else self.nodes[frm]
@@ -239,7 +286,7 @@ class Match:
         # relationships of one pattern are distinct: the segment avoids the ones already bound
         for other, t in self.rels.items():
             if t is None or t == rel_type:
-                df = df.where(~F.array_contains(F.col(f"{pv}{SEP}rels"), F.col(f"{other}{SEP}rel_id")))
+                df = df.where(~self._on_path(df, pv, other))
         for other, t in self.paths.items():
             if t is None or t == rel_type:
                 df = df.where(F.size(F.array_intersect(F.col(f"{pv}{SEP}rels"), F.col(f"{other}{SEP}rels"))) == 0)

@@ -11,6 +11,7 @@ is idempotent for values taken from the input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -52,10 +53,12 @@ def create_rels(graph: Graph, rel_type: str, src_label: str, dst_label: str, row
                 both_directions: bool = False) -> Graph:
     """G2 ``MATCH (a {..}), (b {..}) CREATE (a)-[:T {..}]->(b)`` for every input row.
 
-    Without a caller ``rel_id`` each input row is numbered before any shuffle,
-    so the id is stable as long as the input is a deterministic scan."""
+    Without a caller ``rel_id`` each input row is numbered before any shuffle, below a
+    prefix of this call, so ids differ between calls; the numbers are stable as long as
+    the input is a deterministic scan."""
     props = props or {}
-    rows = rows.withColumn("__rid", rel_id if rel_id is not None else F.monotonically_increasing_id())
+    rows = rows.withColumn("__rid", rel_id if rel_id is not None else F.concat(
+        F.lit(f"{uuid.uuid4().hex[:12]}:"), F.monotonically_increasing_id().cast("string")))
     j = _endpoint(graph, rows, src_label, src_on, "__src")
     j = _endpoint(graph, j, dst_label, dst_on, "__dst")
     cols = [F.col("__rid").alias("rel_id"), F.col("__src").alias("src"), F.col("__dst").alias("dst")]
@@ -68,16 +71,20 @@ def create_rels(graph: Graph, rel_type: str, src_label: str, dst_label: str, row
                          *[F.col(k) for k in props])
         key = (rel_type, dst_label, src_label)
         if key == (rel_type, src_label, dst_label):
-            new2 = new.withColumn("rel_id", F.col("rel_id").cast("string")).unionByName(rev)
-            g = _append_rels(graph, key, new2)
+            new = new.withColumn("rel_id", F.col("rel_id").cast("string")).unionByName(rev)
+            g = _append_rels(graph, key, new)
         else:
             g = _append_rels(g, key, rev)
     return g
 
 
 def _append_rels(graph: Graph, key, new: DataFrame) -> Graph:
+    """Add rows to a relationship table; ids of different types become text."""
     if key in graph.rels:
-        new = graph.rels[key].unionByName(new, allowMissingColumns=True)
+        old = graph.rels[key]
+        if old.schema["rel_id"].dataType != new.schema["rel_id"].dataType:
+            old, new = (x.withColumn("rel_id", F.col("rel_id").cast("string")) for x in (old, new))
+        new = old.unionByName(new, allowMissingColumns=True)
     return graph.with_rels(*key, new)
 
 
@@ -125,8 +132,9 @@ def upsert(current: DataFrame | None, rows: DataFrame, keys: list[str],
             props.append(k)
     if current is None:
         cur = new.select(*keys).where(F.lit(False))
-        for p in props:
-            cur = cur.withColumn(p, F.lit(None).cast("string"))
+        for p in props:         # types come from the input
+            typ = next((new.schema[c].dataType for c in (f"__c_{p}", f"__m_{p}") if c in new.columns), "string")
+            cur = cur.withColumn(p, F.lit(None).cast(typ))
         current = cur
     cur = current.withColumn("__old", F.lit(True))
     for p in props:
@@ -207,21 +215,13 @@ def merge_rels(graph: Graph, rel_type: str, src_label: str, dst_label: str, rows
     keys = ["src", "dst"] + list(key_props)
     rk = (rel_type, src_label, dst_label)
     current = graph.rels.get(rk)
-    cur = current.drop("rel_id") if current is not None else None
+    # existing relationships, parallel ones too, keep their id; created ones get a content hash of their key
+    cur = current.withColumn("rel_id", F.col("rel_id").cast("string")) if current is not None else None
     table, touched = upsert(cur, j, keys, on_create, on_match, order_by, null_safe=True)
-    # existing relationships keep their id; created ones get a content hash of their key
     new_id = F.sha2(F.to_json(F.struct(*[F.col(k) for k in keys])), 256)
     if current is not None:
-        ids = current.select(*[F.col(k) for k in keys], F.col("rel_id").cast("string").alias("rel_id"))
-        cond = None
-        for k in keys:
-            c = F.col(f"t.{k}").eqNullSafe(F.col(f"i.{k}"))
-            cond = c if cond is None else cond & c
-        t_id = F.sha2(F.to_json(F.struct(*[F.col(f"t.{k}").alias(k) for k in keys])), 256)
-        table = (table.alias("t").join(ids.alias("i"), cond, "left")
-                 .select(F.coalesce(F.col("i.rel_id"), t_id).alias("rel_id"), *[F.col(f"t.{c}") for c in table.columns]))
-    else:
-        table = table.select(new_id.alias("rel_id"), *table.columns)
+        new_id, touched = F.coalesce("rel_id", new_id), touched.drop("rel_id")
+    table = table.select(new_id.alias("rel_id"), *[c for c in table.columns if c != "rel_id"])
     return graph.with_rels(*rk, table), touched
 
 

@@ -5,10 +5,11 @@ keyed aggregate; the state is cut from its lineage with a reliable
 checkpoint (shared folder) every round, so a lost executor only redoes the
 current round.  The driver sees one emptiness test per round, nothing else.
 
-Hubs: the round join is on the node id, so a node holding a third of all
-relationships lands in one shuffle partition; AQE's skew-join split handles
-that side, and the per-target aggregate is a partial (map-side) min, so a hot
-target is reduced before it is shuffled.
+Hubs: the relationships are written once, as plain files, and the round join is
+on the node id.  Where AQE finds neither side small, both sides are shuffled, and
+a partition that a hub makes large is split by its skew-join rule.  The per-target
+aggregate is a partial (map-side) min, so a hot target is reduced before it is
+shuffled.
 """
 
 from __future__ import annotations
@@ -20,20 +21,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trellis.model import Graph
-from trellis.operators.match import edge_frame
-from trellis.session import RoundState, bounded_count, cut_lineage, materialize_by
+from trellis.operators.match import edge_frame, edge_identity, edge_tables
+from trellis.session import RoundState, bounded_count, cut_lineage
 
 
 def _edges(graph: Graph, rel_type, label, direction, weight: Column | None = None,
            cost: Column | None = None, collapse: bool = False) -> DataFrame:
-    """``a, b, rel_id[, w][, c]`` for a single-label relationship type."""
+    """``a, b, rel_id[, w][, c]`` for a single-label relationship type.
+
+    Ids are unique per relationship table only, so where several tables come together
+    ``rel_id`` is the pair (table, id)."""
     types = [rel_type] if isinstance(rel_type, str) or rel_type is None else list(rel_type)
+    several = edge_tables(graph, types, label, [label] if label else None, direction) > 1
     parts = []
     for t in types:
         e, labels = edge_frame(graph, t, label, [label] if label else None, direction)
         if label is None and len(labels) > 1:
             raise ValueError("variable-length steps need one node label on both ends")
-        cols = [F.col("rel_id"), F.col("a"), F.col("b")]
+        cols = [edge_identity() if several else F.col("rel_id"), F.col("a"), F.col("b")]
         if weight is not None:
             cols.append(weight.cast("double").alias("w"))
         if cost is not None:
@@ -80,6 +85,8 @@ def trails(graph: Graph, starts: DataFrame, rel_type, near_label, far_label, min
     if carry:
         props = graph.nodes[label].select(graph.id_col(label).alias("pid"), F.col(carry).alias("pval"))
         e = e.join(props, F.col("b") == F.col("pid")).drop("pid")
+    e = cut_lineage(e)          # every level joins it
+    if carry:
         frontier = (frontier.join(props, F.col("start") == F.col("pid"))
                     .select(*frontier.columns, F.array(F.col("pval")).alias("carried")))
     levels = [frontier] if min_hops == 0 else []
@@ -107,7 +114,7 @@ def bfs(graph: Graph, sources: DataFrame, rel_type, label: str, direction: str =
 
     Output ``source, id, depth, route`` (route = node ids, ties resolved by the
     smallest predecessor id at every step)."""
-    e = materialize_by(_edges(graph, rel_type, label, direction).select("a", "b").distinct(), "a")
+    e = cut_lineage(_edges(graph, rel_type, label, direction).select("a", "b").distinct())
     sources = sources.select("id").distinct()
     frontier = cut_lineage(sources.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("depth"),
                                           F.array(F.col("id")).alias("route")))
@@ -182,7 +189,7 @@ def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weigh
     best over paths of at most k relationships.  ``targets`` (``id``) prunes
     candidates that are already dearer than the best target reached.
     Output ``source, id, dist, hops, pred, route``."""
-    e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, collapse=True), "a")
+    e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight, collapse=True))
     init = sources.select("id").distinct().select(
         F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"),
         F.col("id").alias("pred"), F.array(F.col("id")).alias("route"))
@@ -218,7 +225,7 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
     Every node keeps its Pareto set of ``(dist, cost)`` labels; a label
     survives when its cost is below every label ordered before it (the running
     minimum excludes the row itself).  Output: best label per (source, id)."""
-    e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight, cost=cost), "a")
+    e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight, cost=cost))
     init = sources.select("id").distinct().select(
                           F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
                           F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("id").alias("pred"),
@@ -257,12 +264,12 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
 
 
 def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column, k: int,
-            max_len: int, direction: str = "out", salt_buckets: int = 16) -> DataFrame:
+            max_len: int, direction: str = "out") -> DataFrame:
     """The ``k`` cheapest trails of at most ``max_len`` hops per (source, target).
 
     Top-k per target is done in two steps over a salt of the route so a target
     reached by a third of all trails is ranked by many tasks first."""
-    e = materialize_by(_edges(graph, rel_type, label, direction, weight=weight), "a")
+    e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight))
     frontier = sources.select("id").distinct().select(
                               F.col("id").alias("source"), F.col("id").alias("cur"),
                               F.array(F.col("id")).alias("nodes"),
@@ -279,11 +286,14 @@ def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Colu
         frontier = cut_lineage(frontier)
         levels.append(frontier)
     allp = reduce(DataFrame.unionAll, levels).withColumn("hops", F.size("rels"))
-    return top_k_per_group(allp, ["source", "cur"], ["dist", "hops", "nodes", "rels"], k, salt_buckets)
+    return top_k_per_group(allp, ["source", "cur"], ["dist", "hops", "nodes", "rels"], k)
+
 
+def top_k_per_group(df: DataFrame, keys: list[str], order: list[str], k: int) -> DataFrame:
+    """Exact top-k per key: rank inside (key, salt) first, then over <= k*salt rows per key.
 
-def top_k_per_group(df: DataFrame, keys: list[str], order: list[str], k: int, salt_buckets: int = 16) -> DataFrame:
-    """Exact top-k per key: rank inside (key, salt) first, then over <= k*salt rows per key."""
+    As many salts as shuffle partitions, so a hot key is ranked by all tasks first."""
+    salt_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     first = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)

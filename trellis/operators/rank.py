@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trellis.model import Graph
 from trellis.operators.match import top_k
-from trellis.session import RoundState, cut_lineage, materialize_by
+from trellis.session import RoundState, cut_lineage
 
 
 def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, max_rounds: int = 20,
@@ -39,8 +39,8 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     edges = (edges.join(ids, F.col("src") == F.col("k"), "left_semi")
              .join(ids, F.col("dst") == F.col("k"), "left_semi").distinct())
     outdeg = edges.groupBy("src").agg(F.count("*").alias("deg"))
-    # written once; bucketed on src (or broadcast when proven small) so rounds never reshuffle it
-    edges_w = materialize_by(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")), "src")
+    # written once; a round shuffles it by src only where no side is small, and AQE then splits a hub
+    edges_w = cut_lineage(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")))
     # nodes without out-links carry a flag, so their mass is one sum over the ranks (no join)
     flagged = cut_lineage(
         nodes.join(outdeg.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")

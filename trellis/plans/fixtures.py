@@ -75,7 +75,7 @@ def handoff_edges(spark: SparkSession, sf_dir: str, event_type: str = "signup")
     h = lagged.where(F.to_date("prev_ts") == F.to_date("ts")).select(
         F.col("event_id").alias("eid"), F.col("prev_user_id").alias("src"), F.col("user_id").alias("dst"),
         F.round(F.col("value") * 100).cast("bigint").alias("w"), "event_type", "ts")
-    return h.where((F.col("src") != F.col("dst")) & (F.col("event_type") == event_type) & (F.col("w") < 1000))
+    return h.where((F.col("src") != F.col("dst")) & (F.col("event_type") == event_type))
 
 
 def handoff_graph(spark: SparkSession, sf_dir: str, with_follow: bool = False) -> Graph:

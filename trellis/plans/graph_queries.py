@@ -178,13 +178,26 @@ def unlabelled_endpoint(spark, sf):
 
 
 @register("cross_match", ids="M12", sql="""
-SELECT a.n_name AS a_name, b.n_name AS b_name
-FROM nation a, nation b WHERE a.n_regionkey = 0 AND b.n_regionkey = 1""")
+SELECT c.c_name, o.o_orderpriority AS o_priority, l.l_linenumber FROM lineitem l
+JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = l.l_suppkey""")
 def cross_match(spark, sf):
-    """MATCH (a:Nation {n_regionkey: 0}), (b:Nation {n_regionkey: 1}) RETURN a.n_name, b.n_name"""
+    """UNWIND lineitem AS row MATCH (c:Customer {c_custkey: row.l_suppkey}), (o:Order {o_orderkey: row.l_orderkey})
+    RETURN c.c_name, ...: two endpoints, bound from one row by equi joins."""
     g = fx.trade_graph(spark, sf)
-    m = g.match("a", "Nation", n_regionkey=0).bind("b", "Nation", n_regionkey=1)
-    return m.ret(a_name="a.n_name", b_name="b.n_name")
+    m = Match.from_rows(g, fx.table(spark, sf, "lineitem"))
+    m = m.bind("c", "Customer", c_custkey=m.c("row.l_suppkey")).bind("o", "Order", o_orderkey=m.c("row.l_orderkey"))
+    return m.ret(c_name="c.c_name", o_priority="o.o_orderpriority", l_linenumber="row.l_linenumber")
+
+
+@register("unlabelled_start", ids="M8", sql="""
+SELECT x_label, x, n_name FROM (
+  SELECT 'Customer' AS x_label, c_custkey AS x, c_nationkey AS k FROM customer UNION ALL
+  SELECT 'Supplier', s_suppkey, s_nationkey FROM supplier) x JOIN nation ON n_nationkey = k""")
+def unlabelled_start(spark, sf):
+    """MATCH (x)-[:IN_NATION]->(n:Nation) RETURN labels(x), x, n.n_name, from every node."""
+    g = fx.trade_graph(spark, sf)
+    m = g.match("x").out("r", "IN_NATION", "n", "Nation")
+    return m.ret(x_label="labels(x)", x="x", n_name="n.n_name")
 
 
 @register("row_match", ids="M13 M14", sql="""
@@ -236,16 +249,6 @@ def limit_ordered(spark, sf):
                  ("p_retailprice", "desc"), ("p_partkey", "asc")).drop("p_retailprice")
 
 
-@register("row_cap", ids="R8", sql="""
-SELECT o.o_orderkey, c.c_name FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
-ORDER BY o.o_orderkey LIMIT 10000""")
-def row_cap(spark, sf):
-    """Result cap of 10,000 rows (the engine's RESULTSET_SIZE), with a total order."""
-    g = fx.trade_graph(spark, sf)
-    m = g.match("c", "Customer").out("r", "PLACED", "o", "Order")
-    return top_k(m.ret(o_orderkey="o", c_name="c.c_name"), 10_000, ("o_orderkey", "asc"))
-
-
 @register("sorted_names", ids="R9 A7", sql="""
 SELECT r.r_name, string_agg(n.n_name, ',' ORDER BY n.n_name) AS nations
 FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name""")

@@ -9,9 +9,9 @@ h AS (SELECT event_id AS eid,
              user_id AS dst, CAST(round(value * 100) AS BIGINT) AS w, event_type, ts
       FROM events),
 handoff AS (SELECT * FROM h WHERE src IS NOT NULL AND src <> dst
-            AND event_type = 'signup' AND w < 1000),
+            AND event_type = 'signup'),
 follow AS (SELECT * FROM h WHERE src IS NOT NULL AND src <> dst
-           AND event_type = 'purchase' AND w < 1000),
+           AND event_type = 'purchase'),
 users AS (SELECT DISTINCT user_id FROM events)""",
     "usage_events": """
 usage_events AS (SELECT event_id, ts, user_id,

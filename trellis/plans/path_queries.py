@@ -251,7 +251,7 @@ def k_paths_q(spark, sf):
 
 
 # ------------------------------------------------------------------ P9 P10 A3
-def _pagerank_sql(rounds: int) -> str:
+def _pagerank_sql(rounds: int, last: str) -> str:
     ctes = [
         "nodes AS (SELECT DISTINCT user_id AS id FROM events)",
         "e AS (SELECT DISTINCT src, dst FROM handoff)",
@@ -268,18 +268,18 @@ def _pagerank_sql(rounds: int) -> str:
                     / (SELECT n FROM nn)) AS score
   FROM nodes LEFT JOIN (SELECT ew.dst, sum(r.score * ew.inv) AS s FROM r{k - 1} r JOIN ew ON ew.src = r.id
                         GROUP BY ew.dst) c ON c.dst = nodes.id)""")
-    return _with(*ctes) + f"""
-SELECT id AS node, round(score, 9) AS score FROM r{rounds} ORDER BY score DESC, node LIMIT 10"""
+    return _with(*ctes) + f"SELECT {last.format(table=f'r{rounds}')}"
 
 
-@register("page_rank_top10", ids="P9 P10", sql=_pagerank_sql(PAGE_RANK_ROUNDS))
+@register("page_rank_top10", ids="P9 P10", sql=_pagerank_sql(
+    PAGE_RANK_ROUNDS, "node, round(score, 9) AS score FROM (SELECT id AS node, score FROM {table} ORDER BY score DESC, node LIMIT 10)"))
 def page_rank_top10(spark, sf):
     """page_rank(graph, 'User', 'HANDOFF', 'user_id', 10)"""
     g = fx.handoff_graph(spark, sf)
     return page_rank_top(g, "User", "HANDOFF", "user_id", 10, damping=DAMPING, max_rounds=PAGE_RANK_ROUNDS)
 
 
-@register("page_rank_sum", ids="P9", sql="SELECT CAST(1.0 AS DOUBLE) AS total")
+@register("page_rank_sum", ids="P9", sql=_pagerank_sql(PAGE_RANK_ROUNDS, "round(sum(score), 9) AS total FROM {table}"))
 def page_rank_sum(spark, sf):
     """Scores over the whole ranked graph sum to 1 (dangling mass handed back)."""
     from trellis.operators.rank import page_rank

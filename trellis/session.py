@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch space, lineage cuts, size-checked broadcast.
+"""Session helpers: shared scratch space, lineage cuts, loop state.
 
 Everything that must survive the loss of an executor is written below the
 folder the cluster names in ``spark.checkpoint.dir``.  We never fall back to
@@ -69,34 +69,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-ROWS_PER_BUCKET = 2_000_000
-SMALL_ROWS = 1_000_000
-
-
-def materialize_by(df: DataFrame, *keys: str, buckets: int | None = None) -> DataFrame:
-    """Write a frame that a loop joins on ``keys`` every round, once, to the shared folder.
-
-    The row count decides the strategy: up to ``SMALL_ROWS`` rows it is only
-    written (each round AQE picks the join from run-time sizes, typically
-    broadcasting the smaller frontier); beyond that it becomes a table bucketed
-    on ``keys``, so each round shuffles only its other (changing) side, never
-    this one."""
-    spark = df.sparkSession
-    if buckets is None:
-        small = cut_lineage(df)
-        n_rows = small.count()
-        if n_rows <= SMALL_ROWS:
-            return small
-        df = small
-    if buckets is None:
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(1, min(cap, -(-n_rows // ROWS_PER_BUCKET)))
-    name = f"trellis_bucketed_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("overwrite").bucketBy(buckets, *keys)
-     .option("path", scratch_path(spark, "bucketed")).saveAsTable(name))
-    return spark.table(name)
-
-
 class RoundState:
     """Lineage control for loops: ``persist`` every round, reliable checkpoint every
     ``every`` rounds.  A lost executor recomputes at most ``every`` rounds from the
@@ -123,12 +95,3 @@ class RoundState:
 def bounded_count(df: DataFrame, bound: int) -> int:
     """Count rows, but stop reading after ``bound + 1`` of them."""
     return df.limit(bound + 1).count()
-
-
-def require_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """For operators whose result is all pairs of two sides (Cypher's
-    ``MATCH (a), (b)``): refuse unless one side is proven small."""
-    n = bounded_count(df, max_rows)
-    if n > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; add a filter or join on a shared variable")
-    return F.broadcast(df)
