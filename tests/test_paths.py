@@ -137,3 +137,15 @@ def test_shuffled_edges_give_the_same_answer(spark):
     assert a == b
     c = {r.id: r.depth for r in bfs(g, src_df(spark, 0), "E", "V").collect()}
     assert c == {k: int(v) for k, v in dijkstra(0, lambda w_, c_: 1).items()}
+
+
+def test_several_targets_at_unequal_distances(spark):
+    """Every connected (source, target) pair has its cheapest path, however near another target is."""
+    edges = [(1, 0, 1, 1), (2, 0, 2, 3), (3, 2, 3, 3), (4, 3, 4, 4), (5, 0, 4, 25), (6, 6, 4, 2), (7, 6, 0, 5)]
+    nodes = spark.createDataFrame([(i, f"v{i}") for i in range(8)], "id long, name string")
+    e = spark.createDataFrame(edges, "rel_id long, src long, dst long, w long")
+    g = Graph().with_nodes("V", nodes, "id").with_rels("E", "V", "V", e)
+    got = {(r.source, r.target): (r.pathWeight, list(r.route))
+           for r in shortest_path(g, "V", "name", ["v0", "v6"], ["v1", "v4", "v7"], "E", "w").collect()}
+    assert got == {(0, 1): (1.0, ["v0", "v1"]), (0, 4): (10.0, ["v0", "v2", "v3", "v4"]),
+                   (6, 1): (6.0, ["v6", "v0", "v1"]), (6, 4): (2.0, ["v6", "v4"])}

@@ -156,6 +156,9 @@ def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int |
     rounds = 0
     keeper = RoundState(every=2)  # a round reads the last state twice: cut often
     label = ["dist", "hops", "pred", "r", "route"]
+    if prune_targets is not None:
+        prune_targets = prune_targets.where(F.col("id").isNotNull()).distinct()
+        n_targets = prune_targets.count()
     state = state.withColumn("r", F.lit(0))
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
@@ -164,8 +167,10 @@ def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int |
                         (F.col("hops") + 1).alias("hops"), F.col("id").alias("pred"), F.lit(-rounds).alias("r"),
                         F.concat(F.col("route"), F.array(F.col("b"))).alias("route")))
         if prune_targets is not None:
+            # only a source that has reached every target has a bound: its dearest target
             best = (state.join(prune_targets, "id", "left_semi")
-                    .groupBy("source").agg(F.min("dist").alias("bound")))
+                    .groupBy("source").agg(F.max("dist").alias("bound"), F.count("*").alias("reached"))
+                    .where(F.col("reached") == n_targets).drop("reached"))
             cand = (cand.join(best, "source", "left")
                     .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound"))).drop("bound"))
         merged = (state.select("source", "id", *label).unionByName(cand)
@@ -186,8 +191,8 @@ def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weigh
     """Cheapest paths from each ``sources.id``.
 
     ``max_len`` bounds the hops (P6): after k synchronous rounds a label is the
-    best over paths of at most k relationships.  ``targets`` (``id``) prunes
-    candidates that are already dearer than the best target reached.
+    best over paths of at most k relationships.  ``targets`` (``id``) prunes, once a source
+    has reached all of them, candidates that are dearer than its dearest target.
     Output ``source, id, dist, hops, pred, route``."""
     e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight, collapse=True))
     init = sources.select("id").distinct().select(
