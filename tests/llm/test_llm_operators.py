@@ -364,3 +364,23 @@ def test_language_model_equals_dictionaries(spark, edge_dir, which):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(r["doc_id"]), n, known, plain.n)
         assert r["base_score"] == pytest.approx(base, abs=1e-6 * n)
         assert r["score"] == pytest.approx(full, abs=0.02 * n)      # one byte per probability
+
+
+def test_language_model_keeps_what_occurs_once(spark):
+    """A pair and a triple seen once count, for the score and for the counts of counts."""
+    rows = [(1, "a b c d a b c e"), (2, "f g h"), (3, "a b x y")]
+    trie = ngram_lm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    plain = PlainModel([t for _, t in rows], ngram_lm.ORDER, 1)
+    asked = ["f g h", "a b x y", "a b c e", "g h f"]
+    got = [float(s) for s in ngram_lm.score(trie, [t.encode() for t in asked])[3]]
+    assert got == pytest.approx([plain.score(t)[3] for t in asked], abs=0.02 * 5)
+    assert [level.nodes[-1] for level in trie.levels] == [len(level) for level in plain.levels]
+
+
+def test_packed_ngrams_above_32_bits_of_contexts():
+    import numpy as np
+    bits = ngram_lm.word_bits(100_000)
+    context, word = np.array([2**40, 0, 2**33 + 5]), np.array([99_999, 0, 7])
+    keys = ngram_lm.packed(context, word, bits)
+    assert ngram_lm.context_of(keys, bits).tolist() == context.tolist()
+    assert ngram_lm.word_of(keys, bits).tolist() == word.tolist()

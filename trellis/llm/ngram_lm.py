@@ -1,10 +1,11 @@
 """N-gram language model in an Elias-Fano trie.
 
 Model.  Tokens are the lower-cased words of a text and one end mark.  Unigrams are add-one
-smoothed.  Longer n-grams are kept from ``min_count`` on and smoothed by interpolated absolute
-discounting: p(w | c) = (count(c w) - D) / count(c) for a kept n-gram, plus the mass that the
-context's kept n-grams leave times p(w | shorter context).  D comes from the counts of counts
-of all n-grams of that length, n1 / (n1 + 2 n2).
+smoothed.  All longer n-grams are kept and smoothed by interpolated absolute discounting:
+p(w | c) = (count(c w) - D) / count(c), plus the mass that the context's n-grams leave times
+p(w | shorter context).  D comes from the counts of counts of all n-grams of that length,
+n1 / (n1 + 2 n2).  A caller may pass a ``min_count`` above 1 for a smaller model: rarer n-grams
+then go, and D of trigrams misses those below dropped bigrams.
 
 Trie.  Level 1 is the vocabulary: sorted word hashes with counts; a word's id is its rank.
 Level k holds, for each node of level k - 1, the sorted ids of the words that follow it.  The
@@ -14,10 +15,11 @@ follower is found by successor search inside its context's range.  Levels are cu
 segments by context, one file each in the shared folder, which the tasks memory-map.
 
 Counting.  Each task counts the n-grams of a run of texts and sends packed arrays of distinct
-n-grams with counts to the part their hash belongs to; there the counts are added up and rare
-n-grams dropped.  A hot context is spread over all parts by then; what is left of it (at most
-one entry per word) goes to its segment.  An n-gram is only counted if both shorter n-grams
-inside it were kept: it cannot reach ``min_count`` otherwise.
+n-grams with counts to the part their hash belongs to; there the counts are added up.  A hot
+context is spread over all parts by then; what is left of it (at most one entry per word) goes
+to its segment.  An n-gram is only counted if both shorter n-grams inside it were kept: it
+cannot reach ``min_count`` otherwise.  An n-gram travels as one 64-bit number, its context's
+id above as many bits as the word ids need.
 
 Held-out rows (by hash of the id) are never counted.  Words are told apart by 64-bit hashes.
 
@@ -45,16 +47,28 @@ from trellis.session import scratch_path
 FOLDS = 7
 HELD_OUT = 2
 ORDER = 3
-MIN_COUNT = 2
+MIN_COUNT = 1
 RUN_BYTES = 6_000_000         # text a task counts at once
 FLUSH = 3_000_000             # distinct n-grams a task holds before it sends them
 END = mix(np.array([0x656E64], np.uint64))[0]
-_LOW = np.uint64(0xFFFFFFFF)
 _32 = np.uint64(32)
 
 
-def _blob(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a).tobytes()
+def word_bits(n_words: int) -> int:
+    """Bits of a word id in a packed n-gram; the context's id has the others."""
+    return max(int(n_words - 1).bit_length(), 1)
+
+
+def packed(context: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    return (context.astype(np.uint64) << np.uint64(bits)) | word.astype(np.uint64)
+
+
+def context_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(bits)).astype(np.int64)
+
+
+def word_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def tokens(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,21 +122,46 @@ class Pending:
 _COUNTS = "part int, keys binary, counts binary"
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, as many as the largest needs: high bytes compress well."""
+    width = -(-int(a.max()).bit_length() // 8) if len(a) else 0
+    return bytes([width]) + np.ascontiguousarray(a.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _from_planes(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(b, np.uint8, offset=1).reshape(b[0], -1) if b[0] else np.zeros((0, 0), np.uint8)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, :b[0]] = planes.T
+    return wide.view(np.uint64).ravel()
+
+
+def coded_keys(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys: the first, then the gaps."""
+    return keys[:1].tobytes() + _planes(np.diff(keys)) if len(keys) else b""
+
+
+def decoded_keys(b: bytes) -> np.ndarray:
+    if not b:
+        return np.zeros(0, np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(b[:8], np.uint64), _from_planes(b[8:])]), dtype=np.uint64)
+
+
 def dealt(part: np.ndarray, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
-    """One row of packed arrays for each part."""
+    """One row of packed arrays for each part; the keys are sorted and distinct."""
     order = np.argsort(part.astype(np.uint16) if parts < 65536 else part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
     used = np.flatnonzero(np.diff(cuts))
     return pa.RecordBatch.from_arrays(
         [pa.array(used.astype(np.int32)),
-         pa.array([_blob(keys[order[cuts[p]:cuts[p + 1]]]) for p in used], pa.binary()),
-         pa.array([_blob(counts[order[cuts[p]:cuts[p + 1]]].astype(np.uint32)) for p in used], pa.binary())],
+         pa.array([coded_keys(keys[order[cuts[p]:cuts[p + 1]]]) for p in used], pa.binary()),
+         pa.array([_planes(counts[order[cuts[p]:cuts[p + 1]]]) for p in used], pa.binary())],
         names=["part", "keys", "counts"])
 
 
 def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = (b"".join(rows.column(c).to_pylist()) for c in ("keys", "counts"))
-    return np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64)
+    keys = [np.zeros(0, np.uint64), *map(decoded_keys, rows.column("keys").to_pylist())]
+    counts = [np.zeros(0, np.uint64), *map(_from_planes, rows.column("counts").to_pylist())]
+    return np.concatenate(keys), np.concatenate(counts).astype(np.int64)
 
 
 # -- byte scale --------------------------------------------------------------------------
@@ -241,6 +280,7 @@ def look_up(trie: Trie, run: list[bytes]) -> Line:
     place = np.arange(len(h)) - np.repeat(bounds[:-1], np.diff(bounds))
     nodes, probs, lefts = [], [], []
     before = ids                                   # node of the context that ends at a token
+    bits = word_bits(trie.n_words)
     for k, level in enumerate(trie.levels, start=1):
         node, p, left = np.full(len(h), -1, np.int64), np.zeros(len(h)), np.ones(len(h))
         context = np.concatenate([[-1], before[:-1]])
@@ -248,8 +288,8 @@ def look_up(trie: Trie, run: list[bytes]) -> Line:
         distinct, back = np.unique(context[with_context], return_inverse=True)
         left[with_context] = level.left_over(distinct)[back]
         both = with_context[ids[with_context] >= 0]
-        keys, back = np.unique((context[both].astype(np.uint64) << _32) | ids[both].astype(np.uint64), return_inverse=True)
-        found, prob = level.find((keys >> _32).astype(np.int64), (keys & _LOW).astype(np.int64), trie.n_words)
+        keys, back = np.unique(packed(context[both], ids[both], bits), return_inverse=True)
+        found, prob = level.find(context_of(keys, bits), word_of(keys, bits), trie.n_words)
         node[both], p[both] = found[back], prob[back]
         nodes.append(node)
         probs.append(p)
@@ -288,7 +328,7 @@ def _save_words(folder: str):
 def _count_ngrams(trie: Trie, parts: int):
     """Occurrences of n-grams one longer than the trie holds, where both shorter ones are kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(trie.levels)
+        k, bits = len(trie.levels), word_bits(trie.n_words)
         pending = Pending(parts, spread=True)
         for b in batches:
             for _, texts in chunks(b.column("text").to_pylist(), RUN_BYTES):
@@ -296,8 +336,7 @@ def _count_ngrams(trie: Trie, parts: int):
                 ends = line.nodes[-1] if k else line.ids           # n-grams of length k + 1 by their end
                 context = np.concatenate([[-1], ends[:-1]])
                 good = (line.place > k) & (context >= 0) & (ends >= 0)
-                keys = (context[good].astype(np.uint64) << _32) | line.ids[good].astype(np.uint64)
-                keys, counts = np.unique(keys, return_counts=True)
+                keys, counts = np.unique(packed(context[good], line.ids[good], bits), return_counts=True)
                 yield from pending.add(keys, counts.astype(np.int64))
         yield from pending.send()
     return run
@@ -306,17 +345,17 @@ def _count_ngrams(trie: Trie, parts: int):
 _KEPT = "part int, keys binary, counts binary, once long, twice long"
 
 
-def _keep_frequent(contexts: list[int], min_count: int):
+def _keep_frequent(contexts: list[int], bits: int, min_count: int):
     """In one part: drop rare n-grams, send the others to the segment of their context."""
     def run(rows: pa.Table) -> pa.Table:
         keys, counts = add_up(*unpacked(rows))
         once, twice = int((counts == 1).sum()), int((counts == 2).sum())
         keys, counts = keys[counts >= min_count], counts[counts >= min_count]
-        segment = np.searchsorted(contexts, (keys >> _32).astype(np.int64), side="right") - 1
+        segment = np.searchsorted(contexts, context_of(keys, bits), side="right") - 1
         out = pa.Table.from_batches([dealt(segment, keys, counts, len(contexts) - 1)])
         first = [once] + [0] * (out.num_rows - 1), [twice] + [0] * (out.num_rows - 1)
         if not out.num_rows:                                       # only the counts of counts
-            out = pa.table({"part": pa.array([-1], pa.int32()), "keys": pa.array([b""], pa.binary()), "counts": pa.array([b""], pa.binary())})
+            out = pa.table({"part": pa.array([-1], pa.int32()), "keys": pa.array([b""], pa.binary()), "counts": pa.array([_planes(counts)], pa.binary())})
         return (out.append_column("once", pa.array(first[0], pa.int64()))
                 .append_column("twice", pa.array(first[1], pa.int64())))
     return run
@@ -325,8 +364,8 @@ def _keep_frequent(contexts: list[int], min_count: int):
 def build_segment(keys: np.ndarray, counts: np.ndarray, lo: int, context_counts: np.ndarray, n_words: int,
                   discount: float) -> dict[str, np.ndarray]:
     """Arrays of one segment: contexts from ``lo`` on, as many as ``context_counts``."""
-    rank = (keys >> _32).astype(np.int64) - lo
-    word = (keys & _LOW).astype(np.int64)
+    bits = word_bits(n_words)
+    rank, word = context_of(keys, bits) - lo, word_of(keys, bits)
     n = len(context_counts)
     starts = np.searchsorted(rank, np.arange(n + 1))
     p = (counts - discount) / context_counts[rank]
@@ -335,17 +374,20 @@ def build_segment(keys: np.ndarray, counts: np.ndarray, lo: int, context_counts:
     rest, rest_step = to_bytes(np.maximum(left, 1e-6))
     pointers = {f"ptr_{k}": a for k, a in encode(starts, len(keys) + 1).items()}
     followers = {f"next_{k}": a for k, a in encode(rank * n_words + word, n * n_words).items()}
-    return {**pointers, **followers, "prob": prob, "left": rest, "counts": counts, "steps": np.array([step, rest_step])}
+    return {**pointers, **followers, "prob": prob, "left": rest, "steps": np.array([step, rest_step])}
 
 
-def _save_segment(folder: str, trie: Trie, contexts: list[int], discount: float):
+def _save_segment(folder: str, trie: Trie, contexts: list[int], discount: float, last: bool):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         part = key[0].as_py()
         keys, counts = add_up(*unpacked(rows))
         lo, hi = contexts[part], contexts[part + 1]
         above = open_arrays(trie.levels[-1].files[part])["counts"] if trie.levels else trie.word_counts(lo, hi)
         uri = f"{folder}/level{len(trie.levels) + 2}-{part:06d}"
-        save_arrays(uri, build_segment(keys, counts, lo, above, trie.n_words, discount))
+        arrays = build_segment(keys, counts, lo, above, trie.n_words, discount)
+        if not last:                                   # the next level divides by them
+            arrays["counts"] = counts.astype(np.min_scalar_type(int(counts.max())))
+        save_arrays(uri, arrays)
         return pa.table({"part": pa.array([part], pa.int32()), "uri": [uri], "n": pa.array([len(keys)], pa.int64()),
                          "total": pa.array([int(counts.sum())], pa.int64())})
     return run
@@ -374,14 +416,15 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> T
     trie = Trie(uris, ends, total)
     contexts = [trie.n_words * s // parts for s in range(parts + 1)]
     while len(trie.levels) < order - 1 and contexts[-1]:
-        if contexts[-1] >= 2**32:
-            raise ValueError("more than 2^32 contexts in a level; raise min_count")
+        bits = word_bits(trie.n_words)
+        if contexts[-1] > 2**(64 - bits):
+            raise ValueError(f"more than 2^{64 - bits} contexts in a level beside {trie.n_words} words")
         kept = store(texts.mapInArrow(_count_ngrams(trie, parts), _COUNTS)
-                     .groupBy("part").applyInArrow(_keep_frequent(contexts, min_count), _KEPT), "lm-kept")
+                     .groupBy("part").applyInArrow(_keep_frequent(contexts, bits, min_count), _KEPT), "lm-kept")
         once, twice = kept.agg(F.sum("once"), F.sum("twice")).first()
         discount = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
         made = kept.filter("part >= 0").select("part", "keys", "counts").groupBy("part").applyInArrow(
-            _save_segment(folder, trie, contexts, discount), _FILE)
+            _save_segment(folder, trie, contexts, discount, len(trie.levels) == order - 2), _FILE)
         uris, ends, _ = files(made, "lm-files")
         trie = Trie(trie.vocab, trie.first, trie.total, [*trie.levels, Level(uris, contexts, ends, discount)])
         contexts = ends
