@@ -384,3 +384,62 @@ def test_packed_ngrams_above_32_bits_of_contexts():
     keys = ngram_lm.packed(context, word, bits)
     assert ngram_lm.context_of(keys, bits).tolist() == context.tolist()
     assert ngram_lm.word_of(keys, bits).tolist() == word.tolist()
+
+
+# -- 5 licence passages
+
+def test_licence_passages(spark):
+    """Whole texts over paragraphs, notices inside a line, wrapped headers with code behind them."""
+    full = license_scan.full_texts()
+    mit, notice = full["MIT-text"], license_scan.TEMPLATES["MPL-2.0"]
+    wrapped = "# This program is free software: you can redistribute it and/or modify\n" \
+              "# it under the terms of the GNU General Public License as published by\n" \
+              "# the Free Software Foundation, either version 3 of the License, or\n" \
+              "# (at your option) any later version.\nimport os\nprint(os.name)\n"
+    rows = [(1, "MIT License\n\nCopyright (c) 2020 A B\n\n" + mit), (2, wrapped),
+            (3, PROSE[:90] + notice + " " + PROSE), (4, PROSE), (5, None), (6, ""), (7, mit + "\n" + mit), (8, PROSE + full["BSD-2-Clause-text"])]
+    rows += [(100 + i, PROSE + "\n\n" + text + "\n\n" + PROSE) for i, text in enumerate(full.values())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = defaultdict(list)
+    for r in license_scan.scan_passages(frame).collect():
+        got[r["doc_id"]].append(r["license"])
+    want = {1: ["MIT-text"], 2: ["GPL-3.0-header"], 3: ["MPL-2.0"], 7: ["MIT-text"] * 2, 8: ["BSD-2-Clause-text"]}
+    assert got == {**want, **{100 + i: [name] for i, name in enumerate(full)}}
+
+
+def test_licence_passages_equal_all_windows(spark):
+    import random
+    rnd = random.Random(3)
+    templates = {"a": "one two three four five six", "b": "four five six seven one two three nine", "c": "one two one two three"}
+    vocab = "one two three four five six seven eight nine".split()
+    texts = []
+    for i in range(150):
+        w = []
+        for _ in range(4):
+            t = list(rnd.choice(list(templates.values())).split())
+            if rnd.random() < 0.6:
+                t[rnd.randrange(len(t))] = rnd.choice(vocab)
+            w += t + [rnd.choice(vocab) for _ in range(rnd.randrange(4))]
+        texts.append(" ".join(w))
+    got = defaultdict(list)
+    for r in license_scan.scan_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates).collect():
+        got[r["doc_id"]].append((r["first_word"], r["n_words"], r["license"], r["dice"]))
+    for i, text in enumerate(texts):
+        w, every = text.split(), []
+        for name, body in templates.items():
+            b = license_scan.bigrams(body)
+            for lo in range(len(w)):
+                best = None
+                for hi in range(lo + 2, min(len(w), lo + int(len(body.split()) * 1.5 + 1e-9)) + 1):
+                    a = set(license_scan.bigrams(" ".join(w[lo:hi])))
+                    s = len(a & b)
+                    if f"{w[lo]} {w[lo + 1]}" in b and 2.0 * s / (len(a) + len(b)) >= 0.8:
+                        best = max(best or (0,), (3 * s - len(a) - len(b), -hi, 2.0 * s / (len(a) + len(b))))
+                if best:
+                    every.append((-best[0], name, lo, -best[1], best[2]))
+        taken, want = set(), []
+        for _, name, lo, hi, dice in sorted(every):
+            if not taken & set(range(lo, hi)):
+                taken |= set(range(lo, hi))
+                want.append((lo, hi - lo, name, dice))
+        assert sorted(got[i]) == sorted(want)

@@ -9,6 +9,14 @@ best template of a unit wins, ties go to the smaller name.
 
 The templates are a parameter (a small list of names and texts) and travel with the code.
 
+Lines and blocks miss a licence of several paragraphs, a notice inside a longer line and a
+wrapped header that code follows.  ``scan_passages`` has every run of consecutive words as a
+unit, up to (2-t)/t times the words of a template, the whole text among them, and the full
+licence texts in ``licenses/`` as templates beside the notices.  A text that lacks t/(2-t) of
+a template's bigrams is dropped for this template at once.  In the others each word that
+starts a shared bigram gets its best passage: the most shared bigrams less those that only one
+side has.  Of passages that overlap, also of different templates, the best in this sense stays.
+
 Defined results: a null or empty text has no units; units under two words have no bigrams and
 match nothing; repeated rows give repeated results; other columns are ignored.
 """
@@ -17,11 +25,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from trellis.llm.common import register, table
+from trellis.llm.word_hash import chunks, shingle_hashes, word_hashes
 
 DICE = 0.8
 
@@ -123,6 +134,108 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, dic
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, unit string, unit_no long, license string, dice double")
 
 
+# -- passages ----------------------------------------------------------------------------
+
+_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+
+
+def full_texts() -> dict[str, str]:
+    """The licence texts that come with the code, by name with ``-text`` behind it."""
+    return {f"{p.stem}-text": p.read_text() for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
+
+def bigram_hashes(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word bigram in order, start of each text in it)."""
+    return shingle_hashes(*word_hashes([t.translate(_BYTES) for t in run]), 2, short_whole=False)
+
+
+class PassageScanner:
+    """Template bigrams as hashes."""
+
+    def __init__(self, templates: Mapping[str, str], dice: float):
+        self.dice = dice
+        self.names = sorted(n for n in templates if bigrams(templates[n]))
+        seqs = [bigram_hashes([templates[n].encode("utf-8", "surrogatepass")])[0] for n in self.names]
+        self.grams = [np.unique(s) for s in seqs]
+        self.sizes = np.array([len(g) for g in self.grams], np.int64)
+        self.longest = [int((len(s) + 1) * (2 - dice) / dice + 1e-9) - 1 for s in seqs]      # bigrams of a passage
+        owner = np.repeat(np.arange(len(seqs)), self.sizes)
+        every = np.concatenate([np.zeros(0, np.uint64), *self.grams])
+        order = np.argsort(every, kind="stable")
+        self.known, start = np.unique(every[order], return_index=True)
+        self.owner, self.start = owner[order], np.append(start, len(every))
+
+    def candidates(self, values: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
+        """(text, template) pairs that share enough bigrams."""
+        if not len(values) or not len(self.known):
+            return []
+        place = np.minimum(np.searchsorted(self.known, values), len(self.known) - 1)
+        pos = np.flatnonzero(self.known[place] == values)
+        text = np.searchsorted(bounds, pos, side="right") - 1
+        text, gram = np.divmod(np.unique(text * len(self.known) + place[pos]), len(self.known))
+        n = self.start[gram + 1] - self.start[gram]
+        at = np.repeat(self.start[gram], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        cells, shared = np.unique(np.repeat(text, n) * len(self.names) + self.owner[at], return_counts=True)
+        text, which = np.divmod(cells, len(self.names))
+        enough = shared * (2 - self.dice) >= self.dice * self.sizes[which] - 1e-9
+        return list(zip(text[enough].tolist(), which[enough].tolist()))
+
+    def passages(self, values: np.ndarray, which: int) -> Iterator[tuple[int, int, int, float]]:
+        """(bigrams shared less bigrams of one side only, first, last bigram, Dice) of each start's best passage."""
+        size, longest = int(self.sizes[which]), self.longest[which]
+        order = np.argsort(values, kind="stable")
+        again = np.flatnonzero(values[order][1:] == values[order][:-1])
+        before = np.full(len(values), -1, np.int64)              # place of the same bigram before
+        before[order[again + 1]] = order[again]
+        shared = np.isin(values, self.grams[which])
+        upto = np.concatenate([[0], np.cumsum(shared)])
+        starts = np.flatnonzero(shared)
+        hits = upto[np.minimum(starts + longest, len(values))] - upto[starts]
+        for i in starts[hits * (2 - self.dice) >= self.dice * size - 1e-9].tolist():
+            new = before[i:i + longest] < i
+            n, both = np.cumsum(new), np.cumsum(new & shared[i:i + longest])
+            dice = 2.0 * both / (n + size)
+            net = np.where(dice >= self.dice, 3 * both - n - size, 0)    # above 0 wherever Dice is reached
+            j = int(net.argmax())
+            if net[j] > 0:
+                yield int(net[j]), i, i + j, float(dice[j])
+
+    def scan(self, run: list[bytes]) -> list[tuple[int, int, int, str, float]]:
+        """(text, first word, words, template, Dice) of the passages of a run of texts."""
+        values, bounds = bigram_hashes(run)
+        found: dict[int, list] = {}
+        for text, which in self.candidates(values, bounds):
+            mine = values[bounds[text]:bounds[text + 1]]
+            found.setdefault(text, []).extend((-net, self.names[which], a, b, dice) for net, a, b, dice in self.passages(mine, which))
+        out = []
+        for text, hits in found.items():
+            taken = np.zeros(bounds[text + 1] - bounds[text] + 1, bool)
+            for _, name, a, b, dice in sorted(hits):
+                if not taken[a:b + 2].any():
+                    taken[a:b + 2] = True
+                    out.append((text, a, b + 2 - a, name, dice))
+        return sorted(out)
+
+
+def scan_passages(docs: DataFrame, templates: Mapping[str, str] | None = None, dice: float = DICE) -> DataFrame:
+    """doc_id, first_word, n_words, license, dice for each passage; templates: the notices and the full texts."""
+    if not 2 / 3 < dice <= 1:
+        raise ValueError("passages need a Dice above 2/3")
+    templates = {**TEMPLATES, **full_texts()} if templates is None else dict(templates)
+    schema = pa.schema([("first_word", pa.int64()), ("n_words", pa.int64()), ("license", pa.string()), ("dice", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = PassageScanner(templates, dice)
+        for b in batches:
+            hits = [(first + i, *hit) for first, texts in chunks(b.column("text").to_pylist()) for i, *hit in scanner.scan(texts)]
+            ids = b.column("doc_id").take(pa.array([h[0] for h in hits], pa.int64()))
+            cols = [pa.array([h[k] for h in hits], f.type) for k, f in enumerate(schema, 1)]
+            yield pa.RecordBatch.from_arrays([ids, *cols], names=["doc_id", *schema.names])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, first_word long, n_words long, license string, dice double")
+
+
 def _norm(col: str) -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return (f"list_filter(string_split(regexp_replace(translate({col}, '{upper}', '{lower}'), '[^a-z0-9]+', ' ', 'g'), ' '), "
@@ -161,3 +274,9 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("op5_license_passages")
+def op5_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and full licence texts anywhere in all documents."""
+    return scan_passages(table(spark, sf_dir, "documents"))
