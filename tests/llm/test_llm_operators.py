@@ -443,3 +443,37 @@ def test_licence_passages_equal_all_windows(spark):
                 taken |= set(range(lo, hi))
                 want.append((lo, hi - lo, name, dice))
         assert sorted(got[i]) == sorted(want)
+
+
+# -- 6 all pairs
+
+@pytest.mark.parametrize("which", ["given", "edge", "family", "blocks"])
+def test_all_pairs_equal_brute_force(spark, edge_dir, monkeypatch, which):
+    """Every linked pair, not only those that stars decide; also for ids with different texts."""
+    if which in ("family", "blocks"):
+        if which == "blocks":
+            monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+        base = [f"t{i}" for i in range(80)]
+        texts = [" ".join(base[:n] + [f"new{n}"] + base[n + 1:]) for n in range(0, 80, 3)] + [" ".join(base[:n]) for n in range(50, 80, 2)]
+        rows = [(n, t) for n, t in enumerate(texts)] + [(500, texts[3]), (500, texts[40]), (500, "u v w x y z"), (501, "u v w x y Z"), (0, texts[1])]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+    else:
+        frame = table(spark, SF if which == "given" else edge_dir, "documents")
+        rows = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    pairs, member = (x.collect() for x in jaccard_join.join_pairs(frame))
+    assert len(pairs) == len({(r["a"], r["b"]) for r in pairs}) and all(r["a"] < r["b"] for r in pairs)
+    ids = defaultdict(set)
+    for r in member:
+        ids[r["rep"]].add(r["doc_id"])
+    got = {(i, j) for m in ids.values() for i in m for j in m if i < j}
+    got |= {(min(i, j), max(i, j)) for r in pairs for i in ids[r["a"]] for j in ids[r["b"]] if i != j}
+    sets = [(i, shingle_set(t)) for i, t in rows if i is not None]
+    want = set()
+    for n, (i, x) in enumerate(sets):
+        for j, y in sets[:n]:
+            both = len(x & y)
+            if i != j and x and y and 100 * both >= 75 * (len(x) + len(y) - both):
+                want.add((min(i, j), max(i, j)))
+    assert got == want
+    if which == "family":
+        assert len(want) > len(sets)          # more links than stars could decide

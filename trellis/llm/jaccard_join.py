@@ -1,6 +1,9 @@
 """N-gram Jaccard self-join: which texts share at least 75 % of their word shingles.
 
-All links are found; none is approximated.  The steps:
+No link is approximated.  There are two modes.  ``join_pairs`` returns every linked pair of
+different texts: steps 1 to 3, then 5 and 6 over all tiles.  ``join_components`` returns only
+who belongs together and takes a shortcut: the links of stars (4) are decided first, and sets
+that they join already are not compared again.  The steps:
 
 1. Shared share.  Every distinct shingle hash of every text goes to the part that owns it
    (packed, five bytes each); the part sees which occur in two texts or more and answers with
@@ -14,11 +17,11 @@ All links are found; none is approximated.  The steps:
    copies is the text they come from.  Components of these links join most families.
 5. Bands and bitmaps.  Tiles that still hold several components are cut into bands of
    similar set size.  Each set has a hashed bitmap as wide as its band asks for; for A and B
-   the overlap is at most |A| less the bits only A has, and likewise for B.  Only pairs of
-   different components whose bound reaches the threshold go on.  Large tiles are cut into
-   blocks and compared block by block.
-6. The pairs left are decided by exact intersection of the sorted arrays, and the components
-   of all links are taken.
+   the overlap is at most |A| less the bits only A has, and likewise for B.  Only pairs whose
+   bound reaches the threshold go on; for components, only those of different components.
+   Large tiles are cut into blocks and compared block by block.
+6. The pairs left are decided by exact intersection of the sorted arrays; for components,
+   those of all links are taken.
 
 Defined results: null and empty texts have no set and are linked with nothing; rows that
 share an id are one node; rows with a null id get no component; other columns are ignored;
@@ -336,10 +339,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(held.combine_chunks())
 
 
-def band_pairs(post: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of different components that meet in a tile and pass the bitmap bound."""
-    rows = (post.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left")
-            .select("token", "rep", "n", F.coalesce("comp", "rep").alias("comp"), band_of(F.col("n")).alias("own")))
+def band_pairs(post: DataFrame, reps: DataFrame, comps: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (a < b) that meet in a tile and pass the bitmap bound: all, or those of different components."""
+    if comps is None:
+        rows = post.withColumn("comp", F.col("rep"))
+    else:
+        rows = (post.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left")
+                .withColumn("comp", F.coalesce("comp", "rep")))
+    rows = rows.select("token", "rep", "n", "comp", band_of(F.col("n")).alias("own"))
     # a set is at home in its band and a guest in the next
     rows = rows.select("token", "rep", "n", "comp", "own", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("band"))
     rows = rows.withColumn("home", F.col("own") == F.col("band")).drop("own")
@@ -359,22 +366,35 @@ def band_pairs(post: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
 
 # -- the join ----------------------------------------------------------------------------
 
-def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles of every row; doc_id, component_id, n_rows of the ids that can have a link)."""
+def near_tiles(docs: DataFrame, k: int = WORDS, by_set: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 3: (share of every row; set of every row that can have a link; doc_id, rep; sets of the reps; tiles).
+
+    A rep is the smallest id of its class, or with ``by_set`` a hash of the set, so that an id
+    with different texts is not one rep for all of them."""
     share = store(shared_share(docs, k), "near-share")
     likely = (share.filter(f"doc_id IS NOT NULL AND n_shingles > 0 AND n_shared * 100 >= n_shingles * {PERCENT}")
               .groupBy("doc_id").agg(F.max("n_shared").alias("n_shared")))
     sets = store(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(likely, "doc_id")
                  .mapInArrow(_sets(k), _SETS), "near-sets")
-    classes = store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "near-classes")
-    member = sets.select("digest", "doc_id").join(classes.withColumnRenamed("doc_id", "rep"), "digest").select("doc_id", "rep").distinct()
-    reps = store(sets.join(classes, ["doc_id", "digest"], "left_semi"), "near-reps")
+    if by_set:
+        key = F.xxhash64("digest")
+        member = sets.select("doc_id", key.alias("rep")).distinct()
+        reps = store(sets.dropDuplicates(["digest"]).withColumn("doc_id", key), "near-reps")
+    else:
+        classes = store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "near-classes")
+        member = sets.select("digest", "doc_id").join(classes.withColumnRenamed("doc_id", "rep"), "digest").select("doc_id", "rep").distinct()
+        reps = store(sets.join(classes, ["doc_id", "digest"], "left_semi"), "near-reps")
 
     post = store(reps.mapInArrow(_prefixes, _TOKENS)
                  .select("rep", "n", "share", F.explode("tokens").alias("token")), "near-tokens")
     leaders = (post.groupBy("token").agg(F.count("*").alias("size"), F.max(F.struct("share", (-F.col("rep")).alias("less"))).alias("lead"))
                .filter("size > 1").select("token", F.col("lead.share").alias("lead_share"), (-F.col("lead.less")).alias("lead")))
-    post = store(post.join(leaders, "token"), "near-tiles")        # hashes of one set alone go
+    return share, sets, member, reps, store(post.join(leaders, "token"), "near-tiles")        # hashes of one set alone go
+
+
+def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles of every row; doc_id, component_id, n_rows of the ids that can have a link)."""
+    share, sets, member, reps, post = near_tiles(docs, k)
     meets = post.filter("rep <> lead").groupBy("rep", "lead").agg(F.count("*").alias("times"), F.max("lead_share").alias("lead_share"))
     best = meets.groupBy("rep").agg(F.max(F.struct("times", "lead_share", "lead")).alias("best"))
     stars = store(verified(best.select(F.col("rep").alias("a"), F.col("best.lead").alias("b")), reps), "near-stars")
@@ -391,6 +411,21 @@ def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFra
     return share.select("doc_id", "n_shingles"), store(found, "near-found")
 
 
+def join_pairs(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """All links: (a, b; doc_id, rep).
+
+    The pairs a < b are the linked pairs of different sets, each named by its 64-bit hash.  The
+    membership names the sets of every id that has a link: ids of one set are linked, ids of
+    two are linked if these are.  The pairs of a family grow with the square of its different
+    sets, as the result itself does; equal sets are not paired out."""
+    _, _, member, reps, post = near_tiles(docs, k, by_set=True)
+    member = store(member, "near-member")
+    pairs = store(verified(band_pairs(post, reps), reps), "near-pairs")
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+    shared = member.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").select("rep")
+    return pairs, member.join(ends.union(shared).distinct(), "rep", "left_semi").select("doc_id", "rep")
+
+
 def join_components(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     rows, found = near_components(docs, k)
@@ -414,7 +449,20 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return kept.join(again, same & has_words, "left_anti").unionByName(several)
 
 
+def _links(docs: DataFrame) -> DataFrame:
+    """One table of both: doc_id (null for a pair), rep, linked_rep (null for a membership)."""
+    pairs, member = join_pairs(docs)
+    return (member.select("doc_id", "rep", F.lit(None).cast("long").alias("linked_rep"))
+            .unionByName(pairs.select(F.lit(None).cast("long").alias("doc_id"), F.col("a").alias("rep"), F.col("b").alias("linked_rep"))))
+
+
 @register("op6_jaccard_tiles")
 def op6_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by a shingle Jaccard of 0.75 or more."""
     return join_components(table(spark, sf_dir, "documents"))
+
+
+@register("op6_jaccard_pairs")
+def op6_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All linked pairs of different texts, and the documents that have these texts."""
+    return _links(table(spark, sf_dir, "documents"))
