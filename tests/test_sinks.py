@@ -73,3 +73,10 @@ def test_query_result_options(spark):
     with pytest.raises(ValueError):
         K.query_result(df, '{"write": {"outputTable": "not_qualified"}}')
     spark.sql("DROP TABLE IF EXISTS spark_catalog.default.trellis_t_query")
+
+
+def test_query_echo_returns_rows_only(spark):
+    from trellis.sources.sinks import query_echo
+    out = query_echo("g", "MATCH (n) RETURN n.a AS a", spark.createDataFrame([(1, "x"), (2, None)], "a long, b string"))
+    assert out.columns == ["graph_name", "cypher_query", "result"]
+    assert sorted(r.result for r in out.collect()) == ['{"a":1,"b":"x"}', '{"a":2}']

@@ -157,7 +157,7 @@ def schema_context(spark, sf):
 
 @register("query_echo", ids="G16")
 def query_echo(spark, sf):
-    """``{graph_name, cypher_query, result}`` echo: the plan text travels with the rows."""
+    """``{graph_name, cypher_query, result}`` echo of the result rows."""
     g = fx.trade_graph(spark, sf)
     m = g.match("c", "Customer").out("r", "PLACED", "o", "Order")
     res = m.agg({"c_mktsegment": "c.c_mktsegment"}, n_orders=F.count(F.lit(1)))

@@ -13,8 +13,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
 import json
 import re
 
@@ -99,13 +97,8 @@ def query_result(df: DataFrame, options=None, order: list[str] | None = None) ->
 
 
 def query_echo(graph_name: str, query_text: str, df: DataFrame) -> DataFrame:
-    """G16 ``{graph_name, cypher_query, result}`` per result row, plus the physical plan
-    the rows came from (printed by ``explain``, captured as text)."""
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
+    """G16 ``{graph_name, cypher_query, result}`` per result row."""
     return df.select(F.lit(graph_name).alias("graph_name"), F.lit(query_text).alias("cypher_query"),
-                     F.lit(buf.getvalue().strip()).alias("plan"),
                      F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("result"))
 
 
