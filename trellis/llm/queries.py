@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trellis.llm import decontaminate, jaccard_join, license_scan, minhash_dedup, mixing, ngram_lm, pii, quality_model, quality_rules, sharding, spelling, token_counts  # noqa: F401
+from trellis.llm import conversation_repair, decontaminate, jaccard_join, license_scan, minhash_dedup, mixing, ngram_lm, pii, quality_model, quality_rules, sharding, spelling, token_counts  # noqa: F401
 from trellis.llm.common import ORACLE, QUERIES
 
 
