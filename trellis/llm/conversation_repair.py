@@ -25,10 +25,10 @@ streams the pieces.  Copies are found by a grouping on (conversation, checksum o
 text), not inside a conversation.
 
 Defined results: null roles and texts are one space, so is a null conv_id or turn in the damage
-rule; a null conv_id is one conversation; rows of equal turn are ordered by role, then text;
-an empty role counts as a role outside the pattern; other columns are ignored; an empty table
-gives an empty result; a conversation without rows after damage has zeros, an empty audit and
-the checksum of the empty string.
+rule; a null conv_id is one conversation; rows of equal turn are ordered by the first 64
+characters of the role, those of the text, then the checksum of both; an empty role counts as
+a role outside the pattern; other columns are ignored; an empty table gives an empty result;
+a conversation without rows after damage has zeros, an empty audit and the checksum of the empty string.
 """
 
 from __future__ import annotations
@@ -281,9 +281,8 @@ def segments(rows: DataFrame) -> DataFrame:
     kind = rows.schema["conv_id"].dataType.simpleString()
     rows = with_symbols(damaged(rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text", "row"]
-    dealt = rows.repartitionByRange(parts, order[0], order[1], "role", "key", "row")
-    return (dealt.sortWithinPartitions(*order).select("conv_id", "turn", "role", "text", "fault", "symbol", "initial")
+    order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.substring("role", 1, 64), F.substring("text", 1, 64), "key", "row"]
+    return (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("conv_id", "turn", "role", "text", "fault", "symbol", "initial")
             .mapInArrow(_cut, f"conv_id {kind}, {_SEGMENT}"))
 
 
