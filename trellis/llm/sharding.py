@@ -1,6 +1,7 @@
 """Sharding by fixed virtual slots.
 
-A record's id hashes into one of thousands of fixed slots; the slot never changes.  Bytes
+A record (its id and the checksum and size of its text) hashes into one of thousands of fixed
+slots; the slot never changes.  Bytes
 and rows are summed per slot, and a small versioned table maps slots to shards.  To
 rebalance, that table is edited: a shard keeps its largest slots while they fit its fair
 share, and only the slots beyond it move, largest first, each to the shard that is lightest
@@ -9,8 +10,8 @@ then.  Rows never carry their shard; they find it through their slot.
 The map has one row per slot (``n_slots``, a parameter), so the passes over it are bounded.
 
 Defined results: a null text has no bytes (its size is the fixed overhead, its checksum 0);
-rows with equal ids, also null ids, share a slot; an empty table gives an empty result and a
-map with all slots; columns other than ``doc_id`` and ``text`` are ignored (``with_shards`` keeps them, but for its own two names).
+rows of one id, also null ids, are spread by their texts, rows equal in both share a slot; an
+empty table gives an empty result and a map with all slots; columns other than ``doc_id`` and ``text`` are ignored (``with_shards`` keeps them, but for its own two names).
 """
 
 from __future__ import annotations
@@ -26,9 +27,13 @@ N_SHARDS = 24
 OVERHEAD = 8
 
 
-def slot_of(record_id: Column, n_slots: int = N_SLOTS) -> Column:
-    """The fixed virtual slot of an id."""
-    return F.pmod(F.xxhash64(record_id), F.lit(n_slots)).cast("int")
+def text_crc(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("long")
+
+
+def slot_of(record_id: Column, text: Column, n_slots: int = N_SLOTS) -> Column:
+    """The fixed virtual slot of a record."""
+    return F.pmod(F.xxhash64(record_id, text_crc(text), F.coalesce(F.octet_length(text), F.lit(-1))), F.lit(n_slots)).cast("int")
 
 
 def record_digest(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
@@ -37,8 +42,8 @@ def record_digest(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     return docs.select(
         "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(OVERHEAD)).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("long").alias("text_crc32"),
-        slot_of(F.col("doc_id"), n_slots).alias("vslot"))
+        text_crc(text).alias("text_crc32"),
+        slot_of(F.col("doc_id"), text, n_slots).alias("vslot"))
 
 
 def slot_weights(digest: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
@@ -125,7 +130,7 @@ def with_shards(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOT
     slot_map, _ = fitted_map(record_digest(docs, n_slots), n_shards, n_slots)
     names = [c for c in docs.columns if c not in ("virtual_slot", "shard")]
     found = slot_map.select(F.col("vslot").alias("virtual_slot"), "shard")
-    return (docs.select(*names).withColumn("virtual_slot", slot_of(F.col("doc_id"), n_slots))
+    return (docs.select(*names).withColumn("virtual_slot", slot_of(F.col("doc_id"), F.col("text"), n_slots))
             .join(F.broadcast(found), "virtual_slot").select(*names, "virtual_slot", "shard"))
 
 
