@@ -149,11 +149,14 @@ def fold_of(doc_id: Column, folds: int = FOLDS) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """doc_id, text, label of the bounded sample to learn from: never the held-out fold."""
+    """doc_id, text, label of at most ``max_rows`` rows to learn from: never the held-out fold.
+
+    An id stands once, with the least of its texts, however many rows it has."""
     known = (labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("label"))
              .filter(fold_of(F.col("doc_id")) != HELD_OUT))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")      # at most max_rows ids
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")      # at most max_rows ids
+            .groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("label").alias("label")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
@@ -161,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(batches)
         rows = (pd.concat(parts) if parts else pd.DataFrame(columns=["doc_id", "text", "label"]))
-        rows = rows.drop_duplicates(["doc_id", "text"]).sort_values(["doc_id", "text"])
+        rows = rows.sort_values("doc_id")
         model = train(rows["text"].tolist(), [int(x) for x in rows["label"]])
         yield pd.DataFrame({"value": [model.value.tobytes()], "bias": [model.bias]})
 
@@ -191,5 +194,5 @@ def op7_quality_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; the held-out fold was never learned from."""
     docs = table(spark, sf_dir, "documents")
     scored = add_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (fold_of(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
