@@ -47,7 +47,9 @@ PERCENT = 75          # least similarity
 WORDS = 5             # words in a shingle
 BLOCK = 4096          # sets of a tile that one task compares with as many
 BITS = 8              # bitmap bits per set element, at least
+TILE_BYTES = 8_000_000  # of bitmaps that a block of a tile has at most (a single set may have more)
 PACKED = 5            # bytes of a hash inside its part
+PART_BYTES = 16_000_000  # text whose hashes one part owns on average
 NO_ID = -2**63        # a null id on its way through packed arrays
 
 
@@ -67,6 +69,26 @@ _PARTS = "part int, chunk string, hashes binary, counts binary, ids binary, size
 _REPLY = "chunk string, shared binary, ids binary, sizes binary"
 
 
+def _narrow(a: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest needs; the first byte tells how many."""
+    kind = np.min_scalar_type(int(a.max(initial=0)))
+    return bytes([kind.itemsize]) + a.astype(kind).tobytes()
+
+
+def _widened(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, f"u{b[0]}", offset=1)
+
+
+def arrays_of(column: pa.Array, kind=np.uint64) -> list[np.ndarray]:
+    """The numbers of each binary value, without a copy."""
+    if not len(column):
+        return []
+    starts = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)
+    starts = starts[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return [data[lo:hi].view(kind) for lo, hi in zip(starts[:-1], starts[1:])]
+
+
 def _deal(n_parts: int, k: int):
     """Texts to packed hashes by part; one row per run of texts and part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +109,8 @@ def _deal(n_parts: int, k: int):
                     lo, hi = cuts[p], cuts[p + 1]
                     if lo == hi and p != home:
                         continue
-                    counts = np.bincount(text[order[lo:hi]], minlength=n).astype(np.uint32)
-                    rows.append({"part": p, "chunk": f"{task}/{number}", "hashes": _blob(packed[lo:hi]), "counts": _blob(counts),
+                    counts = np.bincount(text[order[lo:hi]], minlength=n)
+                    rows.append({"part": p, "chunk": f"{task}/{number}", "hashes": _blob(packed[lo:hi]), "counts": _narrow(counts),
                                  "ids": _blob(ids[first:first + n]) if p == home else None,
                                  "sizes": _blob(sizes.astype(np.int64)) if p == home else None})
                 number += 1
@@ -104,7 +126,7 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def _count_shared(rows: pa.Table) -> pa.Table:
     """In one part: for each run of texts, how many hashes of each text occur twice or more."""
-    blobs = [np.frombuffer(x, np.uint8).reshape(-1, PACKED) for x in rows.column("hashes").to_pylist()]
+    blobs = [x.reshape(-1, PACKED) for piece in rows.column("hashes").chunks for x in arrays_of(piece, np.uint8)]
     wide = np.zeros((sum(map(len, blobs)), 8), np.uint8)
     at = 0
     for x in blobs:
@@ -123,8 +145,8 @@ def _count_shared(rows: pa.Table) -> pa.Table:
     np.cumsum(shared, out=upto[1:])
     out, at = [], 0
     for chunk, counts, ids, sizes in zip(*(rows.column(c).to_pylist() for c in ("chunk", "counts", "ids", "sizes"))):
-        ends = at + np.concatenate([[0], np.cumsum(np.frombuffer(counts, np.uint32), dtype=np.int64)])
-        out.append({"chunk": chunk, "shared": _blob(np.diff(upto[ends]).astype(np.uint32)), "ids": ids, "sizes": sizes})
+        ends = at + np.concatenate([[0], np.cumsum(_widened(counts), dtype=np.int64)])
+        out.append({"chunk": chunk, "shared": _narrow(np.diff(upto[ends])), "ids": ids, "sizes": sizes})
         at = ends[-1]
     return pa.Table.from_pylist(out, schema=_arrow(_REPLY))
 
@@ -134,7 +156,9 @@ _SHARE = "doc_id long, n_shingles long, n_shared long"
 
 def _add_up(rows: pa.Table) -> pa.Table:
     """Sum the answers of all parts for one run of texts."""
-    total = np.sum([np.frombuffer(x, np.uint32) for x in rows.column("shared").to_pylist()], axis=0, dtype=np.int64)
+    total = np.zeros(1, np.int64)
+    for x in rows.column("shared").to_pylist():
+        total = total + _widened(x)
     ids = next(x for x in rows.column("ids").to_pylist() if x is not None)
     sizes = next(x for x in rows.column("sizes").to_pylist() if x is not None)
     return pa.table([pa.array(np.frombuffer(ids, np.int64)), pa.array(np.frombuffer(sizes, np.int64)), pa.array(total)],
@@ -144,9 +168,11 @@ def _add_up(rows: pa.Table) -> pa.Table:
 def shared_share(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and n_shared (shingles that another text has too) of every row.
 
-    Part sizes follow ``spark.sql.shuffle.partitions``.  A part may take two hashes for one
-    when they agree in their last 40 bits, which only lets a text through to the exact steps."""
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    There are as many parts as keep each near ``PART_BYTES`` of text, so a part does not grow with
+    the data.  A part may take two hashes for one when they agree in their last 40 bits, which
+    only lets a text through to the exact steps."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_deal(n_parts, k), _PARTS)
     answers = dealt.groupBy("part").applyInArrow(_count_shared, _REPLY)
     return (answers.groupBy("chunk").applyInArrow(_add_up, _SHARE)
@@ -187,7 +213,7 @@ _TOKENS = "rep long, n long, share double, tokens array<long>"
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        items = [np.frombuffer(x, np.int64) for x in b.column("items").to_pylist()]
+        items = arrays_of(b.column("items"), np.int64)
         n = np.array([len(x) for x in items], np.int64)
         tokens = [x[:p] for x, p in zip(items, prefix_length(n))]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n"), b.column("share"),
@@ -209,10 +235,8 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        left, right = (b.column(c).to_pylist() for c in ("items_a", "items_b"))
         linked = []
-        for i, (x, y) in enumerate(zip(left, right)):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for i, (x, y) in enumerate(zip(arrays_of(b.column("items_a")), arrays_of(b.column("items_b")))):
             both = common(x, y)
             if 100 * both >= PERCENT * (len(x) + len(y) - both):
                 linked.append(i)
@@ -262,6 +286,12 @@ def bitmap_words(band: int) -> int:
     return max(1, 1 << int(np.ceil(np.log2(bits / 64))))
 
 
+def block_rows(band: Column) -> Column:
+    """Sets in a block of a tile: ``BLOCK``, or fewer where bitmaps are wide."""
+    size = F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(BITS / 64) * F.pow(F.lit(100.0 / PERCENT), F.col("band") + 1)))) * 8
+    return F.greatest(F.least(F.lit(float(BLOCK)), F.floor(F.lit(TILE_BYTES) / F.greatest(size, F.lit(8.0)))), F.lit(16.0))
+
+
 def bitmap(items: np.ndarray, words: int) -> np.ndarray:
     place = mix(items) & np.uint64(words * 64 - 1)
     out = np.zeros(words, np.uint64)
@@ -271,8 +301,7 @@ def bitmap(items: np.ndarray, words: int) -> np.ndarray:
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        maps = [_blob(bitmap(np.frombuffer(x, np.uint64), bitmap_words(band)))
-                for x, band in zip(b.column("items").to_pylist(), b.column("band").to_pylist())]
+        maps = [_blob(bitmap(x, bitmap_words(band))) for x, band in zip(arrays_of(b.column("items")), b.column("band").to_pylist())]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("band"), pa.array(maps, pa.binary())],
                                          schema=_arrow("rep long, band int, bits binary"))
 
@@ -308,35 +337,50 @@ def tile_pairs(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, home: np.ndarra
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by tile; a tile may go on in the next batch."""
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: rows.column(c).to_numpy() for c in ("token", "band", "pair", "rep", "n", "comp", "home", "block")}
-        raw = rows.column("bits").to_pylist()
-        new = np.ones(rows.num_rows, bool)
-        new[1:] = np.any([cols[c][1:] != cols[c][:-1] for c in _TILE], axis=0)
-        starts = np.append(np.flatnonzero(new), rows.num_rows)
-        found: tuple[list, list] = ([], [])
-        for lo, hi in zip(starts[:-1], starts[1:]):
-            if hi - lo > 1:
-                bits = np.frombuffer(b"".join(raw[lo:hi]), np.uint64).reshape(hi - lo, -1)
-                for out, got in zip(found, tile_pairs(*(cols[c][lo:hi] for c in ("rep", "n", "comp", "home", "block")), bits)):
-                    out.append(got)
-        if found[0]:
-            both = np.unique(np.stack([np.concatenate(x) for x in found]), axis=1)
+    """Rows come sorted by tile; a tile may go on in the next batch.
+
+    Whole tiles are read in place; only the last one of a batch is held, and a block of a tile
+    has at most ``BLOCK`` rows and about ``TILE_BYTES`` of bitmaps."""
+    def pairs(rows: pa.RecordBatch, lo: int, hi: int) -> Iterator[pa.RecordBatch]:
+        if hi - lo < 2:
+            return
+        rows = rows.slice(lo, hi - lo)
+        bits = np.concatenate(arrays_of(rows.column("bits"))).reshape(hi - lo, -1)
+        a, b = tile_pairs(*(rows.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "n", "comp", "home", "block")), bits)
+        if len(a):
+            both = np.unique(np.stack([a, b]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], schema=_arrow("a long, b long"))
 
-    held: pa.Table | None = None
+    def tile_of(rows: pa.RecordBatch, i: int) -> list:
+        return [rows.column(c)[i].as_py() for c in _TILE]
+
+    held: list[pa.RecordBatch] = []
+
+    def release() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        held.clear()
+        yield from pairs(rows, 0, rows.num_rows)
+
     for b in batches:
-        rows = pa.Table.from_batches([b])
-        held = rows if held is None else pa.concat_tables([held, rows])
-        last = [held.column(c)[held.num_rows - 1].as_py() for c in _TILE]
-        same = np.all([held.column(c).to_numpy() == x for c, x in zip(_TILE, last)], axis=0)
-        cut = int(np.argmax(same))                 # the last tile starts here
-        if cut:
-            yield from pairs(held.slice(0, cut).combine_chunks())
-            held = held.slice(cut)
-    if held is not None and held.num_rows:
-        yield from pairs(held.combine_chunks())
+        if not b.num_rows:
+            continue
+        keys = [b.column(c).to_numpy() for c in _TILE]
+        new = np.zeros(b.num_rows, bool)
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+        cuts = [0, *np.flatnonzero(new), b.num_rows]
+        if held and tile_of(held[0], 0) == tile_of(b, 0):
+            held.append(b.slice(0, cuts[1]))
+            cuts = cuts[1:]
+            if len(cuts) == 1:                     # all of the batch belongs to the held tile
+                continue
+        if held:
+            yield from release()
+        for lo, hi in zip(cuts[:-2], cuts[1:-1]):
+            yield from pairs(b, lo, hi)
+        held.append(pa.Table.from_batches([b]).take(pa.array(range(cuts[-2], cuts[-1]))).combine_chunks().to_batches()[0])
+    if held:
+        yield from release()
 
 
 def band_pairs(post: DataFrame, reps: DataFrame, comps: DataFrame | None = None) -> DataFrame:
@@ -352,7 +396,8 @@ def band_pairs(post: DataFrame, reps: DataFrame, comps: DataFrame | None = None)
     rows = rows.withColumn("home", F.col("own") == F.col("band")).drop("own")
     mixed = (rows.groupBy("token", "band")
              .agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size"), F.max("home").alias("any_home"))
-             .filter("c0 < c1 AND any_home").select("token", "band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+             .filter("c0 < c1 AND any_home")
+             .select("token", "band", F.ceil(F.col("size") / block_rows(F.col("band"))).cast("int").alias("blocks")))
     rows = store(rows.join(mixed, ["token", "band"]), "tiles")
     wanted = rows.select(F.col("rep").alias("doc_id"), "band").distinct()
     bits = reps.select("doc_id", "items").join(wanted, "doc_id").mapInArrow(_bitmaps, "rep long, band int, bits binary")
@@ -383,7 +428,7 @@ def near_tiles(docs: DataFrame, k: int = WORDS, by_set: bool = False) -> tuple[D
     else:
         classes = store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "near-classes")
         member = sets.select("digest", "doc_id").join(classes.withColumnRenamed("doc_id", "rep"), "digest").select("doc_id", "rep").distinct()
-        reps = store(sets.join(classes, ["doc_id", "digest"], "left_semi"), "near-reps")
+        reps = store(sets.join(classes, ["doc_id", "digest"], "left_semi").dropDuplicates(["digest"]), "near-reps")
 
     post = store(reps.mapInArrow(_prefixes, _TOKENS)
                  .select("rep", "n", "share", F.explode("tokens").alias("token")), "near-tokens")
@@ -434,19 +479,29 @@ def join_components(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, with one document of each group: the one of smallest id.
-
-    Texts without words and rows without an id stay; of several rows with this id one stays."""
-    _, found = near_components(docs)
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("near_id"))
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["near_id"], "left_anti")
-    again = store(found.filter("n_rows > 1").select(F.col("doc_id").alias("near_id")), "near-again")
-    if again.isEmpty():
-        return kept
-    same = kept["doc_id"].cast("long") == again["near_id"]
+    """``docs``, all columns, with one row of each group of near copies.
+
+    Groups are made of texts (told apart by a 64-bit hash), not of ids: rows of one id with
+    different texts are judged apart, and rows without an id take part.  The row of smallest id
+    stays, one with an id before one without; then the hash of the text and of the whole row
+    decide, and of rows equal in all columns one stays.  Rows without words stay."""
+    names = docs.columns
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    several = kept.filter(has_words).join(again, same, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, same & has_words, "left_anti").unionByName(several)
+    key, row = F.xxhash64("text", F.length("text")), F.xxhash64(*names)
+    slim = store(docs.filter(has_words).select(F.col("doc_id").cast("long").alias("id"), key.alias("key"), row.alias("row")), "near-rows")
+    _, found = near_components(docs.filter(has_words).select(key.alias("doc_id"), "text"))
+    text = slim.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "row")).alias("first"))
+    text = store(text.join(found.select(F.col("doc_id").alias("key"), "component_id"), "key", "left")
+                 .select("key", "n", "first", F.coalesce("component_id", "key").alias("group")), "near-texts")
+    best = text.groupBy("group").agg(F.sum("n").alias("rows"), F.min("first").alias("first")).filter("rows > 1").select("group", "first")
+    # of each text with company: the row that stays, null if another text's row does
+    act = store(text.join(best.withColumnRenamed("first", "stays"), "group")
+                .select(F.col("key").alias("near_key"), F.when(F.col("stays.key") == F.col("key"), F.col("stays.row")).alias("near_row")), "near-acts")
+    judged = docs.select(F.struct(*names).alias("doc"), F.when(has_words, key).alias("own_key"), row.alias("own_row"))
+    judged = judged.join(act, judged["own_key"] == act["near_key"], "left")
+    alone = judged.filter("near_key IS NULL").select("doc.*")
+    chosen = judged.filter("near_key IS NOT NULL AND own_row = near_row").dropDuplicates(["own_key", "own_row"]).select("doc.*")
+    return alone.unionByName(chosen)
 
 
 def _links(docs: DataFrame) -> DataFrame:
