@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -11,6 +12,7 @@ from llm_cases import PROSE, SCHEMA, SF, collected, edge_rows, lower_az, oracle,
 
 from trellis.llm import decontaminate, jaccard_join, license_scan, mixing, ngram_lm, pii, quality_model, quality_rules, queries, sharding
 from trellis.llm.common import table
+from trellis.llm.weak_supervision import fit_label_model
 
 Q, SQL = queries.load()
 
@@ -29,6 +31,7 @@ def edge_dir(spark, tmp_path_factory):
 def empty_dir(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("empty")
     return table_dir(spark, path, spark.createDataFrame([], SCHEMA),
+                     conversations=spark.createDataFrame([], "conv_id long, turn long, role string, text string"),
                      benchmark=spark.createDataFrame([], "item_id long, text string"),
                      labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"))
 
@@ -134,8 +137,145 @@ def test_pii_digest(spark, edge_dir):
             sum(s.startswith(k) for s in base_spans(text)) for k in ("email", "ip", "card", "phone"))
 
 
+def planted(n):
+    """Texts with one added kind each, and where it is; every third text is clean."""
+    rnd, out = random.Random(11), []
+    names = ["Anna Keller", "James Whitfield", "María Ortega", "Peter Lang"]
+    digits = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    for i in range(n):
+        value = [f'{rnd.choice(["x", "jo.doe", "info"])}{i} (at) mail{i % 7}.example (dot) com', f"(0{digits(2)}) {digits(3)}-{digits(4)}",
+                 "".join(rnd.choice("0123456789abcdef") for _ in range(40)), "ghp_" + "".join(rnd.choice("abcdefgh0123456789XYZ") for _ in range(30)),
+                 rnd.choice(names), f"{rnd.randrange(1, 900)} {rnd.choice(['Harbour', 'Church', 'Mill'])} {rnd.choice(['Street', 'Road'])}"][i // 3 % 6]
+        lead = ["write to ", "call ", "token = ", "", rnd.choice(["Dr. ", "", "Dear Mr "]), "the office at "][i // 3 % 6]
+        kind = ["email", "phone", "secret", "secret", "name", "address"][i // 3 % 6]
+        at = rnd.randrange(0, len(PROSE) // 2)
+        at = PROSE.index(" ", at) + 1
+        if i % 3 == 2:
+            out.append((i, PROSE[at:] + f" chapter {i} of order {i * 7} was done", None))
+        else:
+            out.append((i, f"{PROSE[:at]}{lead}{value} {PROSE[at:]}", f"{kind}:{at + len(lead)}:{at + len(lead) + len(value)}"))
+    return out
+
+
+def test_planted_spans_are_added_and_clean_texts_left_alone(spark):
+    rows = planted(540)
+    tagged = pii.tag_spans(spark.createDataFrame(rows, "doc_id long, text string, want string"))
+    got = {r["doc_id"]: r["s"].split(",") if r["s"] else [] for r in tagged.select("doc_id", pii.spans_text(pii.F.col("spans")).alias("s")).collect()}
+    for kind in ("email", "phone", "secret", "name", "address"):
+        want = [(i, w) for i, _, w in rows if w and w.startswith(kind)]
+        assert sum(w in got[i] for i, w in want) >= 0.9 * len(want), kind
+    assert all(not got[i] for i, _, w in rows if w is None)
+
+
+def test_secrets_of_the_given_texts_are_found(spark):
+    docs = {r["doc_id"]: r["text"] or "" for r in table(spark, "/root/testdata/sf0.01", "documents").collect()}
+    want = {(i, f"secret:{m.start(1)}:{m.end(1)}") for i, t in docs.items() for m in re.finditer('(?i)token = "([0-9a-f]{40})"', t)}
+    rows = Q["op3_pii_label_model"](spark, "/root/testdata/sf0.01").collect()
+    got = {(r["doc_id"], s) for r in rows for s in r["spans"].split(",")}
+    assert len(want) > 10 and want <= got
+    assert all(r["has_personal_data"] == (r["n_spans"] > 0) == bool(r["spans"]) for r in rows)
+
+
+def plain_em(patterns, share, yes_rates, no_rates, rounds=15, tolerance=1e-3):
+    """patterns: {votes: rows}; (log-odds of the share, [(yes, no) weight of each voter])."""
+    n = len(next(iter(patterns)))
+    prior, w = math.log(share / (1 - share)), [(math.log(yes_rates[0] / yes_rates[1]), math.log(no_rates[0] / no_rates[1]))] * n
+    for _ in range(rounds):
+        p = {v: 1 / (1 + math.exp(-prior - sum(a if x > 0 else b if x < 0 else 0 for x, (a, b) in zip(v, w)))) for v in patterns}
+        yes, no = sum(c * p[v] for v, c in patterns.items()), sum(c * (1 - p[v]) for v, c in patterns.items())
+        new = []
+        for k in range(n):
+            pair = []
+            for side in (1, -1):
+                y = sum(c * p[v] for v, c in patterns.items() if v[k] == side)
+                m = sum(c * (1 - p[v]) for v, c in patterns.items() if v[k] == side)
+                pair.append(max(0.0, side * math.log(((y + 1) / (yes + 2)) / ((m + 1) / (no + 2)))) * side)
+            new.append(tuple(pair))
+        moved = max(abs(x - y) for a, b in zip(new, w) for x, y in zip(a, b))
+        prior, w = math.log((yes + 1) / (no + 1)), new
+        if moved < tolerance:
+            break
+    return prior, w
+
+
+def test_label_model_equals_plain_em(spark):
+    rnd = random.Random(2)
+    votes = []
+    for _ in range(3000):
+        truth = rnd.random() < 0.4
+        votes.append(tuple(0 if rnd.random() < 0.2 else (1 if (rnd.random() < good) == truth else -1) for good in (0.9, 0.8, 0.6)))
+    frame = spark.createDataFrame(votes, "a int, b int, c int")
+    model = fit_label_model(frame, ["a", "b", "c"], share=0.5)
+    prior, w = plain_em(Counter(votes), 0.5, (0.7, 0.3), (0.02, 0.4))
+    assert abs(model.prior - prior) < 1e-3
+    assert all(abs(x - y) < 1e-3 for k, (a, b) in zip("abc", w) for x, y in zip(model.weights[k], (a, b)))
+    assert w[0][0] > w[1][0] > w[2][0]
+
+
+def test_classifier_and_spans_follow_from_the_candidates(spark):
+    """From the candidates on, done again in plain Python: label model, naive Bayes, acceptance, overlaps."""
+    frame = spark.createDataFrame(planted(270), "doc_id long, text string, want string")
+    facts = {r["doc_id"]: r["spans"] for r in pii.find_candidates(frame).collect()}
+    cells = Counter((tuple(s[v] for v in pii.VOTERS), tuple(s[f] for f in pii.FEATURES)) for spans in facts.values() for s in spans)
+    votes = Counter()
+    for (v, _), n in cells.items():
+        votes[v] += n
+    prior, w = plain_em(votes, 0.5, (0.7, 0.3), (0.02, 0.4))
+    yes, no = Counter(), Counter()
+    for (v, f), n in cells.items():
+        p = 1 / (1 + math.exp(-prior - sum(a if x > 0 else b if x < 0 else 0 for x, (a, b) in zip(v, w))))
+        for key in (None, *zip(pii.FEATURES, f)):
+            yes[key] += n * p
+            no[key] += n * (1 - p)
+    want = {}
+    for i, spans in facts.items():
+        base = [(s["begin"], s["kind"], s["end"]) for s in spans if s["base"]]
+        more = []
+        for s in spans:
+            odds = math.log((yes[None] + 1) / (no[None] + 1)) + sum(
+                math.log((yes[f, s[f]] + 1) / (yes[None] + k)) - math.log((no[f, s[f]] + 1) / (no[None] + k)) for f, k in pii.FEATURES.items())
+            if s["loose"] and 1 / (1 + math.exp(-odds)) >= pii.ACCEPT and not any(b < s["end"] and s["begin"] < e for b, _, e in base):
+                more.append((s["begin"], s["kind"], s["end"]))
+        more = [x for x in more if not any(y < x and y[0] < x[2] and x[0] < y[2] for y in more)]
+        want[i] = sorted(base + more)
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.tag_spans(frame).collect()}
+    assert got == want
+
+
 # -- 4 sharding
 
+def test_rows_of_one_id_spread_over_the_shards(spark):
+    """Half of all rows have no id, another part one id: sizes stay near equal."""
+    rows = [(None if i % 2 else 7 if i % 6 == 0 else i, f"text number {i} " * 5) for i in range(3000)]
+    placed, _ = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    load = Counter()
+    for r in placed.collect():
+        load[r["shard"]] += r["size"]
+    assert len(load) == 24 and max(load.values()) <= 1.1 * sum(load.values()) / 24
+
+
+def test_rebalance_equals_the_plain_greedy(spark):
+    rnd = random.Random(4)
+    size = [rnd.choice([0, 1, 5, 5, 40, 300]) for _ in range(60)]
+    weights = spark.createDataFrame([(s, b, 1) for s, b in enumerate(size)], "vslot int, n_bytes long, n_rows long")
+    old = {s: s % 5 for s in range(60)}
+    fair = sum(size) / 4
+    want, load, free = {}, [0] * 4, []
+    for shard in range(5):
+        run = 0
+        for s in sorted((s for s in old if old[s] == shard), key=lambda s: (-size[s], s)):
+            run += size[s]
+            if run <= fair and shard < 4:
+                want[s] = shard
+                load[shard] += size[s]
+            else:
+                free.append(s)
+    for s in sorted(free, key=lambda s: (-size[s], s)):
+        want[s] = load.index(min(load))
+        load[want[s]] += size[s]
+    got = sharding.rebalance(sharding.first_map(spark, 60, 5), weights, 4).collect()
+    assert {r["vslot"]: r["shard"] for r in got} == want
+
 def test_shards_are_even_and_gapless(spark):
     rows = Q["op4_virtual_slots"](spark, SF).collect()
     text = dict((r["doc_id"], r["text"] or "") for r in table(spark, SF, "documents").collect())
@@ -234,6 +374,57 @@ def test_held_out_quality(spark):
     assert auc >= 0.8
 
 
+def test_training_takes_an_id_once_and_null_ids_are_scored(spark, tmp_path):
+    docs = [(1, "b " * 9), (1, "a " * 9), (1, None), (None, "free text"), (None, None)] + [(3, f"copy {i}") for i in range(50)] + [(4, "word " * 40_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0), (3, 1), (None, 1), (4, None)], "doc_id long, quality int")
+    used = sorted(tuple(r) for r in quality_model.training_rows(frame, labels).collect())
+    assert used == [(1, "", 1), (3, "copy 0", 0)]
+    sf = table_dir(spark, tmp_path, frame, labels=labels.selectExpr("*", "0 toxic"))
+    rows = Q["op7_quality_embeddings"](spark, sf).collect()
+    assert len(rows) == len(docs) and all(r["held_out"] is not None for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in rows)
+
+
+def test_training_equals_plain_gradient_descent():
+    """The same steps with one-row loops over plain lists."""
+    texts, labels = ["good words here", "bad bad", "more good words", "bad line"], [1, 0, 1, 0]
+    got = quality_model.train(texts, labels)
+    want = plain_training(texts, labels)
+    assert abs(got.bias - want[1]) < 1e-4
+    ids = sorted({int(i) for t in texts for i in quality_model.text_features(t)[0]})
+    assert all(abs(float(got.value[i]) - want[0][i]) < 1e-4 for i in ids)
+
+
+def plain_training(texts, labels):
+    """Vectors as lists, gradients written out: {feature: value of label 1 less label 0}, bias difference."""
+    rng, dim = quality_model.np.random.default_rng(7), quality_model.DIM
+    vectors = rng.uniform(-1 / dim, 1 / dim, (quality_model.BUCKETS + 2, dim))
+    out, bias = [[0.0, 0.0] for _ in range(dim)], [0.0, 0.0]
+    rows = [quality_model.text_features(t) for t in texts]
+    steps, done = quality_model.EPOCHS * len(rows), 0
+    for _ in range(quality_model.EPOCHS):
+        for i in rng.permutation(len(rows)):
+            rate = quality_model.RATE * (1 - done / steps)
+            done += 1
+            ids, w = [int(x) for x in rows[i][0]], [float(x) for x in rows[i][1]]
+            mean = [sum(a * vectors[k][d] for a, k in zip(w, ids)) for d in range(dim)]
+            z = [sum(mean[d] * out[d][c] for d in range(dim)) + bias[c] for c in (0, 1)]
+            e = [math.exp(x - max(z)) for x in z]
+            p = [x / sum(e) for x in e]
+            p[labels[i]] -= 1
+            back = [out[d][0] * p[0] + out[d][1] * p[1] for d in range(dim)]
+            for d in range(dim):
+                for c in (0, 1):
+                    out[d][c] -= rate * mean[d] * p[c]
+            bias = [b - rate * x for b, x in zip(bias, p)]
+            norm = sum(a * a for a in w)
+            for a, k in zip(w, ids):
+                for d in range(dim):
+                    vectors[k][d] -= rate / norm * a * back[d]
+    return {k: sum(vectors[k][d] * (out[d][1] - out[d][0]) for d in range(dim)) for r in rows for k in map(int, r[0])}, bias[1] - bias[0]
+
+
 def test_held_out_labels_are_not_learned(spark):
     docs = spark.createDataFrame([(i, PROSE) for i in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")

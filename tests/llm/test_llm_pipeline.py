@@ -46,7 +46,7 @@ def test_near_copy_stage_on_edge_rows(spark, bench_dir):
     out = corpus_pipeline.near_copy_stage(spark, table(spark, bench_dir, "documents"), bench_dir).collect()
     got = Counter(r["doc_id"] for r in out)
     assert got[1] == 1 and got[2] == 0 and got[3] in (0, 1) and got[7] == 1 and got[8] == 0
-    assert got[4] == got[5] == got[6] == got[None] == 1
+    assert got[4] == got[5] == got[6] == 1 and got[None] == 0     # the row without an id is a near copy of row 1
 
 
 def test_benchmark_stage_drops_only_what_holds_an_item(spark, bench_dir):
@@ -68,3 +68,13 @@ def test_run_is_the_stages_one_after_another(spark):
     assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in kept.collect()}
     again = Counter(r["doc_id"] for r in rows)
     assert max(again.values()) <= 3
+
+
+def test_near_copy_stage_judges_texts_not_ids(spark):
+    """An id with two texts loses neither, rows without an id take part, equal rows leave one."""
+    other = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, PROSE, "x"), (2, PROSE, "y"), (2, other, "z"), (None, PROSE, "n"), (None, PROSE, "n"), (None, other + " q", "n"), (3, None, "k"),
+            (4, " ", "k"), (5, "u v w", "k"), (5, "u v w", "k"), (None, "only here", "n"), (None, "only here", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((tuple(r) for r in corpus_pipeline.near_copy_stage(spark, docs, None).collect()), key=repr)
+    assert got == sorted([(1, PROSE, "x"), (2, other, "z"), (3, None, "k"), (4, " ", "k"), (5, "u v w", "k"), (None, "only here", "n")], key=repr)
