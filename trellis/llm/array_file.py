@@ -42,7 +42,7 @@ def open_arrays(uri: str) -> dict[str, np.ndarray]:
     """The arrays of a file; a local or mounted file is mapped, any other is read once."""
     where, path = _place(uri)
     if isinstance(where, fs.LocalFileSystem):
-        raw = np.memmap(path, np.uint8, "r")
+        raw = np.asarray(np.memmap(path, np.uint8, "r"))
     else:
         with where.open_input_stream(path) as f:
             raw = np.frombuffer(f.read(), np.uint8)

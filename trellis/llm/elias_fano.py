@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_BLOCK = 8                        # 64-bit words between stored counts
+_BLOCK = 2                        # 64-bit words between stored counts
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -25,39 +25,60 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     bits[high.astype(np.int64) + np.arange(n)] = True
     words = np.packbits(bits, bitorder="little").view(np.uint64)
     ones = np.bitwise_count(words).reshape(-1, _BLOCK).sum(axis=1, dtype=np.int64)
-    return {"low": low, "words": words, "ones": np.concatenate([[0], np.cumsum(ones)]).astype(np.int64),
+    total = np.concatenate([[0], np.cumsum(ones)])
+    return {"low": low, "words": words, "ones": total.astype(np.uint32 if total[-1] < 2**32 else np.int64),
             "buckets": np.array([buckets], np.int64)}
 
 
+_EACH = np.uint64(0x0101010101010101)
+_TOP = np.uint64(0x8080808080808080)
+# place of the k-th set bit of a byte
+_IN_BYTE = np.array([[[i for i in range(8) if b >> i & 1][k] if k < bin(b).count("1") else 0 for k in range(8)] for b in range(256)], np.int64)
+
+
+def select_in_word(w: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th set bit of each 64-bit word, which has more than k."""
+    one, two, four = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F))
+    s = w - ((w >> np.uint64(1)) & one)
+    s = (s & two) + ((s >> np.uint64(2)) & two)
+    upto = ((s + (s >> np.uint64(4))) & four) * _EACH                  # byte i: set bits in bytes 0 to i
+    k = k.astype(np.uint64)
+    shift = np.bitwise_count((((k * _EACH) | _TOP) - upto) & _TOP).astype(np.uint64) * np.uint64(8)
+    k = k - (((upto << np.uint64(8)) >> shift) & np.uint64(255))
+    return shift.astype(np.int64) + _IN_BYTE[((w >> shift) & np.uint64(255)).astype(np.int64), k.astype(np.int64)]
+
+
+def trailing_zeros(w: np.ndarray) -> np.ndarray:
+    """Clear bits below the lowest set one; 64 if there is none."""
+    return np.bitwise_count((w & (~w + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+
+
 class EliasFano:
     """Reads the arrays of ``encode``."""
 
     def __init__(self, arrays: dict[str, np.ndarray], prefix: str = ""):
         self.low, self.words, self.ones = (arrays[prefix + k] for k in ("low", "words", "ones"))
         self.buckets = int(arrays[prefix + "buckets"][0])
-        self.zeros = np.arange(len(self.ones)) * (64 * _BLOCK) - self.ones
+        self.zeros = np.arange(len(self.ones), dtype=np.int64) * (64 * _BLOCK) - self.ones
         self.n, self.low_bytes = self.low.shape
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Place of the k-th set (or clear) bit, counted from 0."""
         upto = self.ones if ones else self.zeros
-        block = np.searchsorted(upto, k, side="right") - 1
+        block = np.searchsorted(upto, k.astype(upto.dtype), side="right") - 1
         rest = k - upto[block]
-        words = self.words[block[:, None] * _BLOCK + np.arange(_BLOCK)]
+        w = self.words[block * _BLOCK]
         if not ones:
-            words = ~words
-        sums = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        word = (sums <= rest[:, None]).sum(axis=1)
-        row = np.arange(len(k))
-        rest = rest - np.where(word > 0, sums[row, np.maximum(word - 1, 0)], 0)
-        w, place = words[row, word], np.zeros(len(k), np.int64)
-        for size in (32, 16, 8, 4, 2, 1):
-            count = np.bitwise_count(w & np.uint64((1 << size) - 1)).astype(np.int64)
-            go = rest >= count
-            rest = rest - np.where(go, count, 0)
-            w = np.where(go, w >> np.uint64(size), w)
-            place += np.where(go, size, 0)
-        return (block * _BLOCK + word) * 64 + place
+            w = ~w
+        place = block * (64 * _BLOCK)
+        count = np.bitwise_count(w).astype(np.int64)
+        later = np.flatnonzero(rest >= count)
+        if len(later):
+            rest[later] -= count[later]
+            place[later] += 64
+            next_words = self.words[block[later] * _BLOCK + 1]
+            w[later] = next_words if ones else ~next_words
+        return place + select_in_word(w, rest)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         out = np.zeros(len(i), np.uint64)
@@ -70,6 +91,17 @@ class EliasFano:
         high = (self._select(i, True) - i).astype(np.uint64)
         return (high << np.uint64(8 * self.low_bytes)) | self._low(i)
 
+    def ranges(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at places ``i`` and ``i + 1``; the second is read from the next set bit."""
+        at = self._select(i, True)
+        step = trailing_zeros(self.words[at >> 6] >> (at & 63).astype(np.uint64) >> np.uint64(1))
+        after = at + 1 + step
+        far = np.flatnonzero(step == 64)
+        after[far] = self._select(i[far] + 1, True)
+        shift = np.uint64(8 * self.low_bytes)
+        return (((at - i).astype(np.uint64) << shift) | self._low(i)).astype(np.int64), \
+            (((after - i - 1).astype(np.uint64) << shift) | self._low(i + 1)).astype(np.int64)
+
     def find(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Successor search in the places ``lo`` to ``hi`` (exclusive): where ``x`` is, else -1."""
         shift = np.uint64(8 * self.low_bytes)
@@ -80,10 +112,14 @@ class EliasFano:
         if not len(at):
             return place
         high, want = high[at], x[at] & np.uint64((1 << (8 * self.low_bytes)) - 1)
-        end = self._select(high, False) - high
-        start = np.zeros(len(at), np.int64)
-        later = high > 0
-        start[later] = self._select(high[later] - 1, False) - (high[later] - 1)
+        first = np.zeros(len(at), np.int64)               # bit after the clear bit that ends the high part before
+        later = np.flatnonzero(high > 0)
+        first[later] = self._select(high[later] - 1, False) + 1
+        start = first - high
+        run = trailing_zeros(~(self.words[first >> 6] >> (first & 63).astype(np.uint64)))
+        end = start + run
+        far = np.flatnonzero((first & 63) + run >= 64)    # the run of set bits goes on in the next word
+        end[far] = self._select(high[far], False) - high[far]
         a, b = np.maximum(start, lo[at]), np.minimum(end, hi[at])
         last = b.copy()
         live = np.flatnonzero(a < b)

@@ -30,6 +30,7 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -48,8 +49,9 @@ FOLDS = 7
 HELD_OUT = 2
 ORDER = 3
 MIN_COUNT = 1
-RUN_BYTES = 6_000_000         # text a task counts at once
-FLUSH = 3_000_000             # distinct n-grams a task holds before it sends them
+RUN_BYTES = 3_000_000         # text a task counts at once
+FLUSH = 500_000               # distinct n-grams a task holds before it sends them
+PART_TOKENS = 4_000_000       # tokens whose n-grams one part, or one segment, has on average at most
 END = mix(np.array([0x656E64], np.uint64))[0]
 _32 = np.uint64(32)
 
@@ -177,6 +179,12 @@ def from_bytes(codes: np.ndarray, step: float) -> np.ndarray:
     return 10.0 ** (-step * codes.astype(np.float64))
 
 
+@functools.lru_cache(maxsize=100_000)
+def coded(uri: str, prefix: str) -> EliasFano:
+    """A reader of the arrays of a file: one for each file and task process."""
+    return EliasFano(open_arrays(uri), prefix)
+
+
 # -- reading the trie --------------------------------------------------------------------
 
 @dataclass
@@ -195,9 +203,8 @@ class Level:
         for s, at, seg in self._split(context):
             rank = context[at] - self.contexts[s]
             ptr, inverse = np.unique(rank, return_inverse=True)
-            starts = EliasFano(seg, "ptr_")
-            lo, hi = starts.get(ptr).astype(np.int64), starts.get(ptr + 1).astype(np.int64)
-            place = EliasFano(seg, "next_").find((rank * n_words + word[at]).astype(np.uint64), lo[inverse], hi[inverse])
+            lo, hi = coded(self.files[s], "ptr_").ranges(ptr)
+            place = coded(self.files[s], "next_").find((rank * n_words + word[at]).astype(np.uint64), lo[inverse], hi[inverse])
             hit = place >= 0
             node[at[hit]] = place[hit] + self.nodes[s]
             p[at[hit]] = from_bytes(seg["prob"][place[hit]], float(seg["steps"][0]))
@@ -399,7 +406,8 @@ _FILE = "part int, uri string, n long, total long"
 def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
     """Build the trie from all rows of ``texts`` (column ``text``).
 
-    Parts follow ``spark.sql.shuffle.partitions``.  The driver keeps one row per file."""
+    Parts and segments are as many as keep each near ``PART_TOKENS`` tokens, so none grows with
+    the data (words: ``spark.sql.shuffle.partitions``).  The driver keeps one row per file."""
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = scratch_path(spark, "lm")
@@ -414,6 +422,7 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> T
     words = texts.mapInArrow(_count_words(parts), _COUNTS).groupBy("part").applyInArrow(_save_words(folder), _FILE)
     uris, ends, total = files(words, "lm-words")
     trie = Trie(uris, ends, total)
+    parts = max(parts, -(-total // PART_TOKENS))
     contexts = [trie.n_words * s // parts for s in range(parts + 1)]
     while len(trie.levels) < order - 1 and contexts[-1]:
         bits = word_bits(trie.n_words)
