@@ -26,12 +26,25 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_BATCH, _DEFAULT, _SMALL = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python in batches of 8 MB, unless the session says otherwise.
+
+    Rows here are whole texts; at the default of 64 MB a task would hold several copies of that."""
+    if spark.conf.get(_BATCH) == _DEFAULT:
+        spark.conf.set(_BATCH, _SMALL)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back: a cut that survives lost executors."""
+    small_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

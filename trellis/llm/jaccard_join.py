@@ -53,7 +53,7 @@ PART_BYTES = 16_000_000  # text whose hashes one part owns on average
 NO_ID = -2**63        # a null id on its way through packed arrays
 
 
-def text_sets(texts: list[str | None], k: int, most: int = 8_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_sets(texts: list[str | None], k: int, most: int = 2_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(place of the first text, sorted shingle hashes, start of each text) by runs of texts."""
     for first, run in chunks(texts, most):
         yield first, *distinct_by_text(*shingle_hashes(*word_hashes(run), k))

@@ -49,7 +49,7 @@ FOLDS = 7
 HELD_OUT = 2
 ORDER = 3
 MIN_COUNT = 1
-RUN_BYTES = 3_000_000         # text a task counts at once
+RUN_BYTES = 2_000_000         # text a task counts at once
 FLUSH = 500_000               # distinct n-grams a task holds before it sends them
 PART_TOKENS = 4_000_000       # tokens whose n-grams one part, or one segment, has on average at most
 END = mix(np.array([0x656E64], np.uint64))[0]

@@ -43,7 +43,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         while filled < size:
             have[filled:2 * filled] = have[:filled] * np.uint64(step)
             step, filled = step * step % 2**64, 2 * filled
-        if size <= 1 << 24:
+        if size <= 1 << 21:                        # more are made anew for a very long text
             _POWERS[base] = have
     return have[:n]
 
