@@ -4,6 +4,9 @@
 * one relationship DataFrame per (type, source label, target label):
   ``rel_id, src, dst`` plus property columns.  ``src``/``dst`` hold the
   endpoint key (a struct when the label has a key of several columns).
+* a label whose keys are not unique, or that has none, tells its nodes apart by a
+  surrogate id (column ``_node_id``); relationship ends then hold that id, and keys
+  are looked up as properties.  ``merge.create_nodes`` turns a label into one.
 
 A ``Graph`` is immutable; every mutation returns a new ``Graph`` whose
 DataFrames are new logical plans.  Nothing is collected to the driver.
@@ -14,9 +17,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+NODE_ID = "_node_id"     # column of a label whose nodes are told apart by an id of their own
+
 RelKey = tuple[str, str, str]  # (type, src_label, dst_label)
 
 
@@ -79,8 +84,14 @@ class Graph:
 
     # ------------------------------------------------------------ lookups
     def id_col(self, label: str, prefix: str = "") -> Column:
+        """What tells the nodes of a label apart and what relationship ends hold: the key, or the surrogate id."""
+        if self.surrogate(label):
+            return F.col(prefix + NODE_ID)
         return key_expr(self.keys[label], prefix)
 
+    def surrogate(self, label: str) -> bool:
+        return NODE_ID in self.nodes[label].columns
+
     def labels(self) -> list[str]:
         return sorted(self.nodes)
 
@@ -101,42 +112,53 @@ class Graph:
         return out
 
     # ------------------------------------------------------------ introspection
+    def props(self, label: str) -> list[str]:
+        """Property names of a label: all columns but a surrogate id."""
+        return [c for c in self.nodes[label].columns if c != NODE_ID]
+
+    def _spark(self) -> SparkSession:
+        for df in (*self.nodes.values(), *self.rels.values()):
+            return df.sparkSession
+        return SparkSession.getActiveSession()
+
     def all_nodes(self) -> DataFrame:
         """M2 ``MATCH (n) RETURN n``: one row per node of every label."""
-        parts = []
+        parts = [self._spark().createDataFrame([], "label string, id string, props string")]
         for label in self.labels():
-            df = self.nodes[label]
-            props = [c for c in df.columns]
-            parts.append(df.select(
+            parts.append(self.nodes[label].select(
                 F.lit(label).alias("label"),
                 self.id_col(label).cast("string").alias("id"),
-                F.to_json(F.struct(*props)).alias("props")))
-        return reduce(DataFrame.unionAll, parts)
+                F.to_json(F.struct(*self.props(label))).alias("props")))
+        return reduce(DataFrame.unionAll, parts[1:] or parts)
 
     def all_rels(self) -> DataFrame:
-        """M7 ``MATCH ()-[r]->() RETURN r``: every relationship, type-tagged."""
+        """M7 ``MATCH ()-[r]->() RETURN r``: every relationship, type-tagged; no rows without any."""
         parts = [df.select(F.lit(t).alias("type"), F.lit(s).alias("src_label"),
                            F.lit(d).alias("dst_label"), F.col("rel_id").cast("string").alias("rel_id"),
                            F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
                  for (t, s, d), df in self.rel_tables()]
-        return reduce(DataFrame.unionAll, parts)
+        none = "type string, src_label string, dst_label string, rel_id string, src string, dst string"
+        return reduce(DataFrame.unionAll, parts) if parts else self._spark().createDataFrame([], none)
 
     def stats(self) -> DataFrame:
-        """One row (node_count, relationship_count)."""
-        n = reduce(DataFrame.unionAll, [df.select(F.lit(1).alias("x")) for df in self.nodes.values()])
-        r = reduce(DataFrame.unionAll, [df.select(F.lit(1).alias("x")) for df in self.rels.values()])
-        # Two one-row aggregates: a broadcast of a single row, no data-sized pairing.
-        return (n.agg(F.count("*").alias("node_count"))
-                .crossJoin(F.broadcast(r.agg(F.count("*").alias("relationship_count")))))
+        """One row (node_count, relationship_count); zero for what the graph lacks."""
+        def counted(frames) -> DataFrame:
+            ones = [df.select(F.lit(1).alias("x")) for df in frames] or [self._spark().createDataFrame([], "x int")]
+            return reduce(DataFrame.unionAll, ones)
+
+        # both counts come from one aggregate over the tagged rows
+        rows = counted(self.nodes.values()).withColumn("node", F.lit(True)).unionAll(
+            counted(self.rels.values()).withColumn("node", F.lit(False)))
+        return rows.agg(F.count_if(F.col("node")).alias("node_count"), F.count_if(~F.col("node")).alias("relationship_count"))
 
     def inspect(self) -> DataFrame:
         """Labels, relationship types and the property keys that hold any value."""
-        spark = next(iter(self.nodes.values())).sparkSession
+        spark = self._spark()
         names = ([("label", lb) for lb in self.labels()]
                  + [("relationshipType", t) for t in self.rel_types()])
         fixed = spark.createDataFrame(names, "kind string, name string")
         parts = [fixed]
-        sources = [(self.nodes[lb], [c for c in self.nodes[lb].columns]) for lb in self.labels()]
+        sources = [(self.nodes[lb], self.props(lb)) for lb in self.labels()]
         sources += [(df, [c for c in df.columns if c not in ("rel_id", "src", "dst")])
                     for _, df in self.rel_tables()]
         for df, cols in sources:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trellis.model import Graph
+from trellis.session import cut_lineage
 
 SEP = "__"
 # columns the edge view adds next to rel_id (a relationship property may not use them)
@@ -31,10 +32,17 @@ def _node_frame(graph: Graph, var: str, labels: list[str]) -> DataFrame:
         frames.append(df.select(
             graph.id_col(label).alias(f"{var}{SEP}_id"),
             F.lit(label).alias(f"{var}{SEP}_label"),
-            *[F.col(c).alias(f"{var}{SEP}{c}") for c in df.columns]))
+            *[F.col(c).alias(f"{var}{SEP}{c}") for c in graph.props(label)]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def may_share(a, b) -> bool:
+    """Can two steps over these types (one, several or None for all) bind the same relationship?"""
+    if a is None or b is None:
+        return True
+    return bool(set([a] if isinstance(a, str) else a) & set([b] if isinstance(b, str) else b))
+
+
 def _eq_filter(var: str, props: dict) -> Column | None:
     conds = [F.col(f"{var}{SEP}{k}") == (v if isinstance(v, Column) else F.lit(v)) for k, v in props.items()]
     return reduce(lambda a, b: a & b, conds) if conds else None
@@ -125,9 +133,7 @@ class Match:
     # ------------------------------------------------------------ references
     def _materialize(self, var: str) -> None:
         label = self.pending.pop(var)
-        frame = _node_frame(self.graph, var, [label]).drop(f"{var}{SEP}_id")
-        key = f"{var}{SEP}_id"
-        self.df = self.df.join(frame.withColumn(key, self.graph.id_col(label, f"{var}{SEP}")), key, "inner")
+        self.df = self.df.join(_node_frame(self.graph, var, [label]), f"{var}{SEP}_id", "inner")
 
     def c(self, ref: str) -> Column:
         """``var.prop`` → property column; ``var`` → node id (or path node list);
@@ -208,13 +214,13 @@ class Match:
             df = df.where(_eq_filter(rv, rel_props))
         # relationship isomorphism: two relationship variables never bind the same relationship
         for other, t in self.rels.items():
-            if rel_type is None or t is None or t == rel_type:
+            if may_share(rel_type, t):
                 same_id = F.col(f"{other}{SEP}rel_id").cast("string") == F.col(f"{rv}{SEP}rel_id").cast("string")
                 if df.schema[f"{other}{SEP}rel_id"].dataType == df.schema[f"{rv}{SEP}rel_id"].dataType:
                     same_id = F.col(f"{other}{SEP}rel_id") == F.col(f"{rv}{SEP}rel_id")
                 df = df.where((F.col(f"{other}{SEP}tab") != F.col(f"{rv}{SEP}tab")) | ~same_id)
         for other, t in self.paths.items():  # ... nor one inside a variable-length segment
-            if rel_type is None or t is None or t == rel_type:
+            if may_share(rel_type, t):
                 df = df.where(~self._on_path(df, other, rv))
         nodes = dict(self.nodes)
         pending = dict(self.pending)
@@ -259,43 +265,105 @@ class Match:
     def both(self, rel_var, rel_type, node_var, label=None, **kw) -> Match:
         return self.hop(rel_var, rel_type, node_var, label, "both", **kw)
 
-    def var_hop(self, rel_type: str, node_var: str, label: str | None, min_hops: int, max_hops: int,
+    def var_hop(self, rel_type, node_var: str, label: str | None, min_hops: int, max_hops: int,
                 direction: str = "out", path: str | None = None, frm: str | None = None,
                 carry: str | None = None) -> Match:
         """``(frm)-[:T*min..max]->(node_var)`` with trail semantics.
 
-        Only ids travel through the levels; properties are joined once at the
-        end.  ``carry`` names a far-node property gathered along the path
-        (F10 ``[n IN nodes(path) | n.p]``)."""
-        from trellis.operators.paths import trails
+        ``rel_type`` may be one type, a list or None for all.  Only ids travel through the
+        levels; properties are joined once at the end.  ``carry`` names a far-node property
+        gathered along the path (F10 ``[n IN nodes(path) | n.p]``); where a trail passes
+        several labels, a node without it adds null."""
+        from trellis.operators.paths import labelled_trails, trail_tables
 
         frm = frm or self._last_node()
-        near = self.nodes[frm][0] if len(self.nodes[frm]) == 1 else None
-        starts = self.df.select(F.col(f"{frm}{SEP}_id").alias("start")).distinct()
-        t = trails(self.graph, starts, rel_type, near, label, min_hops, max_hops, direction, carry)
+        near = self.nodes[frm]
+        tables = trail_tables(self.graph, rel_type)
+        starts = self.df.select(F.col(f"{frm}{SEP}_id").alias("id"),
+                                (F.lit(near[0]) if len(near) == 1 else F.col(f"{frm}{SEP}_label")).alias("label")).distinct()
+        t = labelled_trails(self.graph, starts, rel_type, near, min_hops, max_hops, direction, carry)
         pv = path or f"_p{len(self.paths)}"
-        t = t.select(F.col("start").alias(f"{pv}{SEP}start"), F.col("cur").alias(f"{pv}{SEP}end"),
+        several = t.schema["nodes"].dataType.elementType.simpleString().startswith("struct<label:")
+        t = t.select(F.col("start").alias(f"{pv}{SEP}start"), F.col("start_label").alias(f"{pv}{SEP}start_label"),
+                     F.col("cur").alias(f"{pv}{SEP}end"), F.col("cur_label").alias(f"{pv}{SEP}end_label"),
                      F.col("nodes").alias(f"{pv}{SEP}nodes"), F.col("rels").alias(f"{pv}{SEP}rels"),
                      F.col("hops").alias(f"{pv}{SEP}length"),
-                     F.lit("|".join((rel_type or "", near or label or "", label or near or ""))).alias(f"{pv}{SEP}tab"),
+                     F.lit("|".join(tables[0][0]) if len(tables) == 1 else "").alias(f"{pv}{SEP}tab"),
                      *([F.col("carried").alias(f"{pv}{SEP}carried")] if carry else []))
-        df = self.df.join(t, F.col(f"{frm}{SEP}_id") == F.col(f"{pv}{SEP}start"), "inner")
-        far = [label] if label else self.nodes[frm]
+        text = (lambda c: c.cast("string")) if several else (lambda c: c)
+        at = text(F.col(f"{frm}{SEP}_id")) == F.col(f"{pv}{SEP}start")
+        if several and len(near) > 1:
+            at &= F.col(f"{frm}{SEP}_label") == F.col(f"{pv}{SEP}start_label")
+        df = self.df.join(t, at, "inner")
+        ends = sorted({x for (_, s, d), _ in tables for x in ((d,) if direction == "out" else (s,) if direction == "in" else (s, d))}
+                      | (set(near) if min_hops == 0 else set()))
+        far = [label] if label else [x for x in ends if x in self.graph.nodes] or near
         frame = _node_frame(self.graph, node_var, far)
-        df = df.join(frame, F.col(f"{node_var}{SEP}_id") == F.col(f"{pv}{SEP}end"), "inner")
+        on = text(F.col(f"{node_var}{SEP}_id")) == F.col(f"{pv}{SEP}end")
+        if several:
+            on &= F.col(f"{node_var}{SEP}_label") == F.col(f"{pv}{SEP}end_label")
+        df = df.join(frame, on, "inner")
         # relationships of one pattern are distinct: the segment avoids the ones already bound
-        for other, t in self.rels.items():
-            if t is None or t == rel_type:
+        for other, o in self.rels.items():
+            if may_share(rel_type, o):
                 df = df.where(~self._on_path(df, pv, other))
-        for other, t in self.paths.items():
-            if t is None or t == rel_type:
-                df = df.where(F.size(F.array_intersect(F.col(f"{pv}{SEP}rels"), F.col(f"{other}{SEP}rels"))) == 0)
+        for other, o in self.paths.items():
+            if may_share(rel_type, o):
+                df = df.where(~F.arrays_overlap(self._pairs(df, pv), self._pairs(df, other)))
         nodes = dict(self.nodes)
         nodes[node_var] = far
         paths = dict(self.paths)
         paths[pv] = rel_type
         return self._new(df, nodes=nodes, paths=paths)
 
+    @staticmethod
+    def _pairs(df: DataFrame, path: str) -> Column:
+        """The relationships of a path as pairs (table, id)."""
+        held = F.col(f"{path}{SEP}rels")
+        if df.schema[f"{path}{SEP}rels"].dataType.elementType.simpleString().startswith("struct<tab:"):
+            return held
+        return F.transform(held, lambda x: F.struct(F.col(f"{path}{SEP}tab").alias("tab"), x.cast("string").alias("rel_id")))
+
+    def path_object(self, path: str) -> Match:
+        """The path as an object: column ``<path>__object`` STRUCT<nodes, rels, hops>.
+
+        ``nodes`` and ``rels`` hold a struct for each place, in order: label or type, id, and
+        all properties as a map of text (labels have different columns).  All places of all
+        paths are joined with the nodes once and with the relationships once."""
+        from trellis.operators.paths import trail_tables
+
+        g = self.graph
+        df = self.df.withColumn("__path", F.monotonically_increasing_id())
+        df = cut_lineage(df)                    # the numbers must stay as they are
+        typed = df.schema[f"{path}{SEP}nodes"].dataType.elementType.simpleString().startswith("struct<label:")
+
+        def as_map(frame: DataFrame, names: list[str]) -> Column:
+            pairs = [x for c in names for x in (F.lit(c), F.col(c).cast("string"))]
+            return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+
+        tables = trail_tables(g, self.paths[path])
+        labels = sorted({x for (_, s, d), _ in tables for x in (s, d)} | {x for x in g.nodes if not tables})
+        nodes = reduce(DataFrame.unionByName, [g.nodes[x].select(
+            F.lit(x).alias("label"), g.id_col(x).cast("string").alias("id"), as_map(g.nodes[x], g.props(x)).alias("props")) for x in labels])
+        rels = [r.select(F.lit("|".join(k)).alias("tab"), F.lit(k[0]).alias("type"), F.col("rel_id").cast("string").alias("id"),
+                         as_map(r, [c for c in r.columns if c not in ("rel_id", "src", "dst")]).alias("props")) for k, r in tables]
+        at = df.select("__path", F.posexplode(f"{path}{SEP}nodes").alias("pos", "n"))
+        at = at.select("__path", "pos", *([F.col("n.label").alias("label"), F.col("n.id").alias("id")] if typed
+                                          else [F.lit(labels[0]).alias("label"), F.col("n").cast("string").alias("id")]))
+        ordered = lambda kind: F.sort_array(F.collect_list(F.struct("pos", F.struct(kind, "id", "props").alias("x"))))
+        seen = (at.join(nodes, ["label", "id"]).groupBy("__path").agg(ordered("label").alias("n")))
+        out = df.join(seen, "__path")
+        if rels:
+            at = df.select("__path", F.posexplode(self._pairs(df, path)).alias("pos", "r")).select(
+                "__path", "pos", F.col("r.tab").alias("tab"), F.col("r.rel_id").alias("id"))
+            used = at.join(reduce(DataFrame.unionByName, rels), ["tab", "id"]).groupBy("__path").agg(ordered("type").alias("r"))
+            out = out.join(used, "__path", "left")
+            steps = F.coalesce(F.transform("r", lambda x: x["x"]), F.array().cast("array<struct<type:string,id:string,props:map<string,string>>>"))
+        else:
+            steps = F.array().cast("array<struct<type:string,id:string,props:map<string,string>>>")
+        obj = F.struct(F.transform("n", lambda x: x["x"]).alias("nodes"), steps.alias("rels"), F.col(f"{path}{SEP}length").alias("hops"))
+        return self._new(out.withColumn(f"{path}{SEP}object", obj).drop("__path", "n", "r"))
+
     # ------------------------------------------------------------ RETURN
     def ret(self, *refs: str, distinct: bool = False, **named) -> DataFrame:
         cols = [self.c(r).alias(r.split(".", 1)[-1]) for r in refs]

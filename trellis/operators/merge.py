@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trellis.model import Graph
+from trellis.model import NODE_ID, Graph
+from trellis.session import cut_lineage
 
 Value = Column | Callable[[Callable[[str], Column]], Column]
 
@@ -27,12 +29,42 @@ def _as_col(v) -> Column:
 
 
 # ---------------------------------------------------------------- CREATE
+def with_node_ids(graph: Graph, label: str) -> Graph:
+    """The same graph with the nodes of ``label`` told apart by a surrogate id, not by their key.
+
+    Ids are made from the key by an expression, on the nodes and on every relationship end, so
+    nothing is joined or written.  The key stays a property."""
+    if graph.surrogate(label):
+        return graph
+    keys = graph.keys[label]
+    nodes = graph.nodes[label]
+    kind = nodes.select(graph.id_col(label).alias("k")).schema["k"].dataType
+
+    def text(c: Column) -> Column:
+        c = c.cast(kind)
+        return F.concat(F.lit("k:"), F.to_json(c) if len(keys) > 1 else c.cast("string"))
+
+    rels = {}
+    for (t, s, d), df in graph.rels.items():
+        for end, at in (("src", s), ("dst", d)):
+            if at == label:
+                df = df.withColumn(end, text(F.col(end)))
+        rels[t, s, d] = df
+    return replace(graph, nodes={**graph.nodes, label: nodes.withColumn(NODE_ID, text(graph.id_col(label)))}, rels=rels)
+
+
 def create_nodes(graph: Graph, label: str, df: DataFrame, key=None) -> Graph:
-    """G1 ``CREATE (:L {...})``: always adds (duplicates of a key are allowed)."""
-    if label in graph.nodes:
-        return graph.with_nodes(label, graph.nodes[label].unionByName(df, allowMissingColumns=True),
-                                graph.keys[label])
-    return graph.with_nodes(label, df, key)
+    """G1 ``CREATE (:L {...})``: always adds, also a node whose key exists.
+
+    Every created node gets an id of its own (surrogate), so relationships of an older node of
+    the same key stay that node's alone.  The new rows are checkpointed, so the ids are given
+    once.  A new label needs no key."""
+    new = df.withColumn(NODE_ID, F.concat(F.lit(f"n:{uuid.uuid4().hex[:12]}:"), F.monotonically_increasing_id().cast("string")))
+    new = cut_lineage(new)
+    if label not in graph.nodes:
+        return graph.with_nodes(label, new, () if key is None else key)
+    graph = with_node_ids(graph, label)
+    return graph.with_nodes(label, graph.nodes[label].unionByName(new, allowMissingColumns=True), graph.keys[label])
 
 
 def _endpoint(graph: Graph, rows: DataFrame, label: str, on: dict, out: str) -> DataFrame:
@@ -190,8 +222,13 @@ def merge_nodes(graph: Graph, label: str, rows: DataFrame, key: dict, on_create:
     keyed = rows.select("*", *[_as_col(v).alias(f"__k_{k}") for k, v in key.items()])
     keyed = keyed.drop(*[k for k in keys if k in rows.columns]).withColumnsRenamed(
         {f"__k_{k}": k for k in keys})
+    if label in graph.nodes and tuple(keys) != graph.keys[label]:
+        graph = with_node_ids(graph, label)             # found by another property: relationship ends stay as they are
     current = graph.nodes.get(label)
     table, touched = upsert(current, keyed, keys, on_create, on_match, order_by)
+    if current is not None and NODE_ID in current.columns:
+        made = F.coalesce(F.col(NODE_ID), F.concat(F.lit("m:"), F.to_json(F.struct(*keys))))
+        return graph.with_nodes(label, table.withColumn(NODE_ID, made), graph.keys[label]), touched.drop(NODE_ID)
     return graph.with_nodes(label, table, keys), touched
 
 

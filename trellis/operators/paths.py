@@ -1,15 +1,20 @@
 """Paths as iterative DataFrame jobs.
 
-Each round is one join of the *changed* rows with the relationships plus a
-keyed aggregate; the state is cut from its lineage with a reliable
-checkpoint (shared folder) every round, so a lost executor only redoes the
-current round.  The driver sees one emptiness test per round, nothing else.
-
-Hubs: the relationships are written once, as plain files, and the round join is
-on the node id.  Where AQE finds neither side small, both sides are shuffled, and
-a partition that a hub makes large is split by its skew-join rule.  The per-target
-aggregate is a partial (map-side) min, so a hot target is reduced before it is
-shuffled.
+Search state is fixed in width: a label says how far a node is and which node came before it,
+never the route.  Rounds are synchronous, so a label of ``hops`` h was made in round h from a
+label of hops h - 1, and the rows of all rounds together (the history) hold every route.
+``routes`` reads them back by pointer doubling, for the asked targets only: as many joins as
+the longest route has binary digits.
+
+A round joins only the rows won in the round before with the relationships, reduces the
+candidates with a partial aggregate and looks up only the nodes that they reach.  What a round
+wins is kept as a small frame of its own; the rounds are cut from their lineage together every
+few rounds (``RoundState``), so a lost executor repeats at most a few deterministic rounds.
+The driver sees one count per round.
+
+Hubs: the relationships are written once.  Those of a node with more than ``HUB`` of them are
+dealt to salts, and a state row of that node is copied to each (``Edges.step``), so no task
+joins more than about ``HUB`` relationships for one state row.
 """
 
 from __future__ import annotations
@@ -24,10 +29,41 @@ from trellis.model import Graph
 from trellis.operators.match import edge_frame, edge_identity, edge_tables
 from trellis.session import RoundState, bounded_count, cut_lineage
 
+HUB = 100_000          # relationships of a node that one task joins
+
+
+class Edges:
+    """Relationships ``a, b, ...`` written once, those of hubs spread over salts."""
+
+    def __init__(self, e: DataFrame, per: int | None = None):
+        self.per = per or HUB
+        e = cut_lineage(e)
+        # at most one row for each ``per`` relationships
+        self.hubs = cut_lineage(e.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > self.per)
+                                .select("a", F.ceil(F.col("n") / self.per).cast("int").alias("salts")))
+        self.split = not self.hubs.isEmpty()
+        self.columns = e.columns
+        if self.split:
+            others = [c for c in e.columns if c != "a"]
+            e = (e.join(self.hubs, "a", "left")
+                 .withColumn("salt", F.coalesce(F.pmod(F.xxhash64(*others), F.col("salts")).cast("int"), F.lit(0))).drop("salts"))
+            e = cut_lineage(e)
+        self.df = e
+
+    def step(self, rows: DataFrame, at: str = "id") -> DataFrame:
+        """``rows`` joined with the relationships that leave their node ``at``."""
+        if not self.split:
+            return rows.join(self.df, F.col(at) == F.col("a"))
+        hubs = self.hubs.select(F.col("a").alias("hub"), "salts")
+        rows = (rows.join(hubs, F.col(at) == F.col("hub"), "left")
+                .withColumn("row_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))))
+        return (rows.join(self.df, (F.col(at) == F.col("a")) & (F.col("row_salt") == F.col("salt")))
+                .drop("hub", "salts", "row_salt", "salt"))
+
 
 def _edges(graph: Graph, rel_type, label, direction, weight: Column | None = None,
-           cost: Column | None = None, collapse: bool = False) -> DataFrame:
-    """``a, b, rel_id[, w][, c]`` for a single-label relationship type.
+           cost: Column | None = None, collapse: bool = False) -> DataFrame | None:
+    """``a, b, rel_id[, w][, c]`` of relationship types from ``label`` to ``label``; None if there are none.
 
     Ids are unique per relationship table only, so where several tables come together
     ``rel_id`` is the pair (table, id)."""
@@ -35,15 +71,17 @@ def _edges(graph: Graph, rel_type, label, direction, weight: Column | None = Non
     several = edge_tables(graph, types, label, [label] if label else None, direction) > 1
     parts = []
     for t in types:
+        if not edge_tables(graph, [t], label, [label] if label else None, direction):
+            continue
         e, labels = edge_frame(graph, t, label, [label] if label else None, direction)
-        if label is None and len(labels) > 1:
-            raise ValueError("variable-length steps need one node label on both ends")
         cols = [edge_identity() if several else F.col("rel_id"), F.col("a"), F.col("b")]
         if weight is not None:
             cols.append(weight.cast("double").alias("w"))
         if cost is not None:
             cols.append(cost.cast("double").alias("c"))
         parts.append(e.select(*cols))
+    if not parts:
+        return None
     e = reduce(DataFrame.unionByName, parts)
     if weight is not None:
         e = e.where(F.col("w").isNotNull())  # [choice] a relationship without weight is not traversable
@@ -69,32 +107,70 @@ def _id_match(graph: Graph, label: str, prop: str, values) -> DataFrame:
 
 
 # ---------------------------------------------------------------- trails
+def trail_tables(graph: Graph, rel_type) -> list[tuple[tuple[str, str, str], DataFrame]]:
+    types = [rel_type] if isinstance(rel_type, str) or rel_type is None else list(rel_type)
+    return [kv for t in types for kv in graph.rel_tables(t)]
+
+
 def trails(graph: Graph, starts: DataFrame, rel_type, near_label, far_label, min_hops: int,
            max_hops: int, direction: str = "out", carry: str | None = None) -> DataFrame:
-    """All trails (no relationship twice) of ``min..max`` hops from ``starts.start``.
+    """``labelled_trails`` from ``starts.start``, nodes of one label."""
+    label = near_label or far_label
+    return labelled_trails(graph, starts.select(F.lit(label).alias("label"), F.col("start").alias("id")), rel_type, [label],
+                           min_hops, max_hops, direction, carry)
 
-    Output ``start, cur, nodes, rels, hops[, carried]``."""
+
+def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list[str], min_hops: int,
+                    max_hops: int, direction: str = "out", carry: str | None = None) -> DataFrame:
+    """All trails (no relationship twice) of ``min..max`` hops from ``starts`` (label, id).
+
+    A trail may pass nodes of any label and relationships of all tables of the types.  Where
+    these tables know one label only, the ids alone travel; else a node is the pair (label, id)
+    and a relationship the pair (table, id), with ids as text.  ``near_labels`` are the labels
+    that ``starts`` may have.
+
+    Output ``start, start_label, cur, cur_label, nodes, rels, hops[, carried]``."""
     if max_hops is None:
         raise ValueError("variable-length trails need an upper bound; use bfs() for unbounded search")
-    label = near_label or far_label
-    e = _edges(graph, rel_type, label, direction)
-    frontier = starts.select(F.col("start"), F.col("start").alias("cur"),
-                             F.array(F.col("start")).alias("nodes"),
-                             F.array().cast(f"array<{e.schema['rel_id'].dataType.simpleString()}>").alias("rels"),
-                             F.lit(0).alias("hops"))
-    if carry:
-        props = graph.nodes[label].select(graph.id_col(label).alias("pid"), F.col(carry).alias("pval"))
-        e = e.join(props, F.col("b") == F.col("pid")).drop("pid")
-    e = cut_lineage(e)          # every level joins it
+    tables = trail_tables(graph, rel_type)
+    labels = sorted({x for (_, s, d), _ in tables for x in (s, d)} | set(near_labels))
+    types = sorted({t for (t, _, _), _ in tables})
+    if len(labels) == 1:
+        e, node = _edges(graph, types, labels[0], direction), F.col("start")
+        if e is not None:
+            e = e.withColumn("near", F.lit(labels[0])).withColumn("far", F.lit(labels[0]))
+        frontier = starts.select(F.col("id").alias("start"), F.lit(labels[0]).alias("start_label"))
+    else:
+        parts = [edge_frame(graph, t, None, None, direction)[0] for t in types]
+        e = reduce(DataFrame.unionByName, [x.select(
+            F.struct("tab", F.col("rel_id").cast("string").alias("rel_id")).alias("rel_id"), F.col("a").cast("string").alias("a"),
+            F.col("b").cast("string").alias("b"), F.col("near_label").alias("near"), F.col("far_label").alias("far")) for x in parts]) if parts else None
+        node = F.struct(F.col("start_label").alias("label"), F.col("start").alias("id"))
+        frontier = starts.select(F.col("id").cast("string").alias("start"), F.col("label").alias("start_label"))
+    rel_kind = e.schema["rel_id"].dataType.simpleString() if e is not None else "string"
+    frontier = frontier.select("start", "start_label", F.col("start").alias("cur"), F.col("start_label").alias("cur_label"),
+                               F.array(node).alias("nodes"), F.array().cast(f"array<{rel_kind}>").alias("rels"), F.lit(0).alias("hops"))
     if carry:
-        frontier = (frontier.join(props, F.col("start") == F.col("pid"))
+        values = [graph.nodes[x].select(
+            (graph.id_col(x) if len(labels) == 1 else graph.id_col(x).cast("string")).alias("pid"), F.lit(x).alias("plabel"),
+            (F.col(carry) if carry in graph.nodes[x].columns else F.lit(None)).alias("pval")) for x in labels if x in graph.nodes]
+        props = reduce(DataFrame.unionByName, values)
+        frontier = (frontier.join(props, (F.col("start") == F.col("pid")) & (F.col("start_label") == F.col("plabel")))
                     .select(*frontier.columns, F.array(F.col("pval")).alias("carried")))
+        if e is not None:
+            e = e.join(props, (F.col("b") == F.col("pid")) & (F.col("far") == F.col("plabel"))).drop("pid", "plabel")
     levels = [frontier] if min_hops == 0 else []
+    if e is None:
+        return reduce(DataFrame.unionAll, levels, frontier.where(F.lit(False)))
+    e = cut_lineage(e)          # every level joins it
+    far = F.col("b") if len(labels) == 1 else F.struct(F.col("far").alias("label"), F.col("b").alias("id"))
     for k in range(1, max_hops + 1):
-        step = (frontier.join(e, F.col("cur") == F.col("a"))
-                .where(~F.array_contains(F.col("rels"), F.col("rel_id"))))
-        cols = [F.col("start"), F.col("b").alias("cur"),
-                F.concat(F.col("nodes"), F.array(F.col("b"))).alias("nodes"),
+        on = F.col("cur") == F.col("a")
+        if len(labels) > 1:
+            on &= F.col("cur_label") == F.col("near")
+        step = frontier.join(e, on).where(~F.array_contains(F.col("rels"), F.col("rel_id")))
+        cols = [F.col("start"), F.col("start_label"), F.col("b").alias("cur"), F.col("far").alias("cur_label"),
+                F.concat(F.col("nodes"), F.array(far)).alias("nodes"),
                 F.concat(F.col("rels"), F.array(F.col("rel_id"))).alias("rels"),
                 (F.col("hops") + 1).alias("hops")]
         if carry:
@@ -107,99 +183,229 @@ def trails(graph: Graph, starts: DataFrame, rel_type, near_label, far_label, min
     return reduce(DataFrame.unionAll, levels)
 
 
+# ---------------------------------------------------------------- routes
+def routes(history: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (source, id, hops, ...) with ``route``: the nodes from the source to ``id``.
+
+    ``history`` has ``source, id, hops, pred``: at most one row for each (source, id, hops), and
+    the node before it at hops - 1.  Jumps of 1, 2, 4, ... steps are joined up from it; each
+    place of each route is then reached by the jumps of its binary digits."""
+    longest = wanted.agg(F.max("hops")).first()[0] or 0
+    jumps = [cut_lineage(history.where("hops > 0").select("source", "id", "hops", F.col("pred").alias("jump")))]
+    while 2 ** len(jumps) <= longest:
+        one, k = jumps[-1], 2 ** (len(jumps) - 1)
+        two = one.select("source", F.col("id").alias("mid"), F.col("hops").alias("mid_hops"), F.col("jump").alias("to"))
+        jumps.append(cut_lineage(one.withColumn("mid_hops", F.col("hops") - k).withColumnRenamed("jump", "mid")
+                                 .join(two, ["source", "mid", "mid_hops"]).select("source", "id", "hops", F.col("to").alias("jump"))))
+    keys = ["source", "id", "hops"]
+    at = (wanted.select(*keys).distinct()
+          .withColumn("place", F.explode(F.sequence(F.lit(0), F.col("hops"))))
+          .withColumn("left", F.col("hops") - F.col("place")).withColumn("node", F.col("id")).withColumn("node_hops", F.col("hops")))
+    for k in range(len(jumps) - 1, -1, -1):
+        goes = F.col("left").bitwiseAND(F.lit(2 ** k)) > 0
+        jump = jumps[k].select("source", F.col("id").alias("from"), F.col("hops").alias("node_hops_k"), "jump")
+        at = (at.withColumn("from", F.when(goes, F.col("node"))).withColumn("node_hops_k", F.when(goes, F.col("node_hops")))
+              .join(jump, ["source", "from", "node_hops_k"], "left")
+              .withColumn("node", F.when(goes, F.col("jump")).otherwise(F.col("node")))
+              .withColumn("node_hops", F.when(goes, F.col("node_hops") - 2 ** k).otherwise(F.col("node_hops")))
+              .drop("from", "node_hops_k", "jump"))
+    found = at.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("place", "node"))).alias("r"))
+    return wanted.join(found.select(*keys, F.transform("r", lambda x: x["node"]).alias("route")), keys)
+
+
+def _start(sources: DataFrame, **more: Column) -> DataFrame:
+    return sources.select("id").distinct().select(
+        F.col("id").alias("source"), "id", *[v.alias(k) for k, v in more.items()], F.col("id").alias("pred"))
+
+
+class History:
+    """The rows won in each round.  All of them are cut from their lineage every few rounds."""
+
+    def __init__(self, first: DataFrame, every: int = 4):
+        self.every = every
+        self.done = cut_lineage(first)
+        self.recent: list[DataFrame] = []
+
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.recent, self.done)
+
+    def add(self, won: DataFrame, round_col: str, n: int) -> tuple[DataFrame, int]:
+        """Keep the rows of round ``n``: (them, how many)."""
+        won = won.persist()
+        count = won.count()
+        self.recent.append(won)
+        if len(self.recent) >= self.every and count:
+            self.done = cut_lineage(self.rows())
+            self.release()
+            won = self.done.where(F.col(round_col) == n)
+        return won, count
+
+    def release(self) -> None:
+        for r in self.recent:
+            r.unpersist()
+        self.recent = []
+
+    def close(self) -> DataFrame:
+        out = cut_lineage(self.rows()) if self.recent else self.done
+        self.release()
+        return out
+
+
 # ---------------------------------------------------------------- BFS
 def bfs(graph: Graph, sources: DataFrame, rel_type, label: str, direction: str = "out",
-        max_depth: int | None = None) -> DataFrame:
+        max_depth: int | None = None, with_route: bool = True, hub: int | None = None) -> DataFrame:
     """Unweighted shortest paths from every ``sources.id`` (multi-source).
 
-    Output ``source, id, depth, route`` (route = node ids, ties resolved by the
-    smallest predecessor id at every step)."""
-    e = cut_lineage(_edges(graph, rel_type, label, direction).select("a", "b").distinct())
-    sources = sources.select("id").distinct()
-    frontier = cut_lineage(sources.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("depth"),
-                                          F.array(F.col("id")).alias("route")))
-    # visited = union of the levels.  Every level is cut from its lineage: a level's
-    # plan refers to all earlier levels (anti join), so uncut plans grow exponentially.
-    parts = [frontier]
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        visited = reduce(DataFrame.unionAll, parts).select("source", "id")
-        cand = (frontier.join(e, F.col("id") == F.col("a"))
-                .groupBy("source", F.col("b").alias("id"))
-                .agg(F.min(F.struct(F.col("a").alias("pred"), F.col("route"))).alias("m")))
-        new = (cand.join(visited, ["source", "id"], "left_anti")
-               .select("source", "id", F.lit(depth).alias("depth"),
-                       F.concat(F.col("m.route"), F.array(F.col("id"))).alias("route")))
-        new = cut_lineage(new)
-        if new.count() == 0:
+    Output ``source, id, depth[, route]`` (route = node ids, ties resolved by the
+    smallest predecessor id at every step).  Without relationships only the sources are reached."""
+    first = _start(sources, hops=F.lit(0))
+    e = _edges(graph, rel_type, label, direction)
+    seen = History(first)
+    if e is not None:
+        e = Edges(e.select("a", "b").distinct(), hub)
+        frontier, depth = seen.done, 0
+        while max_depth is None or depth < max_depth:
+            depth += 1
+            cand = (e.step(frontier).groupBy("source", F.col("b").alias("id")).agg(F.min("a").alias("pred")))
+            new = (cand.join(seen.rows().select("source", "id"), ["source", "id"], "left_anti")
+                   .select("source", "id", F.lit(depth).alias("hops"), "pred"))
+            frontier, n = seen.add(new, "hops", depth)
+            if n == 0:
+                break
+    history = seen.close()
+    out = routes(history, history.select("source", "id", "hops")) if with_route else history
+    return out.select("source", "id", F.col("hops").alias("depth"), *(["route"] if with_route else []))
+
+
+def between(graph: Graph, source: DataFrame, target: DataFrame, rel_type, label: str, direction: str = "both",
+            max_depth: int | None = None, hub: int | None = None, trace: list | None = None) -> DataFrame:
+    """P1, pair form ``shortestPath((a)-[:T*]-(b))``: one shortest route between two nodes.
+
+    ``source`` and ``target`` have one row ``id`` each.  Two searches grow level by level, from
+    the source along the relationships and from the target against them; each round grows the
+    one with the smaller frontier, and the first level that meets the other side ends both, so
+    nothing beyond the meeting is built.  Among all shortest routes the one is taken whose
+    nodes, from the target back, are the smallest ids (the rule of ``bfs``): the levels of the
+    target's side are marked from the meeting nodes on, then each node takes its smallest
+    marked neighbour.  Output ``source, target, depth, route``; no row if there is no route.
+    ``trace`` receives (side, level, rows) of each round."""
+    back = {"out": "in", "in": "out", "both": "both"}[direction]
+    one, other = _edges(graph, rel_type, label, direction), _edges(graph, rel_type, label, back)
+    ends = source.select(F.col("id").alias("source")).limit(1), target.select(F.col("id").alias("target")).limit(1)
+    nothing = ends[0].withColumn("target", F.col("source")).withColumn("depth", F.lit(0)).withColumn("route", F.array("source"))
+    same = source.select("id").join(target.select("id"), "id", "left_semi")
+    if not same.isEmpty() or one is None:
+        return nothing.join(same.select(F.col("id").alias("source")), "source", "left_semi")
+    steps = [Edges(one.select("a", "b").distinct(), hub), Edges(other.select("a", "b").distinct(), hub)]
+    sides = [History(_start(source, hops=F.lit(0))), History(_start(target, hops=F.lit(0)))]
+    frontier, size, level = [sides[0].done, sides[1].done], [1, 1], [0, 0]
+    met = None
+    while met is None:
+        if max_depth is not None and sum(level) >= max_depth:
+            break
+        s = 0 if size[0] <= size[1] else 1
+        level[s] += 1
+        cand = steps[s].step(frontier[s]).groupBy("source", F.col("b").alias("id")).agg(F.min("a").alias("pred"))
+        new = (cand.join(sides[s].rows().select("id"), "id", "left_anti")
+               .select("source", "id", F.lit(level[s]).alias("hops"), "pred"))
+        frontier[s], size[s] = sides[s].add(new, "hops", level[s])
+        if trace is not None:
+            trace.append(("source" if s == 0 else "target", level[s], size[s]))
+        if size[s] == 0:
             break
-        parts.append(new)
-        if len(parts) >= 8:
-            parts = [cut_lineage(reduce(DataFrame.unionAll, parts))]
-        frontier = new
-    return reduce(DataFrame.unionAll, parts)
+        hit = frontier[s].select("id").join(sides[1 - s].rows().select("id"), "id", "left_semi")
+        if not hit.isEmpty():
+            met = cut_lineage(hit)
+    forward, backward = sides[0].close(), sides[1].close()
+    if met is None:
+        return nothing.where(F.lit(False))
+    total = level[0] + level[1]
+    # marked: nodes of the target's side on a shortest route, from the meeting level to the target
+    marked = cut_lineage(met.join(backward.where(F.col("hops") == level[1]), "id", "left_semi").select("id"))
+    later = []
+    for k in range(level[1] - 1, -1, -1):
+        nearer = backward.where(F.col("hops") == k).select(F.col("id").alias("near"))
+        step = (steps[0].step(marked).join(nearer, F.col("b") == F.col("near"), "left_semi")
+                .groupBy(F.col("b").alias("id")).agg(F.min("a").alias("pred")))
+        step = cut_lineage(step.withColumn("hops", F.lit(total - k)))
+        later.append(step)
+        marked = step.select("id")
+    start = forward.where("hops = 0").select("source")
+    history = forward.select("source", "id", "hops", "pred")
+    for step in later:
+        history = history.unionByName(step.join(start).select("source", "id", "hops", "pred"))     # one source row
+    wanted = later[-1].join(start).select("source", "id", "hops") if later else history.join(target.select("id"), "id", "left_semi").select("source", "id", "hops")
+    return routes(cut_lineage(history), wanted).select("source", F.col("id").alias("target"), F.col("hops").alias("depth"), "route")
 
 
 # ---------------------------------------------------------------- weighted
-def _relax(state: DataFrame, changed: DataFrame, e: DataFrame, max_rounds: int | None,
-           prune_targets: DataFrame | None = None) -> DataFrame:
-    """Label-correcting search over ``source, id, dist, hops, pred, route``.
-
-    Labels compare as ``(dist, hops, pred)``: hops grow strictly along a
-    predecessor chain, so zero-weight cycles cannot loop, and ties resolve to
-    the smallest predecessor id.  Each round is one aggregate over the state
-    and the new candidates: the label also carries ``-round``, so among equal
-    labels the one offered this round wins (its predecessor's route changed),
-    and "changed" means "won this round".  The aggregate is partial, so a hub
-    reached by many candidates is reduced before the shuffle."""
+def _relax(sources: DataFrame, e: Edges, max_rounds: int | None, prune_targets: DataFrame | None = None) -> DataFrame:
+    """Label-correcting search: the history ``source, id, dist, hops, pred``.
+
+    A candidate wins if it is cheaper than all labels of its node so far; the label of a node
+    is its cheapest, of fewest hops.  Hops grow with the rounds, so equal weights keep the
+    route of fewest hops, and ties resolve to the smallest predecessor id."""
     rounds = 0
-    keeper = RoundState(every=2)  # a round reads the last state twice: cut often
-    label = ["dist", "hops", "pred", "r", "route"]
+    seen = History(_start(sources, dist=F.lit(0.0), hops=F.lit(0)))
+    changed = seen.done
     if prune_targets is not None:
-        prune_targets = prune_targets.where(F.col("id").isNotNull()).distinct()
+        prune_targets = cut_lineage(prune_targets.where(F.col("id").isNotNull()).distinct())
         n_targets = prune_targets.count()
-    state = state.withColumn("r", F.lit(0))
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
-        cand = (changed.join(e, F.col("id") == F.col("a"))
-                .select("source", F.col("b").alias("id"), (F.col("dist") + F.col("w")).alias("dist"),
-                        (F.col("hops") + 1).alias("hops"), F.col("id").alias("pred"), F.lit(-rounds).alias("r"),
-                        F.concat(F.col("route"), F.array(F.col("b"))).alias("route")))
+        cand = (e.step(changed).groupBy("source", F.col("b").alias("id"))
+                .agg(F.min(F.struct((F.col("dist") + F.col("w")).alias("dist"), F.col("a").alias("pred"))).alias("m"))
+                .select("source", "id", "m.*"))
         if prune_targets is not None:
             # only a source that has reached every target has a bound: its dearest target
-            best = (state.join(prune_targets, "id", "left_semi")
+            best = (seen.rows().join(prune_targets, "id", "left_semi").groupBy("source", "id").agg(F.min("dist").alias("dist"))
                     .groupBy("source").agg(F.max("dist").alias("bound"), F.count("*").alias("reached"))
                     .where(F.col("reached") == n_targets).drop("reached"))
             cand = (cand.join(best, "source", "left")
                     .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound"))).drop("bound"))
-        merged = (state.select("source", "id", *label).unionByName(cand)
-                  .groupBy("source", "id").agg(F.min(F.struct(*label)).alias("m"))
-                  .select("source", "id", "m.*"))
-        merged = keeper.keep(merged)
-        state = merged
-        changed = merged.where(F.col("r") == -rounds)
-        # one job per round: fills the kept state and counts the labels won this round
-        if merged.agg(F.count_if(F.col("r") == -rounds)).first()[0] == 0:
+        known = seen.rows().groupBy("source", "id").agg(F.min("dist").alias("known"))
+        won = (cand.join(known, ["source", "id"], "left").where(F.col("known").isNull() | (F.col("dist") < F.col("known")))
+               .select("source", "id", "dist", F.lit(rounds).alias("hops"), "pred"))
+        changed, n = seen.add(won, "hops", rounds)
+        if n == 0:
             break
-    return cut_lineage(state.drop("r"))
+    return seen.close()
+
+
+def _best(history: DataFrame) -> DataFrame:
+    """The cheapest label of each node; of equal ones that of fewest hops."""
+    return (history.groupBy("source", "id").agg(F.min(F.struct("dist", "hops", "pred")).alias("m"))
+            .select("source", "id", "m.*"))
 
 
 def weighted_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column,
                    direction: str = "out", max_len: int | None = None,
-                   targets: DataFrame | None = None) -> DataFrame:
+                   targets: DataFrame | None = None, with_route: bool = True, hub: int | None = None) -> DataFrame:
     """Cheapest paths from each ``sources.id``.
 
     ``max_len`` bounds the hops (P6): after k synchronous rounds a label is the
     best over paths of at most k relationships.  ``targets`` (``id``) prunes, once a source
-    has reached all of them, candidates that are dearer than its dearest target.
-    Output ``source, id, dist, hops, pred, route``."""
-    e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight, collapse=True))
-    init = sources.select("id").distinct().select(
-        F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"),
-        F.col("id").alias("pred"), F.array(F.col("id")).alias("route"))
-    init = cut_lineage(init.withColumn("r", F.lit(0)))
-    return _relax(init, init, e, max_len, targets.select("id") if targets is not None else None)
+    has reached all of them, candidates that are dearer than its dearest target; only their
+    labels and routes are returned.  Output ``source, id, dist, hops, pred[, route]``."""
+    e = _edges(graph, rel_type, label, direction, weight=weight, collapse=True)
+    if e is None:
+        history = cut_lineage(_start(sources, dist=F.lit(0.0), hops=F.lit(0)))
+    else:
+        history = _relax(sources, Edges(e, hub), max_len, targets.select("id") if targets is not None else None)
+    best = _best(history)
+    if targets is not None:
+        best = best.join(targets.select("id"), "id", "left_semi")
+    best = cut_lineage(best.select("source", "id", "dist", "hops", "pred"))
+    return routes(history, best) if with_route else best
+
+
+def _with_values(graph: Graph, label: str, prop: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``route`` turned from node ids into the ``prop`` of the nodes."""
+    names = graph.nodes[label].select(graph.id_col(label).alias("nid"), F.col(prop).alias("pv"))
+    place = rows.select(*keys, F.posexplode("route").alias("pos", "nid"))
+    named = (place.join(names, "nid").groupBy(*keys)
+             .agg(F.sort_array(F.collect_list(F.struct("pos", "pv"))).alias("r")))
+    return rows.drop("route").join(named.select(*keys, F.transform("r", lambda x: x["pv"]).alias("route")), keys)
 
 
 def shortest_path(graph: Graph, label: str, prop: str, source_value, target_value, rel_type,
@@ -210,62 +416,69 @@ def shortest_path(graph: Graph, label: str, prop: str, source_value, target_valu
     src = _id_match(graph, label, prop, source_value)
     dst = _id_match(graph, label, prop, target_value)
     w = F.col(weight_prop) if weight_prop else F.lit(1)
-    st = weighted_paths(graph, src, rel_type, label, w, direction, max_len, targets=dst)
-    hits = st.join(dst, "id", "left_semi")
-    names = graph.nodes[label].select(graph.id_col(label).alias("nid"), F.col(prop).alias("pv"))
-    # route ids -> property values: explode with position, join, re-assemble in order
-    exploded = hits.select("source", "id", "dist", F.posexplode("route").alias("pos", "nid"))
-    labelled = exploded.join(names, "nid").groupBy("source", "id", "dist").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "pv"))).alias("r"))
-    return labelled.select(F.col("dist").alias("pathWeight"),
-                           F.transform("r", lambda x: x["pv"]).alias("route"),
-                           F.col("source"), F.col("id").alias("target"))
+    hits = weighted_paths(graph, src, rel_type, label, w, direction, max_len, targets=dst)
+    named = _with_values(graph, label, prop, hits.select("source", "id", "dist", "route"), ["source", "id"])
+    return named.select(F.col("dist").alias("pathWeight"), "route", "source", F.col("id").alias("target"))
+
+
+def shortest_path_between(graph: Graph, label: str, prop: str, source_value, target_value, rel_type,
+                          direction: str = "both", max_len: int | None = None) -> DataFrame:
+    """``shortestPath((a {prop: source})-[:T*..max_len]-(b {prop: target}))``: ``length`` and ``route``
+    (the ``prop`` of every node on it).  The values must name one node each."""
+    ends = [_id_match(graph, label, prop, v) for v in (source_value, target_value)]
+    for x in ends:
+        if bounded_count(x, 1) > 1:
+            raise ValueError(f"several {label} nodes share this {prop}; shortest_path returns one row per pair")
+    found = between(graph, *ends, rel_type, label, direction, max_len)
+    return _with_values(graph, label, prop, found, ["source", "target"]).select(F.col("depth").alias("length"), "route")
 
 
 def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column,
                       cost: Column, max_cost: float, direction: str = "out",
-                      max_rounds: int | None = None) -> DataFrame:
+                      max_rounds: int | None = None, with_route: bool = True, hub: int | None = None) -> DataFrame:
     """P5: cheapest ``weight`` subject to total ``cost <= max_cost``.
 
-    Every node keeps its Pareto set of ``(dist, cost)`` labels; a label
-    survives when its cost is below every label ordered before it (the running
-    minimum excludes the row itself).  Output: best label per (source, id)."""
-    e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight, cost=cost))
-    init = sources.select("id").distinct().select(
-                          F.col("id").alias("source"), "id", F.lit(0.0).alias("dist"),
-                          F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("id").alias("pred"),
-                          F.array(F.col("id")).alias("route"))
-    state = cut_lineage(init)
-    changed = state
-    keeper = RoundState(every=2)  # a round reads the last state twice: cut often
-    order = ["dist", "cost", "hops", "pred", "route"]
-    w = Window.partitionBy("source", "id").orderBy(*order)
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
-        cand = (changed.join(e, F.col("id") == F.col("a"))
-                .select("source", F.col("b").alias("id"), (F.col("dist") + F.col("w")).alias("dist"),
-                        (F.col("cost") + F.col("c")).alias("cost"), (F.col("hops") + 1).alias("hops"),
-                        F.col("id").alias("pred"), F.concat(F.col("route"), F.array(F.col("b"))).alias("route"))
-                .where(F.col("cost") <= F.lit(max_cost)))
-        both = state.withColumn("new", F.lit(False)).unionByName(cand.withColumn("new", F.lit(True)))
-        # only the best label per (node, cost) can be Pareto-optimal: a partial min first, so a
-        # hub's window holds at most one label per distinct cost (an old label wins exact ties)
-        best_per_cost = (both.groupBy("source", "id", "cost")
-                         .agg(F.min(F.struct("dist", "hops", "pred", "route", "new")).alias("m"))
-                         .select("source", "id", "cost", "m.*"))
-        kept = (best_per_cost.withColumn("mc", F.min("cost").over(prior))
-                .where(F.col("mc").isNull() | (F.col("cost") < F.col("mc")))
-                .drop("mc"))
-        kept = keeper.keep(kept)
-        state = kept.drop("new")
-        changed = kept.where(F.col("new")).drop("new")
-        if kept.agg(F.count_if(F.col("new"))).first()[0] == 0:
-            break
+    Every node keeps its Pareto set of ``(dist, cost)`` labels.  A candidate wins if no label
+    of its node so far is at most as dear in both, nor another candidate of the round: the
+    running minimum of costs, in order of weight, excludes the row itself.
+    Output: best label per (source, id)."""
+    history = _start(sources, dist=F.lit(0.0), cost=F.lit(0.0), hops=F.lit(0), pred_cost=F.lit(0.0))
+    e = _edges(graph, rel_type, label, direction, weight=weight, cost=cost)
+    seen = History(history)
+    if e is not None:
+        e = Edges(e, hub)
+        changed, rounds = seen.done, 0
+        order = Window.partitionBy("source", "id").orderBy("dist", "cost", "new")       # an old label before an equal new one
+        prior = order.rowsBetween(Window.unboundedPreceding, -1)
+        while max_rounds is None or rounds < max_rounds:
+            rounds += 1
+            step = e.step(changed.withColumnRenamed("cost", "spent")).withColumn("cost", F.col("spent") + F.col("c"))
+            # only the best label per (node, cost) can be Pareto-optimal: a partial min before the window
+            cand = (step.where(F.col("cost") <= F.lit(max_cost)).groupBy("source", F.col("b").alias("id"), "cost")
+                    .agg(F.min(F.struct((F.col("dist") + F.col("w")).alias("dist"), F.col("a").alias("pred"), F.col("spent").alias("pred_cost"))).alias("m"))
+                    .select("source", "id", "cost", "m.*", F.lit(True).alias("new")))
+            met = cand.select("source", "id").distinct()
+            old = (seen.rows().join(met, ["source", "id"], "left_semi").groupBy("source", "id", "cost").agg(F.min("dist").alias("dist"))
+                   .select("source", "id", "cost", "dist", F.lit(False).alias("new")))
+            won = (cand.unionByName(old, allowMissingColumns=True)
+                   .withColumn("lowest", F.min("cost").over(prior))
+                   .where(F.col("new") & (F.col("lowest").isNull() | (F.col("cost") < F.col("lowest"))))
+                   .select("source", "id", "dist", "cost", F.lit(rounds).alias("hops"), "pred_cost", "pred"))
+            changed, n = seen.add(won, "hops", rounds)
+            if n == 0:
+                break
+    history = seen.close()
     # best label per node: a partial min, not a window
-    return (state.groupBy("source", "id").agg(F.min(F.struct(*order)).alias("m"))
-            .select("source", "id", *[F.col(f"m.{c}").alias(c) for c in order]))
+    rank = ["dist", "cost", "hops", "pred"]
+    best = cut_lineage(history.groupBy("source", "id").agg(F.min(F.struct(*rank)).alias("m")).select("source", "id", "m.*"))
+    if not with_route:
+        return best
+    # a label's place in the history is its node and cost
+    spot = lambda i, c: F.struct(F.col(i).alias("id"), F.col(c).alias("cost"))
+    keyed = history.select("source", spot("id", "cost").alias("id"), "hops", spot("pred", "pred_cost").alias("pred"))
+    found = routes(keyed, best.select("source", spot("id", "cost").alias("id"), "hops"))
+    found = found.select("source", F.col("id.id").alias("id"), F.transform("route", lambda x: x["id"]).alias("route"))
+    return best.join(found, ["source", "id"]).select("source", "id", *rank, "route")
 
 
 def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column, k: int,
@@ -305,3 +518,100 @@ def top_k_per_group(df: DataFrame, keys: list[str], order: list[str], k: int) ->
     w2 = Window.partitionBy(*keys).orderBy(*order)
     return (first.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
             .drop("_salt", "_r"))
+
+
+# ---------------------------------------------------------------- one call with all options
+def _least_to(targets: DataFrame, back: Edges, max_len: int | None) -> DataFrame:
+    """``id, w, c, h``: the least weight, cost and hops from each node to the nearest target.
+
+    One relaxation for all three: it runs against the relationships from the targets, with the
+    measure in place of the source."""
+    measures = targets.select("id").distinct().select(F.explode(F.array(*map(F.lit, "wch"))).alias("source"), "id")
+    first = measures.select("source", "id", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"))
+    seen = History(first)
+    changed, rounds = seen.done, 0
+    price = F.when(F.col("source") == "w", F.col("w")).when(F.col("source") == "c", F.col("c")).otherwise(F.lit(1.0))
+    while max_len is None or rounds < max_len:
+        rounds += 1
+        cand = (back.step(changed).withColumn("next", F.col("dist") + price)
+                .groupBy("source", F.col("b").alias("id")).agg(F.min("next").alias("dist")))
+        known = seen.rows().groupBy("source", "id").agg(F.min("dist").alias("known"))
+        won = (cand.join(known, ["source", "id"], "left").where(F.col("known").isNull() | (F.col("dist") < F.col("known")))
+               .select("source", "id", "dist", F.lit(rounds).alias("hops")))
+        changed, n = seen.add(won, "hops", rounds)
+        if n == 0:
+            break
+    least = lambda m: F.min(F.when(F.col("source") == m, F.col("dist"))).alias(f"to_{m}")
+    return cut_lineage(seen.close().groupBy("id").agg(*[least(m) for m in "wch"]))
+
+
+def best_paths(graph: Graph, label: str, prop: str, source_value, target_value, rel_types, weight: Column | None = None,
+               cost: Column | None = None, max_cost: float | None = None, max_len: int | None = None, path_count: int = 1,
+               direction: str = "out", hub: int | None = None) -> DataFrame:
+    """One call with all path options: the ``path_count`` cheapest trails from each source node to
+    each target node, of at most ``max_len`` relationships and a total ``cost`` of at most ``max_cost``.
+
+    Exact in three steps.  (1) A search back from the targets gives each node's least weight,
+    cost and hops to a target.  A partial trail whose own sums plus these pass a limit can never
+    end well and is dropped; nothing else is.  (2) A first run keeps only the ``path_count``
+    lightest partial trails of each node.  Its arrivals are real trails, so the weight of the
+    last of ``path_count`` bounds the answer from above.  (3) The full run drops a partial trail
+    also when its weight plus the least weight to a target passes that bound: a dominated trail
+    is never finished.  Without ``max_len`` the runs end because a trail uses no relationship
+    twice.  Ties: weight, then hops, then the node ids and relationship ids in order.
+
+    Output ``source, target, rank, pathWeight, pathCost, hops, route`` (the ``prop`` of the nodes)."""
+    weight, cost = F.lit(1.0) if weight is None else weight, F.lit(0.0) if cost is None else cost
+    sources, targets = (cut_lineage(_id_match(graph, label, prop, v).distinct()) for v in (source_value, target_value))
+    back = {"out": "in", "in": "out", "both": "both"}[direction]
+    e = _edges(graph, rel_types, label, direction, weight=weight, cost=cost)
+    columns = ["source", "target", "rank", "pathWeight", "pathCost", "hops", "route"]
+    if e is None:
+        empty = sources.select(F.col("id").alias("source"), F.col("id").alias("target"), F.lit(1).alias("rank"), F.lit(0.0).alias("pathWeight"),
+                               F.lit(0.0).alias("pathCost"), F.lit(0).alias("hops"), F.array("id").alias("route"))
+        return empty.where(F.lit(False)).select(*columns)
+    rel_kind = e.schema["rel_id"].dataType.simpleString()
+    e = Edges(e, hub)
+    least = _least_to(targets, Edges(_edges(graph, rel_types, label, back, weight=weight, cost=cost), hub), max_len)
+    limits = F.lit(True)
+    if max_cost is not None:
+        limits &= F.col("cost") + F.col("to_c") <= F.lit(max_cost)
+    if max_len is not None:
+        limits &= F.col("hops") + F.col("to_h") <= F.lit(max_len)
+    rank = ["dist", "hops", "nodes", "rels"]
+    start = (sources.join(least, "id").select(
+        F.col("id").alias("source"), F.col("id").alias("cur"), F.lit(0.0).alias("dist"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops"),
+        F.array("id").alias("nodes"), F.array().cast(f"array<{rel_kind}>").alias("rels"), "to_c", "to_h").where(limits))
+    ends = targets.select(F.col("id").alias("cur"))
+
+    def run(bound: DataFrame | None, keep: int | None) -> DataFrame:
+        """Trails that arrive at a target."""
+        frontier, arrived, n = cut_lineage(start.drop("to_c", "to_h")), [], 0
+        while max_len is None or n < max_len:
+            n += 1
+            step = (e.step(frontier, "cur").where(~F.array_contains(F.col("rels"), F.col("rel_id")))
+                    .select("source", F.col("b").alias("cur"), (F.col("dist") + F.col("w")).alias("dist"), (F.col("cost") + F.col("c")).alias("cost"),
+                            (F.col("hops") + 1).alias("hops"), F.concat("nodes", F.array("b")).alias("nodes"), F.concat("rels", F.array("rel_id")).alias("rels")))
+            step = step.join(least, F.col("cur") == least["id"]).drop("id").where(limits)
+            if bound is not None:
+                step = (step.join(bound, "source", "left")
+                        .where(F.col("bound").isNull() | (F.col("dist") + F.col("to_w") <= F.col("bound") * (1 + 1e-12))).drop("bound"))
+            step = step.drop("to_w", "to_c", "to_h")
+            if keep is not None:
+                step = top_k_per_group(step, ["source", "cur"], rank, keep).drop("rank")
+            frontier = cut_lineage(step)
+            arrived.append(frontier.join(ends, "cur", "left_semi"))
+            if frontier.isEmpty():
+                break
+        return reduce(DataFrame.unionByName, arrived)
+
+    first = run(None, path_count).groupBy("source", "cur").agg(F.sort_array(F.collect_list("dist")).alias("d"))
+    # a pair has at most path_count arrivals a round here
+    pairs = first.where(F.size("d") >= path_count).select("source", F.get("d", F.lit(path_count - 1)).alias("w"))
+    n_targets = targets.count()
+    bound = (pairs.groupBy("source").agg(F.count("*").alias("n"), F.max("w").alias("bound"))
+             .where(F.col("n") == n_targets).select("source", "bound"))
+    best = top_k_per_group(run(cut_lineage(bound), None), ["source", "cur"], rank, path_count)
+    rows = best.select("source", F.col("cur").alias("target"), "rank", F.col("dist").alias("pathWeight"), F.col("cost").alias("pathCost"), "hops",
+                       F.col("nodes").alias("route"))
+    return _with_values(graph, label, prop, cut_lineage(rows), ["source", "target", "rank"]).select(*columns)

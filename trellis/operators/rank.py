@@ -4,8 +4,8 @@ PageRank is a fixed-round (or tolerance) loop; each round is
 ``ranks ⋈ edges → groupBy(dst).sum`` (partial aggregation, so a node with a
 third of all in-links is summed map-side before the shuffle).  The mass of
 nodes without out-links is handed back evenly, so scores sum to 1.  The
-dangling mass and the L1 change are single numbers read per round; ranks are
-checkpointed to the shared folder each round.
+dangling mass and the L1 change are single numbers read per round; ranks are kept
+per round and checkpointed to the shared folder every few rounds.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from trellis.model import Graph
 from trellis.operators.match import top_k
+from trellis.operators.paths import Edges
 from trellis.session import RoundState, cut_lineage
 
 
 def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, max_rounds: int = 20,
-              tol: float | None = None) -> DataFrame:
+              tol: float | None = None, hub: int | None = None) -> DataFrame:
     """``CALL algo.pageRank(label, rel_type) YIELD node, score`` → ``id, score``.
 
     Only nodes of ``label`` and relationships of ``rel_type`` with both ends
@@ -39,8 +40,8 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     edges = (edges.join(ids, F.col("src") == F.col("k"), "left_semi")
              .join(ids, F.col("dst") == F.col("k"), "left_semi").distinct())
     outdeg = edges.groupBy("src").agg(F.count("*").alias("deg"))
-    # written once; a round shuffles it by src only where no side is small, and AQE then splits a hub
-    edges_w = cut_lineage(edges.join(outdeg, "src").select("src", "dst", (1.0 / F.col("deg")).alias("inv")))
+    # written once, the relationships of a hub dealt to salts
+    edges_w = Edges(edges.join(outdeg, "src").select(F.col("src").alias("a"), "dst", (1.0 / F.col("deg")).alias("inv")), hub)
     # nodes without out-links carry a flag, so their mass is one sum over the ranks (no join)
     flagged = cut_lineage(
         nodes.join(outdeg.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left")
@@ -51,7 +52,7 @@ def page_rank(graph: Graph, label: str, rel_type: str, damping: float = 0.85, ma
     dangling_mass = F.sum(F.when(F.col("dangling"), F.col("score")).otherwise(F.lit(0.0)))
     dangling = ranks.agg(dangling_mass).first()[0] or 0.0
     for _ in range(max_rounds):
-        contrib = (ranks.join(edges_w, F.col("id") == F.col("src"))
+        contrib = (edges_w.step(ranks)
                    .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("score") * F.col("inv")).alias("c")))
         # the node list comes from the written frame: each round reads the previous ranks once,
         # so the plan grows by one round, not twofold
@@ -90,6 +91,8 @@ def degree(graph: Graph, label: str, rel_type: str | None = None, direction: str
             parts.append(df.select(F.col("src").alias("id")))
         if direction in ("in", "both") and d == label:
             parts.append(df.select(F.col("dst").alias("id")))
+    if not parts:
+        return graph.nodes[label].select(graph.id_col(label).alias("id"), F.lit(0).cast("long").alias("degree"))
     ends = parts[0]
     for p in parts[1:]:
         ends = ends.unionAll(p)

@@ -108,7 +108,7 @@ bfs(id, d) AS (SELECT s, 0 FROM start UNION
 def bfs_all_from(spark, sf):
     """Unweighted directed reachability with depth from the busiest node."""
     g = fx.handoff_graph(spark, sf)
-    res = bfs(g, _start_df(g), "HANDOFF", "User", "out")
+    res = bfs(g, _start_df(g), "HANDOFF", "User", "out", with_route=False)
     return res.select(F.col("id").alias("user_id"), "depth")
 
 
@@ -171,7 +171,7 @@ SELECT id AS user_id, d AS path_weight, h AS hops FROM r{_RELAX_ROUNDS}""")
 def shortest_path_rel_types(spark, sf):
     """algo.SPpaths(relTypes: ['HANDOFF', 'FOLLOW'], weightProp: 'w'): several types as one edge set."""
     g = fx.handoff_graph(spark, sf, with_follow=True)
-    res = weighted_paths(g, _start_df(g), ["HANDOFF", "FOLLOW"], "User", F.col("w"))
+    res = weighted_paths(g, _start_df(g), ["HANDOFF", "FOLLOW"], "User", F.col("w"), with_route=False)
     return res.select(F.col("id").alias("user_id"), F.col("dist").cast("bigint").alias("path_weight"), "hops")
 
 
@@ -182,7 +182,7 @@ bfs(id, d) AS (SELECT s, 0 FROM start UNION
 def shortest_path_stops(spark, sf):
     """Another weight: every relationship costs one stop, so the path weight is its stop count."""
     g = fx.handoff_graph(spark, sf)
-    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.lit(1))
+    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.lit(1), with_route=False)
     return res.select(F.col("id").alias("user_id"), F.col("dist").cast("int").alias("stops"))
 
 
@@ -192,7 +192,7 @@ SELECT id AS user_id, d AS path_weight, h AS hops FROM r{MAX_LEN}""")
 def shortest_path_maxlen(spark, sf):
     """Cheapest path of at most MAX_LEN relationships (maxLen)."""
     g = fx.handoff_graph(spark, sf)
-    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.col("w"), max_len=MAX_LEN)
+    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.col("w"), max_len=MAX_LEN, with_route=False)
     return res.select(F.col("id").alias("user_id"), F.col("dist").cast("bigint").alias("path_weight"), "hops")
 
 
@@ -201,7 +201,7 @@ SELECT id AS user_id, d AS path_weight, h AS hops FROM r{_RELAX_ROUNDS}""")
 def rel_direction(spark, sf):
     """relDirection: 'incoming' — cheapest paths that end at the busiest node."""
     g = fx.handoff_graph(spark, sf)
-    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.col("w"), direction="in")
+    res = weighted_paths(g, _start_df(g), "HANDOFF", "User", F.col("w"), direction="in", with_route=False)
     return res.select(F.col("id").alias("user_id"), F.col("dist").cast("bigint").alias("path_weight"), "hops")
 
 
@@ -226,7 +226,7 @@ SELECT id AS user_id, k AS hops, c AS cost FROM (
 def shortest_path_constrained(spark, sf):
     """Fewest hops (weightProp = 1 per relationship) with total cost w <= MAX_COST_CENTS (costProp/maxCost)."""
     g = fx.handoff_graph(spark, sf)
-    res = constrained_paths(g, _start_df(g), "HANDOFF", "User", F.lit(1), F.col("w"), MAX_COST_CENTS)
+    res = constrained_paths(g, _start_df(g), "HANDOFF", "User", F.lit(1), F.col("w"), MAX_COST_CENTS, with_route=False)
     return res.select(F.col("id").alias("user_id"), F.col("dist").cast("int").alias("hops"),
                       F.col("cost").cast("bigint").alias("cost"))
 
