@@ -93,7 +93,7 @@ def edge_frame(graph: Graph, rel_type: str | None, near_label: str | None,
                           F.lit(t).alias("type"), F.lit("|".join((t, s, dl))).alias("tab"),
                           F.lit(near).alias("near_label"), F.lit(far).alias("far_label"),
                           *[F.col(c) for c in df.columns if c not in ("rel_id", "src", "dst")])
-            if direction == "both" and d == "in":
+            if direction == "both" and d == "in" and near == far:       # a self loop; equal ids of two labels are none
                 e = e.where(F.col("a") != F.col("b"))
             parts.append(e)
             labels.add(far)
@@ -350,7 +350,8 @@ class Match:
         at = df.select("__path", F.posexplode(f"{path}{SEP}nodes").alias("pos", "n"))
         at = at.select("__path", "pos", *([F.col("n.label").alias("label"), F.col("n.id").alias("id")] if typed
                                           else [F.lit(labels[0]).alias("label"), F.col("n").cast("string").alias("id")]))
-        ordered = lambda kind: F.sort_array(F.collect_list(F.struct("pos", F.struct(kind, "id", "props").alias("x"))))
+        ordered = lambda kind: F.array_sort(F.collect_list(F.struct("pos", F.struct(kind, "id", "props").alias("x"))),
+                                            lambda a, b: a["pos"] - b["pos"])
         seen = (at.join(nodes, ["label", "id"]).groupBy("__path").agg(ordered("label").alias("n")))
         out = df.join(seen, "__path")
         if rels:

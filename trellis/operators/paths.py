@@ -547,9 +547,12 @@ def _least_to(targets: DataFrame, back: Edges, max_len: int | None) -> DataFrame
 
 def best_paths(graph: Graph, label: str, prop: str, source_value, target_value, rel_types, weight: Column | None = None,
                cost: Column | None = None, max_cost: float | None = None, max_len: int | None = None, path_count: int = 1,
-               direction: str = "out", hub: int | None = None) -> DataFrame:
+               direction: str = "out", hub: int | None = None, source_where: Column | None = None,
+               target_where: Column | None = None) -> DataFrame:
     """One call with all path options: the ``path_count`` cheapest trails from each source node to
     each target node, of at most ``max_len`` relationships and a total ``cost`` of at most ``max_cost``.
+    The ends are the nodes whose ``prop`` has the given value, or those that meet ``source_where``
+    and ``target_where``.
 
     Exact in three steps.  (1) A search back from the targets gives each node's least weight,
     cost and hops to a target.  A partial trail whose own sums plus these pass a limit can never
@@ -562,7 +565,9 @@ def best_paths(graph: Graph, label: str, prop: str, source_value, target_value,
 
     Output ``source, target, rank, pathWeight, pathCost, hops, route`` (the ``prop`` of the nodes)."""
     weight, cost = F.lit(1.0) if weight is None else weight, F.lit(0.0) if cost is None else cost
-    sources, targets = (cut_lineage(_id_match(graph, label, prop, v).distinct()) for v in (source_value, target_value))
+    sources, targets = (cut_lineage((_id_match(graph, label, prop, v) if where is None else
+                                     graph.nodes[label].where(where).select(graph.id_col(label).alias("id"))).distinct())
+                        for v, where in ((source_value, source_where), (target_value, target_where)))
     back = {"out": "in", "in": "out", "both": "both"}[direction]
     e = _edges(graph, rel_types, label, direction, weight=weight, cost=cost)
     columns = ["source", "target", "rank", "pathWeight", "pathCost", "hops", "route"]

@@ -148,14 +148,19 @@ def inspect_graph(spark, sf):
 SELECT (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer)
      + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM part) + (SELECT count(*) FROM orders) AS node_count,
        'Customer,Nation,Order,Part,Region,Supplier' AS labels,
-       'CONTAINS,IN_NATION,IN_REGION,PLACED,SUPPLIES' AS relationship_types""")
+       'CONTAINS,IN_NATION,IN_REGION,PLACED,SUPPLIES' AS relationship_types,
+       (SELECT string_agg(name, ',' ORDER BY name) FROM (""" + _inspect_sql() + """) WHERE kind = 'propertyKey') AS property_keys""")
 def schema_context(spark, sf):
     ctx = fx.trade_graph(spark, sf).schema_context()
     return ctx.select("node_count", F.array_join("labels", ",").alias("labels"),
-                      F.array_join("relationship_types", ",").alias("relationship_types"))
+                      F.array_join("relationship_types", ",").alias("relationship_types"),
+                      F.array_join("property_keys", ",").alias("property_keys"))
 
 
-@register("query_echo", ids="G16")
+@register("query_echo", ids="G16", sql="""
+SELECT 'trade' AS graph_name, 'MATCH (c:Customer)-[:PLACED]->(o:Order) RETURN c.c_mktsegment, count(*)' AS cypher_query,
+       '{"c_mktsegment":"' || c_mktsegment || '","n_orders":' || CAST(count(*) AS VARCHAR) || '}' AS result
+FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_mktsegment""")
 def query_echo(spark, sf):
     """``{graph_name, cypher_query, result}`` echo of the result rows."""
     g = fx.trade_graph(spark, sf)
@@ -339,18 +344,18 @@ def create_rels_q(spark, sf):
 
 
 @register("create_both_directions", ids="G2", sql="""
-SELECT 'Customer' AS src_label, count(*) AS n FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+SELECT 'Customer' AS src_label, c_custkey AS src, CAST(n_nationkey AS BIGINT) AS dst FROM customer JOIN nation ON n_nationkey = c_nationkey
 UNION ALL
-SELECT 'Nation', count(*) FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey""")
+SELECT 'Nation', CAST(n_nationkey AS BIGINT), c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def create_both_directions(spark, sf):
     """CREATE (c)-[:LIVES]->(n), (n)-[:LIVES]->(c) for every customer row."""
     g = fx.trade_graph(spark, sf)
     c = fx.table(spark, sf, "customer")
     g = create_rels(g, "LIVES", "Customer", "Nation", c, {"c_custkey": "c_custkey"},
                     {"n_nationkey": "c_nationkey"}, rel_id=F.col("c_custkey"), both_directions=True)
-    parts = [df.select(F.lit(s).alias("src_label")) for (t, s, d), df in g.rel_tables("LIVES")]
-    allr = parts[0].unionAll(parts[1])
-    return allr.groupBy("src_label").agg(F.count("*").alias("n"))
+    parts = [df.select(F.lit(s).alias("src_label"), F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+             for (t, s, d), df in g.rel_tables("LIVES")]
+    return parts[0].unionAll(parts[1])
 
 
 # ------------------------------------------------------------------ G3-G6 G8 G10

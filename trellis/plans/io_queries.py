@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trellis.catalog import Catalog
@@ -12,10 +14,10 @@ from trellis.operators.match import top_k
 from trellis.plans import fixtures as fx
 from trellis.plans.oracle_sql import cte
 from trellis.plans.registry import register
-from trellis.session import scratch_path
+from trellis.session import cut_lineage, scratch_path
 from trellis.sources import csv as C
 from trellis.sources import sinks as K
-from trellis.streaming.parts import stream_load_parts
+from trellis.streaming.parts import NodeMerge, RelMerge, stream_load_parts, stream_merge_parts
 
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -141,12 +143,48 @@ def multi_part_load(spark, sf):
     in name order; per part: nodes created and matched."""
     path = scratch_path(spark, "parts")
     C.unload_csv(fx.table(spark, sf, "customer").select(*CUSTOMER_COLS), path, partition_by=["c_mktsegment"])
-    rows = C.read_positional(spark, path, 4)
-    rows = rows.withColumn("part", F.col("c_mktsegment"))
+    # the part is the folder a row's file lies in
+    rows = C.with_part(C.read_positional(spark, path, 4), path.rsplit("/", 1)[-1])
+    rows = rows.withColumn("part", F.regexp_replace("part", "^c_mktsegment=", ""))
     g, summary = C.load_parts_merge_nodes(Graph(), rows, "Nation", {"n_nationkey": S.to_integer(C.row(2))})
     return summary.select("part", F.col("nodes_created").cast("bigint"), F.col("nodes_matched").cast("bigint"))
 
 
+@register("rel_part_load", ids="S7 S9", sql="""
+WITH r AS (SELECT 'd=' || CAST(o_orderkey % 4 AS VARCHAR) AS part, o_custkey AS c, o_orderkey AS o, o_orderpriority AS p, o_orderstatus = 'F' AS has_c FROM orders
+           UNION ALL SELECT 'd=' || CAST((o_orderkey + 1) % 4 AS VARCHAR), o_custkey, o_orderkey, o_orderpriority, o_orderstatus <> 'O' FROM orders),
+ck AS (SELECT DISTINCT part, c FROM r WHERE has_c), cf AS (SELECT c, min(part) AS first FROM ck GROUP BY c),
+ok AS (SELECT DISTINCT part, o FROM r), of AS (SELECT o, min(part) AS first FROM ok GROUP BY o),
+rk AS (SELECT DISTINCT r.part, r.c, r.o FROM r JOIN cf USING (c) JOIN of USING (o) WHERE r.part >= cf.first AND r.part >= of.first),
+rf AS (SELECT c, o, min(part) AS first FROM rk GROUP BY c, o),
+n AS (SELECT part, count(*) FILTER (WHERE part = first) AS made, count(*) FILTER (WHERE part <> first) AS met FROM (
+        SELECT part, first FROM ck JOIN cf USING (c) UNION ALL SELECT part, first FROM ok JOIN of USING (o)) GROUP BY part),
+e AS (SELECT part, count(*) FILTER (WHERE part = first) AS made, count(*) FILTER (WHERE part <> first) AS met FROM rk JOIN rf USING (c, o) GROUP BY part)
+SELECT part, CAST(n.made AS BIGINT) AS nodes_created, CAST(n.met AS BIGINT) AS nodes_matched,
+       CAST(coalesce(e.made, 0) AS BIGINT) AS rels_created, CAST(coalesce(e.met, 0) AS BIGINT) AS rels_matched,
+       (SELECT count(*) FROM rf) AS rels_in_graph
+FROM n LEFT JOIN e USING (part)""")
+def rel_part_load(spark, sf):
+    """Orders dealt to four part folders, each row in two of them; a row makes its order, its customer only if
+    it holds one, and MATCH (c), (o) MERGE (c)-[:PLACED]->(o).  Where the customer comes in a later part only,
+    the row does nothing.  Per part: nodes and relationships created and matched."""
+    path = scratch_path(spark, "relparts")
+    o = fx.table(spark, sf, "orders")
+    row = lambda day, has: o.select(F.when(has, F.col("o_custkey")).alias("cust"), "o_custkey", "o_orderkey", "o_orderpriority",
+                                    F.pmod(day, F.lit(4)).alias("d"))
+    both = row(F.col("o_orderkey"), F.col("o_orderstatus") == "F").unionAll(row(F.col("o_orderkey") + 1, F.col("o_orderstatus") != "O"))
+    C.unload_csv(both, path, partition_by=["d"])
+    rows = C.with_part(C.read_positional(spark, path, 4), path.rsplit("/", 1)[-1])
+    cust, order = S.to_integer(C.row(1)), S.to_integer(C.row(2))
+    g, summary = C.load_parts(
+        Graph(), rows,
+        nodes=[{"label": "Customer", "key": {"c_custkey": S.to_integer(C.row(0))}},
+               {"label": "Order", "key": {"o_orderkey": order}, "set_": {"priority": C.row(3)}}],
+        rels=[{"rel_type": "PLACED", "src_label": "Customer", "dst_label": "Order", "src_on": {"c_custkey": cust}, "dst_on": {"o_orderkey": order}}])
+    n = g.rels["PLACED", "Customer", "Order"].agg(F.count("*").alias("rels_in_graph"))
+    return summary.crossJoin(F.broadcast(n))          # one row
+
+
 @register("empty_load", ids="S8", sql="SELECT count(*) AS node_count, CAST(0 AS BIGINT) AS parts FROM customer")
 def empty_load(spark, sf):
     """An empty source: nothing is loaded, the graph is unchanged, the summary is empty."""
@@ -177,21 +215,52 @@ def stream_part_load(spark, sf):
     return cat.load("customers").nodes["Customer"].select(*CUSTOMER_COLS)
 
 
+@register("stream_delta_load", ids="X1 S7", sql="""
+SELECT CAST(c AS BIGINT) AS c_custkey, count(DISTINCT o) AS n_orders, CAST(max(o_orderdate) AS DATE) AS last_order FROM (
+  SELECT o_custkey AS c, o_orderkey AS o, o_orderdate FROM orders) GROUP BY c""")
+def stream_delta_load(spark, sf):
+    """Order parts as micro-batches of two files, merged as keyed deltas: each batch writes the rows it touches.
+    Customers keep their last order date; relationships repeat over the batches and stay one."""
+    base = scratch_path(spark, "delta")
+    o = fx.table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    # every order stands in two files
+    C.unload_csv(o.repartition(5, "o_orderkey").unionAll(o.repartition(3, "o_orderkey")), f"{base}/parts")
+    cat = Catalog(spark, f"{base}/catalog")
+    cust, order, day = F.col("_c0").cast("bigint"), F.col("_c1").cast("bigint"), F.col("_c2").cast("date")
+    later = lambda new, old: F.greatest(new, old)
+    merges = [NodeMerge("Customer", {"c_custkey": cust}, on_create={"last": day}, on_match={"last": (day, later)}),
+              NodeMerge("Order", {"o_orderkey": order}),
+              RelMerge("PLACED", "Customer", "Order", {"c_custkey": cust}, {"o_orderkey": order})]
+    stream_merge_parts(spark, f"{base}/parts", C.positional_schema(3), cat, "orders", merges, f"{base}/checkpoint", files_per_batch=2,
+                       order_by=[day])
+    g = cat.load("orders")
+    n = g.rels["PLACED", "Customer", "Order"].groupBy(F.col("src").alias("c_custkey")).agg(F.count("*").alias("n_orders"))
+    return g.nodes["Customer"].join(n, "c_custkey").select("c_custkey", "n_orders", F.col("last").alias("last_order"))
+
+
 # ------------------------------------------------------------------ G9 G11 G12
-@register("catalog_list_delete", ids="G11 G12")
+@register("catalog_list_delete", ids="G11 G12", sql="""
+SELECT 'handoff' AS graph_name, (SELECT count(DISTINCT user_id) FROM events) AS node_count
+UNION ALL SELECT 'trade', (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer)
+  + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM part) + (SELECT count(*) FROM orders)""")
 def catalog_list_delete(spark, sf):
-    """Save three graphs, delete one, list the rest."""
+    """Save three graphs, delete one, list the rest with the nodes each holds."""
     cat = Catalog(spark, scratch_path(spark, "catalog"))
     cat.save("trade", fx.trade_graph(spark, sf))
     cat.save("handoff", fx.handoff_graph(spark, sf))
     old, _ = fx.customer_halves(spark, sf)
     cat.save("scratch", Graph().with_nodes("Customer", old, "c_custkey"))
     cat.delete("scratch")
-    return cat.list()
+    counts = None
+    for name in ("trade", "handoff"):
+        one = cat.load(name).stats().select(F.lit(name).alias("graph_name"), "node_count")
+        counts = one if counts is None else counts.unionAll(one)
+    # the list decides which graphs stand in the result
+    return cat.list().join(counts, "graph_name", "left")
 
 
 @register("replace_graph", ids="G9", sql=cte("halves") + """
-SELECT 'Customer' AS label, count(*) AS node_count, CAST(2 AS INTEGER) AS version FROM cust_new""")
+SELECT 'Customer' AS label, c_custkey, c_acctbal, CAST(2 AS INTEGER) AS version FROM cust_new""")
 def replace_graph(spark, sf):
     """Delete-then-load as a new version: the old half is replaced by the new half."""
     cat = Catalog(spark, scratch_path(spark, "catalog"))
@@ -199,8 +268,7 @@ def replace_graph(spark, sf):
     cat.save("customers", Graph().with_nodes("Customer", old, "c_custkey"))
     v = cat.save("customers", Graph().with_nodes("Customer", new, "c_custkey"))
     g = cat.load("customers")
-    return g.nodes["Customer"].agg(F.count("*").alias("node_count")).select(
-        F.lit("Customer").alias("label"), "node_count", F.lit(v).cast("int").alias("version"))
+    return g.nodes["Customer"].select(F.lit("Customer").alias("label"), "c_custkey", "c_acctbal", F.lit(v).cast("int").alias("version"))
 
 
 # ------------------------------------------------------------------ S10-S14 F17 F24
@@ -219,15 +287,35 @@ def write_back(spark, sf):
                        F.variant_get("row_data", "$.c_acctbal", "double").alias("c_acctbal"))
 
 
+def _output_table(spark) -> str:
+    """A table name of this call."""
+    return f"spark_catalog.default.trellis_out_{uuid.uuid4().hex[:12]}"
+
+
+@register("write_back_table", ids="S10 S12", sql="""
+SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, c_custkey, c_name, c_acctbal FROM customer""")
+def write_back_table(spark, sf):
+    """graph_query(g, q, {write: {outputTable}}) through a catalog table: written, read back by its name, dropped."""
+    name = _output_table(spark)
+    rows = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    K.query_result(rows, {"write": {"outputTable": name}}, ["c_custkey"])
+    get = lambda c, kind: F.variant_get("row_data", f"$.{c}", kind).alias(c)
+    back = cut_lineage(spark.table(name).select("row_index", get("c_custkey", "bigint"), get("c_name", "string"), get("c_acctbal", "double")))
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
 @register("write_summary", ids="S11 S12", sql="""
-SELECT 'spark_catalog.default.trellis_write_back' AS output_table, count(*) AS row_count FROM nation""")
+SELECT true AS named_table, count(*) AS row_count, true AS same_rows FROM customer""")
 def write_summary(spark, sf):
-    """The write summary row; the table name is checked as CATALOG.SCHEMA.TABLE first."""
-    name = "spark_catalog.default.trellis_write_back"
-    K.check_table_name(name)
-    out = scratch_path(spark, "writesum")
-    s = K.write_rows(fx.table(spark, sf, "nation"), out, ["n_nationkey"])
-    return s.select(F.lit(name).alias("output_table"), "row_count")
+    """The summary row of a write: the table that was written, as named, and its rows."""
+    name = _output_table(spark)
+    s = K.query_result(fx.table(spark, sf, "customer"), {"WRITE": {"output_table": name}}, ["c_custkey"])
+    got = s.first()                                    # one row
+    written = spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([(got["output_table"] == name, got["row_count"], got["row_count"] == written)],
+                                 "named_table boolean, row_count long, same_rows boolean")
 
 
 _RESULT_TEXT = """CASE WHEN o_orderstatus = 'P' THEN NULL

@@ -23,5 +23,5 @@ def register(name: str, sql: str | None = None, ids: str = ""):
 
 
 def load_all() -> tuple[dict[str, Callable], dict[str, str]]:
-    from trellis.plans import graph_queries, io_queries, path_queries, usage_queries  # noqa: F401
+    from trellis.plans import graph_queries, io_queries, path_queries, search_queries, usage_queries  # noqa: F401
     return QUERIES, ORACLE

@@ -160,14 +160,14 @@ def crm_links(spark, sf):
 
 # ------------------------------------------------------------------ S15 S16 A14
 @register("json_report", ids="S15 A14", sql=_usage_cte(_sub_cte("sub")) + """
-SELECT '%GRAPH_APP%' AS listing_filter, count(*) AS subscription_count, 'graph_app' AS source FROM sub""")
+SELECT '%GRAPH_APP%' AS listing_filter, count(*) AS subscription_count, 'graph_app' AS source, 'fixed-run' AS run_id FROM sub""")
 def json_report(spark, sf):
     """The export report: header fields + the subscription records (written in parallel)."""
     path = scratch_path(spark, "report")
     head = K.write_report(spark, _subs(spark, sf), path,
                           {"export_timestamp": EXPORT_TS, "run_id": "fixed-run", "listing_filter": fx.LISTING_FILTER,
                            "source": "graph_app"})
-    return head.select("listing_filter", "subscription_count", "source")
+    return head.select("listing_filter", "subscription_count", "source", "run_id")
 
 
 @register("report_explode", ids="S16", sql=_usage_cte(_sub_cte("sub")) + """

@@ -16,21 +16,21 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from trellis.session import cut_lineage
 
 TABLE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_$]*[.][A-Za-z_][A-Za-z0-9_$]*[.][A-Za-z_][A-Za-z0-9_$]*$")
-WRITE_NOTE = "Rows are stored as VARIANT in ROW_DATA because query result shapes can vary by query."
+WRITE_NOTE = "row_data is a VARIANT: each query returns columns of its own, so the table has no fixed ones"
 
 
 def check_table_name(name: str | None) -> str:
     """An unquoted fully qualified ``CATALOG.SCHEMA.TABLE``."""
     if not name or not TABLE_NAME.match(name):
-        raise ValueError("Invalid write.outputTable. Use an unquoted fully qualified table name: "
-                         "CATALOG.SCHEMA.TABLE")
+        raise ValueError(f"cannot write to {name!r}: the output table needs three plain names, catalog.schema.table")
     return name
 
 
@@ -72,15 +72,14 @@ def write_rows(df: DataFrame, output: str, order: list[str], as_table: bool = Fa
         F.lit(output).alias("output_table"), "row_count", F.lit(WRITE_NOTE).alias("note"))
 
 
+# The spellings under which callers pass the write options.
 WRITE_KEYS = ["write", "WRITE"]
 TABLE_KEYS = ["outputTable", "output_table", "OUTPUTTABLE", "OUTPUT_TABLE"]
 
 
-def _first_key(obj, names):
-    for n in names:
-        if isinstance(obj, dict) and n in obj:
-            return obj[n]
-    return None
+def option(options: dict | None, spellings: list[str]):
+    """The value of an option under the first of its spellings that is there; None without it."""
+    return next((options[s] for s in spellings if s in (options or {})), None)
 
 
 def query_result(df: DataFrame, options=None, order: list[str] | None = None) -> DataFrame:
@@ -89,10 +88,10 @@ def query_result(df: DataFrame, options=None, order: list[str] | None = None) ->
     or JSON text) the rows are written to the checked table and the summary row is
     returned (S10-S12).  ``order`` (default: all columns) fixes ROW_INDEX."""
     opts = json.loads(options) if isinstance(options, str) else (options or {})
-    write = _first_key(opts, WRITE_KEYS)
+    write = option(opts, WRITE_KEYS)
     if write is None:
         return df
-    table = check_table_name(_first_key(write, TABLE_KEYS))
+    table = check_table_name(option(write, TABLE_KEYS))
     return write_rows(df, table, order or df.columns, as_table=True)
 
 
@@ -135,23 +134,34 @@ def array_of_objects(df: DataFrame, order: list[str]) -> DataFrame:
 def write_report(spark: SparkSession, records: DataFrame, path: str, header: dict) -> DataFrame:
     """``{export_timestamp, run_id, listing_filter, subscription_count, subscriptions}``.
 
-    Records go to ``<path>/subscriptions`` as JSON lines written by every
-    task; the header is one row at ``<path>/header`` holding the count."""
-    records.write.mode("overwrite").json(f"{path}/subscriptions")
-    count = spark.read.json(f"{path}/subscriptions").agg(F.count("*").alias("subscription_count"))
-    head = count.select(*[F.lit(v).alias(k) for k, v in header.items()], "subscription_count")
-    head.coalesce(1).write.mode("overwrite").json(f"{path}/header")
-    return spark.read.json(f"{path}/header")
-
-
-def read_report(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """The report's records as rows (our layout, or one multi-line document
-    with a ``subscriptions`` array, as the original exporter writes)."""
-    r = spark.read
-    if schema:
-        r = r.schema(schema)
-    try:
-        return r.json(f"{path}/subscriptions")
-    except Exception:  # noqa: BLE001 - not our layout: a single JSON document
-        doc = spark.read.option("multiLine", "true").json(path)
-        return doc.select(F.explode("subscriptions").alias("s")).select("s.*")
+    Records go to ``<path>/subscriptions`` as JSON lines written by every task and are counted
+    while they are written.  The header is one row at ``<path>/header`` with the count and the
+    records' schema, so nothing is inferred when the report is read and a field that is null in
+    every record stays.  Returns the header row without the schema."""
+    seen = Observation()
+    records.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{path}/subscriptions")
+    schema = records.schema
+    names = StructType([StructField(k, StringType()) for k in header])
+    head = spark.createDataFrame([tuple(header.values())], names).withColumn("subscription_count", F.lit(seen.get["n"]).cast("long"))
+    head.withColumn("subscription_schema", F.lit(schema.json())).coalesce(1).write.mode("overwrite").json(f"{path}/header")
+    kinds = StructType([*names, StructField("subscription_count", LongType())])
+    return spark.read.schema(kinds).json(f"{path}/header")
+
+
+def read_report(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """The report's records as rows.
+
+    A folder with a ``header`` is our layout and is read with the schema that the header holds.
+    Anything else is one multi-line document with a ``subscriptions`` array, of the record
+    ``schema`` given; without one its fields are inferred from the document."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/header")
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        if schema is None:
+            held = spark.read.schema("subscription_schema string").json(f"{path}/header").first()[0]      # one row
+            schema = StructType.fromJson(json.loads(held))
+        return spark.read.schema(schema).json(f"{path}/subscriptions")
+    r = spark.read.option("multiLine", "true")
+    if schema is not None:
+        record = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        r = r.schema(StructType([StructField("subscriptions", ArrayType(record))]))
+    return r.json(path).select(F.explode("subscriptions").alias("s")).select("s.*")

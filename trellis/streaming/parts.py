@@ -97,12 +97,14 @@ def _stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_ba
 
 
 def stream_merge_parts(spark: SparkSession, folder: str, schema: T.StructType, catalog: Catalog, graph_name: str,
-                       merges: list[NodeMerge | RelMerge], checkpoint: str, files_per_batch: int = 1, header: bool = False) -> int:
+                       merges: list[NodeMerge | RelMerge], checkpoint: str, files_per_batch: int = 1, header: bool = False,
+                       order_by: list[Column] | None = None) -> int:
     """Apply ``merges`` to each batch of part files, in order; returns the number of batches applied.
 
-    Among rows of one key the last wins, by part name, then by the row's values."""
+    Among rows of one key in a batch the last wins, by ``order_by``, else by part name; then by
+    the row's values."""
     stream = _stream(spark, folder, schema, files_per_batch, header).withColumn("part", F.col("_metadata.file_path"))
-    order = [F.col("part"), *[F.col(c) for c in schema.names]]
+    order = [*(order_by or [F.col("part")]), *[F.col(c) for c in schema.names]]
     applied = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
