@@ -37,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trellis.llm.common import register, store, table
@@ -255,20 +255,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds: edges move to ever smaller neighbours until each node
     points at its component's smallest.  Every grouping is a minimum with a partial stage."""
-    edges = store(edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    def kept(e: DataFrame) -> tuple[DataFrame, tuple]:
+        """The edges, written, with their number and checksum, taken on the way."""
+        seen = Observation()
+        e = store(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("sum")), "edges")
+        return e, (seen.get["n"], seen.get["sum"])
+
+    edges, state = kept(edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     before = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
+    while state != before and state[0]:
         before = state
         both = edges.union(edges.select("lo", "hi")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
                  .filter("hi <> lo").distinct())
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        edges = store(large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-                      .union(low.select("hi", F.col("m").alias("lo"))).filter("hi <> lo").distinct(), "edges")
+        edges, state = kept(large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+                            .union(low.select("hi", F.col("m").alias("lo"))).filter("hi <> lo").distinct())
     nodes = edges.select(F.col("hi").alias("node"), F.col("lo").alias("comp"))
     return nodes.union(edges.select(F.col("lo").alias("node"), F.col("lo").alias("comp"))).distinct()
 
@@ -488,15 +491,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     names = docs.columns
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
     key, row = F.xxhash64("text", F.length("text")), F.xxhash64(*names)
-    slim = store(docs.filter(has_words).select(F.col("doc_id").cast("long").alias("id"), key.alias("key"), row.alias("row")), "near-rows")
+    slim = docs.filter(has_words).select(F.col("doc_id").cast("long").alias("id"), key.alias("key"), row.alias("row"))
     _, found = near_components(docs.filter(has_words).select(key.alias("doc_id"), "text"))
     text = slim.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "row")).alias("first"))
     text = store(text.join(found.select(F.col("doc_id").alias("key"), "component_id"), "key", "left")
                  .select("key", "n", "first", F.coalesce("component_id", "key").alias("group")), "near-texts")
     best = text.groupBy("group").agg(F.sum("n").alias("rows"), F.min("first").alias("first")).filter("rows > 1").select("group", "first")
     # of each text with company: the row that stays, null if another text's row does
-    act = store(text.join(best.withColumnRenamed("first", "stays"), "group")
-                .select(F.col("key").alias("near_key"), F.when(F.col("stays.key") == F.col("key"), F.col("stays.row")).alias("near_row")), "near-acts")
+    act = (text.join(best.withColumnRenamed("first", "stays"), "group")
+           .select(F.col("key").alias("near_key"), F.when(F.col("stays.key") == F.col("key"), F.col("stays.row")).alias("near_row")))
     judged = docs.select(F.struct(*names).alias("doc"), F.when(has_words, key).alias("own_key"), row.alias("own_row"))
     judged = judged.join(act, judged["own_key"] == act["near_key"], "left")
     alone = judged.filter("near_key IS NULL").select("doc.*")
