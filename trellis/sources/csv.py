@@ -39,8 +39,8 @@ def positional_schema(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(n)])
 
 
-# one field of a line: quoted (a quote inside is doubled) or bare, after the line's start or a comma
-_FIELD = '(?:^|,)(?:"(?:[^"]|"")*"|[^,]*)'
+# one field of a line with the comma before it: quoted (a quote inside is doubled) or bare
+_FIELD = ',(?:"(?:[^"]|"")*+"|[^,]*+)'
 
 
 def split_line(line: Column) -> Column:
@@ -52,8 +52,7 @@ def split_line(line: Column) -> Column:
         out = F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), quoted).otherwise(bare)
         return F.when(out != READ_OPTS["nullValue"], out)
 
-    # a line that starts with a comma has an empty first field, which the pattern finds at its start
-    return F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(0)), value)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)), value)
 
 
 def read_positional(spark: SparkSession, path: str, n_cols: int, header: bool = False,
