@@ -235,3 +235,9 @@ def test_single_document_with_a_schema(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"subscriptions": [{"hs_name": "a"}, {"hs_name": "b", "email": "x"}]}', encoding="utf-8")
     got = K.read_report(spark, str(tmp_path / "r.json"), "hs_name string, email string, plan string")
     assert rows(got) == [("a", None, None), ("b", "x", None)]
+
+
+def test_array_of_objects_refuses_a_large_result(spark):
+    assert len(K.array_of_objects(spark.range(5), ["id"], most=5).first()["items"]) == 5
+    with pytest.raises(Exception, match="more than 4 rows"):
+        K.array_of_objects(spark.range(5), ["id"], most=4).collect()

@@ -244,3 +244,38 @@ def test_path_objects(spark):
     assert [o.hops for o in got] == [0, 1, 3]
     assert [(n.label, n.id, n.props["p"]) for n in got[2].nodes] == [("A", "1", "x"), ("A", "2", "y"), ("B", "1", "b"), ("A", "3", "z")]
     assert [(r.type, r.id) for r in got[2].rels] == [("K", "1"), ("L", "1"), ("L", "1")] and got[0].rels == []
+
+
+@pytest.mark.parametrize("seed,k,max_len", [(1, 1, 3), (2, 2, 4), (6, 3, 3), (8, 50, 3)])
+def test_k_paths_to_all_nodes_equal_enumeration(spark, seed, k, max_len):
+    n, edges = make(seed, 8, 22)
+    g = graph(spark, n, edges)
+    got = P.k_paths(g, ids(spark, 0, 3), "E", "V", F.col("w"), k, max_len).collect()
+    for s in (0, 3):
+        for t in range(n):
+            want = trails_between(edges, s, {t}, max_len, 10**9)[:k]
+            mine = sorted((r["rank"], r.dist, r.hops, r.nodes, r.rels) for r in got if (r.source, r.cur) == (s, t))
+            assert mine == [(i + 1, float(w), h, nodes, rels) for i, (w, h, nodes, rels, _) in enumerate(want)]
+
+
+def test_k_paths_list_no_dominated_trail(spark):
+    """40 parallel relationships a step: 40^3 trails, of which a few can be in the answer."""
+    edges = [(100 * i + j, i, i + 1, 1 + j, 1) for i in range(3) for j in range(40)]
+    g = graph(spark, 4, edges)
+    e = P.Edges(P._edges(g, "E", "V", "out", weight=F.col("w")))
+    whole = P._run_trails(ids(spark, 0).withColumnRenamed("id", "source"), e, 3, None).count()
+    seen = []
+    run = P._run_trails
+
+    def counted(*a):
+        out = run(*a)
+        seen.append(out.count())
+        return out
+
+    P._run_trails = counted
+    try:
+        got = P.k_paths(g, ids(spark, 0), "E", "V", F.col("w"), 2, 3).where("cur = 3").collect()
+    finally:
+        P._run_trails = run
+    assert sorted((r["rank"], r.dist) for r in got) == [(1, 3.0), (2, 4.0)]
+    assert whole == 40 + 40**2 + 40**3 and max(seen) < 40

@@ -4,8 +4,8 @@
 task; if one day holds a third of the data that task is the job.  Here the
 rows are range-partitioned on the order columns (balanced by sampling), the
 lag is taken inside each range, and the first row of every range borrows the
-last row of the nearest earlier non-empty range (a table with one row per
-range).  The group condition (same day) is then a plain filter.
+last row of the nearest earlier non-empty range (a lag over a table with one
+row per range).  The group condition (same day) is then a plain filter.
 """
 
 from __future__ import annotations
@@ -32,14 +32,10 @@ def global_lag(df: DataFrame, order: list[str], cols: list[str], n_ranges: int |
     for c in cols + order:
         inner = inner.withColumn(f"_lag_{c}", F.lag(c).over(w))
     inner = inner.withColumn("_first", F.row_number().over(w) == 1)
-    # last row of each range, then the nearest earlier non-empty range (tiny: one row per range)
+    # last row of each range, handed to the next non-empty range: a table of one row per range
     last = ranged.groupBy("_rng").agg(F.max_by(F.struct(*[F.col(c) for c in cols + order]),
-                                               F.struct(*[F.col(c) for c in order])).alias("_last"))
-    carry = last.select(F.col("_rng").alias("_src_rng"), "_last")
-    ranges = last.select("_rng")
-    prev_rng = (ranges.alias("x").join(F.broadcast(ranges.alias("y")), F.col("y._rng") < F.col("x._rng"))
-                .groupBy(F.col("x._rng").alias("_rng")).agg(F.max("y._rng").alias("_src_rng")))
-    fix = prev_rng.join(carry, "_src_rng").select("_rng", "_last")
+                                               F.struct(*[F.col(c) for c in order])).alias("_own"))
+    fix = last.select("_rng", F.lag("_own").over(Window.orderBy("_rng")).alias("_last"))
     out = inner.join(F.broadcast(fix), "_rng", "left")
     sel = [F.col(c) for c in df.columns]
     for c in cols:

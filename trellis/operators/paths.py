@@ -481,30 +481,65 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
     return best.join(found, ["source", "id"]).select("source", "id", *rank, "route")
 
 
-def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column, k: int,
-            max_len: int, direction: str = "out") -> DataFrame:
-    """The ``k`` cheapest trails of at most ``max_len`` hops per (source, target).
-
-    Top-k per target is done in two steps over a salt of the route so a target
-    reached by a third of all trails is ranked by many tasks first."""
-    e = cut_lineage(_edges(graph, rel_type, label, direction, weight=weight))
-    frontier = sources.select("id").distinct().select(
-                              F.col("id").alias("source"), F.col("id").alias("cur"),
-                              F.array(F.col("id")).alias("nodes"),
-                              F.array().cast(f"array<{e.schema['rel_id'].dataType.simpleString()}>").alias("rels"),
-                              F.lit(0.0).alias("dist"))
+def _run_trails(start: DataFrame, e: Edges, max_len: int, keep: int | None, useful=None) -> DataFrame:
+    """Trails of 1 to ``max_len`` relationships from ``start`` (source): ``source, cur, nodes, rels, dist``.
+
+    ``keep`` holds only so many of the lightest per node and level; ``useful(trails, hops)``
+    drops trails that no wanted one begins with."""
+    rel_kind = e.df.schema["rel_id"].dataType.simpleString()
+    frontier = start.select("source", F.col("source").alias("cur"), F.array("source").alias("nodes"),
+                            F.array().cast(f"array<{rel_kind}>").alias("rels"), F.lit(0.0).alias("dist"))
     levels = []
     for n in range(1, max_len + 1):
-        frontier = (frontier.join(e, F.col("cur") == F.col("a"))
-                    .where(~F.array_contains(F.col("rels"), F.col("rel_id")))
-                    .select("source", F.col("b").alias("cur"),
-                            F.concat("nodes", F.array("b")).alias("nodes"),
-                            F.concat("rels", F.array("rel_id")).alias("rels"),
-                            (F.col("dist") + F.col("w")).alias("dist")))
-        frontier = cut_lineage(frontier)
+        step = (e.step(frontier, "cur").where(~F.array_contains(F.col("rels"), F.col("rel_id")))
+                .select("source", F.col("b").alias("cur"), F.concat("nodes", F.array("b")).alias("nodes"),
+                        F.concat("rels", F.array("rel_id")).alias("rels"), (F.col("dist") + F.col("w")).alias("dist")))
+        if useful is not None:
+            step = useful(step, n)
+        if keep is not None:
+            step = top_k_per_group(step, ["source", "cur"], ["dist", "nodes", "rels"], keep).drop("rank")
+        frontier = cut_lineage(step)
         levels.append(frontier)
-    allp = reduce(DataFrame.unionAll, levels).withColumn("hops", F.size("rels"))
-    return top_k_per_group(allp, ["source", "cur"], ["dist", "hops", "nodes", "rels"], k)
+    return reduce(DataFrame.unionAll, levels)
+
+
+def k_paths(graph: Graph, sources: DataFrame, rel_type, label: str, weight: Column, k: int,
+            max_len: int, direction: str = "out", hub: int | None = None) -> DataFrame:
+    """The ``k`` cheapest trails of at most ``max_len`` hops per (source, target), for all targets.
+
+    A first run keeps the ``k`` lightest partial trails of each node and level.  Its arrivals are
+    real trails, so the weight of a node's k-th bounds what can be in the answer there (no bound
+    for a node with fewer).  The room of a node with r hops left is the largest weight that a
+    partial trail may have there and still reach some node within that node's bound: the node's
+    own bound, or the room of a follower with r - 1 hops left less the weight of the way.  The full
+    run drops partial trails beyond the room, so no dominated trail is listed or continued, and
+    nothing that could be in the answer is dropped."""
+    e = _edges(graph, rel_type, label, direction, weight=weight)
+    start = sources.select(F.col("id").alias("source")).distinct()
+    if e is None:
+        none = start.select("source", F.col("source").alias("cur"), F.array("source").alias("nodes"), F.array("source").alias("rels"),
+                            F.lit(0.0).alias("dist"), F.lit(0).alias("hops"), F.lit(1).alias("rank"))
+        return none.where(F.lit(False))
+    e = Edges(e, hub)
+    first = _run_trails(start, e, max_len, k)
+    # at most k arrivals a level and node
+    kth = F.get(F.sort_array(F.collect_list("dist")), F.lit(k - 1))
+    bound = cut_lineage(first.groupBy("source", F.col("cur").alias("id")).agg(F.coalesce(kth, F.lit(float("inf"))).alias("room")))
+    rooms = [bound]
+    for _ in range(1, max_len):
+        ahead = (e.df.select("a", "b", "w").join(rooms[-1].withColumnRenamed("id", "b"), "b")
+                 .groupBy("source", F.col("a").alias("id")).agg(F.max(F.col("room") - F.col("w")).alias("room")))
+        rooms.append(cut_lineage(bound.unionByName(ahead).groupBy("source", "id").agg(F.max("room").alias("room"))))
+    slack = F.col("room") + F.abs("room") * 1e-12
+
+    def useful(trails_now: DataFrame, hops: int) -> DataFrame:
+        room = rooms[max_len - hops].select("source", F.col("id").alias("cur"), "room")
+        return trails_now.join(room, ["source", "cur"]).where(F.col("dist") <= slack).drop("room").select(*trails_now.columns)
+
+    found = _run_trails(start, e, max_len, None, useful)
+    here = found.join(bound.select("source", F.col("id").alias("cur"), "room"), ["source", "cur"]).where(F.col("dist") <= slack).drop("room")
+    here = here.select("source", "cur", "nodes", "rels", "dist", F.size("rels").alias("hops"))
+    return top_k_per_group(here, ["source", "cur"], ["dist", "hops", "nodes", "rels"], k)
 
 
 def top_k_per_group(df: DataFrame, keys: list[str], order: list[str], k: int) -> DataFrame:

@@ -10,7 +10,7 @@ table is small at run time).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -70,7 +70,7 @@ def backfilled_winners(events: DataFrame) -> DataFrame:
                         for c in fields])
 
 
-def subscriptions(apps: DataFrame, events: DataFrame, engine_version: str, plan_prefix: str) -> DataFrame:
+def subscriptions(apps: DataFrame, events: DataFrame, engine_version: str | Column, plan_prefix: str) -> DataFrame:
     """Installs (non-empty locator) left join the account's winning event → 18 string fields."""
     inst = apps.where(F.coalesce(F.col("consumer_account_locator"), F.lit("")) != "")
     win = backfilled_winners(events)

@@ -75,17 +75,12 @@ def _apps(spark, sf):
 
 def _subs(spark, sf, apps=None):
     apps = _apps(spark, sf) if apps is None else apps
-    return U.subscriptions(apps, _events(spark, sf), S_ENGINE_VERSION, fx.PLAN_PREFIX)
-
-
-S_ENGINE_VERSION = "v4.20.1"
+    return U.subscriptions(apps, _events(spark, sf), S.semver(F.lit(fx.ENGINE_MODULE_VERSION)), fx.PLAN_PREFIX)
 
 
 def _period_start(ev):
-    """Start of the look-back period: the last event time (one number read from the data, kept
-    as wall-clock text so the session time zone cannot shift it) minus LOOKBACK_DAYS."""
-    end = ev.agg(F.max("ts").cast("string")).first()[0]
-    return F.lit(end).cast("timestamp_ntz") - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
+    """Start of the look-back period: the last event time, a scalar subquery of the plan, minus LOOKBACK_DAYS."""
+    return ev.agg(F.max("ts").alias("end")).scalar().cast("timestamp_ntz") - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
 
 
 # ------------------------------------------------------------------ J1-J5
