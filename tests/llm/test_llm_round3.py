@@ -290,3 +290,18 @@ def test_variants_over_many_cells(spark, monkeypatch, cell, leaf):
 def test_roots_follow_long_chains(spark):
     forms = spark.createDataFrame([(f"w{i:03}", f"w{i + 1:03}") for i in range(30)], "word string, form string")
     assert {r["root"] for r in spelling.roots(forms).collect()} == {"w030"}
+
+
+# -- 9 blocks of items
+
+def test_many_blocks_of_items_with_one_id(spark, monkeypatch):
+    """Items of one id, or none, spread over blocks; every block is held against every document."""
+    from trellis.llm import decontaminate
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_BLOCK", 7)
+    text = lambda i: " ".join(f"w{i}_{j}" for j in range(12))
+    items = spark.createDataFrame([(None if i % 3 else 5, text(i)) for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before {text(i)} after") for i in range(0, 80, 2)], "doc_id long, text string")
+    assert len(decontaminate.item_blocks(items)) > 5
+    got = Counter((r["doc_id"], r["item_id"]) for r in decontaminate.contained_items(docs, items).collect())
+    assert got == Counter((i, None if i % 3 else 5) for i in range(0, 60, 2))
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == list(range(60, 80, 2))

@@ -18,6 +18,22 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def save_bytes(uri: str, data: bytes) -> None:
+    """Write under another name, then rename: a task that runs again replaces the whole file."""
+    where, path = _place(uri)
+    where.create_dir(path.rpartition("/")[0], recursive=True)
+    draft = f"{path}.{uuid.uuid4().hex}"
+    with where.open_output_stream(draft) as out:
+        out.write(data)
+    where.move(draft, path)
+
+
+def load_bytes(uri: str) -> bytes:
+    where, path = _place(uri)
+    with where.open_input_stream(path) as f:
+        return f.read()
+
+
 def save_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
     """Write under another name, then rename: a task that runs again replaces the whole file."""
     where, path = _place(uri)

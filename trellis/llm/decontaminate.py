@@ -15,7 +15,9 @@ are verified exactly: the share of the item's distinct shingles that the whole d
 Windows are not built: a bin's smallest hash is one of the document's own shingles, so only
 shingles whose hash is some item's value are looked at, and then the two windows around them.
 
-Items go to the tasks in blocks of bounded size; every block is held against all documents.
+Items are dealt to blocks of bounded size, whatever their ids.  One task builds the index of a
+block and stores it in the shared folder; the tasks over the documents load the blocks one after
+the other, a few are kept.  The driver sees one path per block, and documents are read once.
 
 Defined results: null and empty texts and items match nothing; an item of fewer than five
 words is one shingle of its own length; repeated documents and items give repeated results;
@@ -24,25 +26,32 @@ other columns are kept by ``drop_contaminated`` and ignored else.
 
 from __future__ import annotations
 
+import functools
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from trellis.llm.common import register, table
+from trellis.llm.array_file import load_bytes, save_bytes
+from trellis.llm.common import register, store, table
 from trellis.llm.jaccard_join import common
 from trellis.llm.word_hash import chunks, distinct_by_text, mix, shingle_hashes, word_hashes
+from trellis.session import scratch_path
 
 PERCENT = 75            # least containment
 WORDS = 5
 BINS_LOG = 6
 ITEMS_PER_BLOCK = 20_000
+BLOCK_BYTES = 16_000_000   # item text of a block on average at most (a longer item alone)
+KEPT_BLOCKS = 2            # indexes that a task process keeps
 _TOP = np.uint64(64 - BINS_LOG)
-_LUT_BITS = 20
+_LUT_BITS = 20             # of the table of first bits, at most
 
 
 def round_hashes(shingles: np.ndarray, r: int) -> np.ndarray:
@@ -65,16 +74,17 @@ class Group:
                 owners.append(np.full(len(first), item))
             values, owners = np.concatenate(values), np.concatenate(owners)
             order = np.argsort(values, kind="stable")
-            lut = np.zeros(1 << _LUT_BITS, bool)
-            lut[values >> np.uint64(64 - _LUT_BITS)] = True
-            self.rounds.append((values[order], owners[order], lut))
+            bits = min(max(int(16 * len(values)).bit_length(), 8), _LUT_BITS)
+            lut = np.zeros(1 << bits, bool)
+            lut[values >> np.uint64(64 - bits)] = True
+            self.rounds.append((values[order], owners[order], lut, np.uint64(64 - bits)))
 
     def candidates(self, shingles: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
         """(text, item) that agree in a bin of some window."""
         found = set()
-        for r, (values, owners, lut) in enumerate(self.rounds):
+        for r, (values, owners, lut, shift) in enumerate(self.rounds):
             h = round_hashes(shingles, r)
-            near = np.flatnonzero(lut[h >> np.uint64(64 - _LUT_BITS)])
+            near = np.flatnonzero(lut[h >> shift])
             los, his = (np.searchsorted(values, h[near], side=side) for side in ("left", "right"))
             true = los < his
             for at, lo, hi in zip(near[true], los[true], his[true]):
@@ -123,52 +133,66 @@ class ItemIndex:
                         yield first + text, item, n, shared
 
 
-def item_blocks(items: DataFrame) -> Iterator[ItemIndex]:
-    """Items in blocks of about ITEMS_PER_BLOCK; each is small enough to send to all tasks."""
-    n = items.count()
-    blocks = max(1, -(-n // ITEMS_PER_BLOCK))
-    for b in range(blocks):
-        part = items.select("item_id", "text").filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect() if n else []
-        if part:
-            yield ItemIndex([r["item_id"] for r in part], [r["text"] for r in part])
+def item_blocks(items: DataFrame) -> list[str]:
+    """Build and store the index of every block of items; the paths, one for each block."""
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()        # one row
+    if not size["n"]:
+        return []
+    blocks = max(1, -(-size["n"] // ITEMS_PER_BLOCK), -(-(size["bytes"] or 0) // BLOCK_BYTES))
+    folder = scratch_path(items.sparkSession, "item-blocks")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts = [], []
+        for b in batches:
+            ids += b.column("item_id").to_pylist()
+            texts += b.column("text").to_pylist()
+        if ids:
+            path = f"{folder}/block-{TaskContext.get().partitionId():06d}"
+            save_bytes(path, pickle.dumps(ItemIndex(ids, texts), protocol=5))
+            yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    dealt = items.select("item_id", "text").repartition(blocks)                 # round robin: equal ids spread too
+    return sorted(r["path"] for r in store(dealt.mapInArrow(build, "path string"), "item-paths").collect())
+
+
+@functools.lru_cache(maxsize=KEPT_BLOCKS)
+def _index(path: str) -> ItemIndex:
+    return pickle.loads(load_bytes(path))
 
 
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_item, n_shared for every item that a document contains."""
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}"
-    schema = f"{kinds}, n_item long, n_shared long"
     item_kind = to_arrow_type(items.schema["item_id"].dataType)
-    out = None
-    for index in item_blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                hits = list(shared.value.matches(b.column("text").to_pylist()))
+    paths = item_blocks(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            for path in paths:
+                index = _index(path)
+                hits = list(index.matches(texts))
                 text, item, n, both = (list(x) for x in zip(*hits)) if hits else ([], [], [], [])
-                ids = shared.value.ids
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(pa.array(text, pa.int64())), pa.array([ids[i] for i in item], item_kind),
+                    [b.column("doc_id").take(pa.array(text, pa.int64())), pa.array([index.ids[i] for i in item], item_kind),
                      pa.array(n, pa.int64()), pa.array(both, pa.int64())], names=["doc_id", "item_id", "n_item", "n_shared"])
 
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
-        out = part if out is None else out.union(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+    return docs.select("doc_id", "text").mapInArrow(run, f"{kinds}, n_item long, n_shared long")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, all columns, that contain no item; texts stay where they are."""
-    for index in item_blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    paths = item_blocks(items)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keep = np.ones(b.num_rows, bool)
-                keep[[hit[0] for hit in shared.value.matches(b.column("text").to_pylist())]] = False
-                yield b.filter(pa.array(keep))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = np.ones(b.num_rows, bool)
+            texts = b.column("text").to_pylist()
+            for path in paths:
+                keep[[hit[0] for hit in _index(path).matches(texts)]] = False
+            yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 OP9_SQL = """
