@@ -7,10 +7,9 @@ label of hops h - 1, and the rows of all rounds together (the history) hold ever
 the longest route has binary digits.
 
 A round joins only the rows won in the round before with the relationships, reduces the
-candidates with a partial aggregate and looks up only the nodes that they reach.  What a round
-wins is kept as a small frame of its own; the rounds are cut from their lineage together every
-few rounds (``RoundState``), so a lost executor repeats at most a few deterministic rounds.
-The driver sees one count per round.
+candidates with a partial aggregate, beside what is known of the nodes.  What a round
+wins is checkpointed as a small frame of its own (``History``), so a lost executor repeats one
+round at most.  The driver sees one count per round.
 
 Hubs: the relationships are written once.  Those of a node with more than ``HUB`` of them are
 dealt to salts, and a state row of that node is copied to each (``Edges.step``), so no task
@@ -27,7 +26,7 @@ from pyspark.sql.window import Window
 
 from trellis.model import Graph
 from trellis.operators.match import edge_frame, edge_identity, edge_tables
-from trellis.session import RoundState, bounded_count, cut_lineage
+from trellis.session import bounded_count, cut_lineage, stored
 
 HUB = 100_000          # relationships of a node that one task joins
 
@@ -37,17 +36,19 @@ class Edges:
 
     def __init__(self, e: DataFrame, per: int | None = None):
         self.per = per or HUB
-        e = cut_lineage(e)
+        e = stored(e, "edges")
+        if "w" in e.columns and not e.where(F.col("w") < 0).isEmpty():
+            raise ValueError("negative weights are not supported")
         # at most one row for each ``per`` relationships
-        self.hubs = cut_lineage(e.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > self.per)
-                                .select("a", F.ceil(F.col("n") / self.per).cast("int").alias("salts")))
+        self.hubs = (e.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > self.per)
+                     .select("a", F.ceil(F.col("n") / self.per).cast("int").alias("salts")))
         self.split = not self.hubs.isEmpty()
-        self.columns = e.columns
         if self.split:
+            self.hubs = stored(self.hubs, "hubs")
             others = [c for c in e.columns if c != "a"]
             e = (e.join(self.hubs, "a", "left")
                  .withColumn("salt", F.coalesce(F.pmod(F.xxhash64(*others), F.col("salts")).cast("int"), F.lit(0))).drop("salts"))
-            e = cut_lineage(e)
+            e = stored(e, "edges")
         self.df = e
 
     def step(self, rows: DataFrame, at: str = "id") -> DataFrame:
@@ -85,8 +86,6 @@ def _edges(graph: Graph, rel_type, label, direction, weight: Column | None = Non
     e = reduce(DataFrame.unionByName, parts)
     if weight is not None:
         e = e.where(F.col("w").isNotNull())  # [choice] a relationship without weight is not traversable
-        if bounded_count(e.where(F.col("w") < 0), 0) > 0:
-            raise ValueError("negative weights are not supported")
     if cost is not None:
         e = e.where(F.col("c").isNotNull())
     if collapse and weight is not None and cost is None:
@@ -196,7 +195,7 @@ def routes(history: DataFrame, wanted: DataFrame) -> DataFrame:
         one, k = jumps[-1], 2 ** (len(jumps) - 1)
         two = one.select("source", F.col("id").alias("mid"), F.col("hops").alias("mid_hops"), F.col("jump").alias("to"))
         jumps.append(cut_lineage(one.withColumn("mid_hops", F.col("hops") - k).withColumnRenamed("jump", "mid")
-                                 .join(two, ["source", "mid", "mid_hops"]).select("source", "id", "hops", F.col("to").alias("jump"))))
+                            .join(two, ["source", "mid", "mid_hops"]).select("source", "id", "hops", F.col("to").alias("jump"))))
     keys = ["source", "id", "hops"]
     at = (wanted.select(*keys).distinct()
           .withColumn("place", F.explode(F.sequence(F.lit(0), F.col("hops"))))
@@ -219,9 +218,11 @@ def _start(sources: DataFrame, **more: Column) -> DataFrame:
 
 
 class History:
-    """The rows won in each round.  All of them are cut from their lineage every few rounds."""
+    """The rows won in each round, each checkpointed on its own; after ``every`` rounds they become one.
+
+    A frame that is only kept would hold the plans of all rounds before it, twice."""
 
-    def __init__(self, first: DataFrame, every: int = 4):
+    def __init__(self, first: DataFrame, every: int = 8):
         self.every = every
         self.done = cut_lineage(first)
         self.recent: list[DataFrame] = []
@@ -229,26 +230,18 @@ class History:
     def rows(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self.recent, self.done)
 
-    def add(self, won: DataFrame, round_col: str, n: int) -> tuple[DataFrame, int]:
-        """Keep the rows of round ``n``: (them, how many)."""
-        won = won.persist()
-        count = won.count()
-        self.recent.append(won)
-        if len(self.recent) >= self.every and count:
-            self.done = cut_lineage(self.rows())
-            self.release()
-            won = self.done.where(F.col(round_col) == n)
-        return won, count
-
-    def release(self) -> None:
-        for r in self.recent:
-            r.unpersist()
-        self.recent = []
+    def add(self, won: DataFrame) -> tuple[DataFrame, int]:
+        """Keep the rows of a round: (them, how many)."""
+        won = cut_lineage(won)
+        n = won.count()
+        if n:
+            self.recent.append(won)
+        if len(self.recent) >= self.every:
+            self.done, self.recent = cut_lineage(self.rows()), []
+        return won, n
 
     def close(self) -> DataFrame:
-        out = cut_lineage(self.rows()) if self.recent else self.done
-        self.release()
-        return out
+        return cut_lineage(self.rows()) if self.recent else self.done
 
 
 # ---------------------------------------------------------------- BFS
@@ -269,7 +262,7 @@ def bfs(graph: Graph, sources: DataFrame, rel_type, label: str, direction: str =
             cand = (e.step(frontier).groupBy("source", F.col("b").alias("id")).agg(F.min("a").alias("pred")))
             new = (cand.join(seen.rows().select("source", "id"), ["source", "id"], "left_anti")
                    .select("source", "id", F.lit(depth).alias("hops"), "pred"))
-            frontier, n = seen.add(new, "hops", depth)
+            frontier, n = seen.add(new)
             if n == 0:
                 break
     history = seen.close()
@@ -308,7 +301,7 @@ def between(graph: Graph, source: DataFrame, target: DataFrame, rel_type, label:
         cand = steps[s].step(frontier[s]).groupBy("source", F.col("b").alias("id")).agg(F.min("a").alias("pred"))
         new = (cand.join(sides[s].rows().select("id"), "id", "left_anti")
                .select("source", "id", F.lit(level[s]).alias("hops"), "pred"))
-        frontier[s], size[s] = sides[s].add(new, "hops", level[s])
+        frontier[s], size[s] = sides[s].add(new)
         if trace is not None:
             trace.append(("source" if s == 0 else "target", level[s], size[s]))
         if size[s] == 0:
@@ -353,9 +346,7 @@ def _relax(sources: DataFrame, e: Edges, max_rounds: int | None, prune_targets:
         n_targets = prune_targets.count()
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
-        cand = (e.step(changed).groupBy("source", F.col("b").alias("id"))
-                .agg(F.min(F.struct((F.col("dist") + F.col("w")).alias("dist"), F.col("a").alias("pred"))).alias("m"))
-                .select("source", "id", "m.*"))
+        cand = e.step(changed).select("source", F.col("b").alias("id"), (F.col("dist") + F.col("w")).alias("dist"), F.col("a").alias("pred"))
         if prune_targets is not None:
             # only a source that has reached every target has a bound: its dearest target
             best = (seen.rows().join(prune_targets, "id", "left_semi").groupBy("source", "id").agg(F.min("dist").alias("dist"))
@@ -363,10 +354,13 @@ def _relax(sources: DataFrame, e: Edges, max_rounds: int | None, prune_targets:
                     .where(F.col("reached") == n_targets).drop("reached"))
             cand = (cand.join(best, "source", "left")
                     .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound"))).drop("bound"))
-        known = seen.rows().groupBy("source", "id").agg(F.min("dist").alias("known"))
-        won = (cand.join(known, ["source", "id"], "left").where(F.col("known").isNull() | (F.col("dist") < F.col("known")))
-               .select("source", "id", "dist", F.lit(rounds).alias("hops"), "pred"))
-        changed, n = seen.add(won, "hops", rounds)
+        # one aggregate of fixed-width rows: what is known of a node beside the best offer to it
+        known = seen.rows().select("source", "id", F.col("dist").alias("known"))
+        won = (cand.select("source", "id", F.struct("dist", "pred").alias("offer")).unionByName(known, allowMissingColumns=True)
+               .groupBy("source", "id").agg(F.min("offer").alias("offer"), F.min("known").alias("known"))
+               .where(F.col("offer").isNotNull() & (F.col("known").isNull() | (F.col("offer.dist") < F.col("known"))))
+               .select("source", "id", "offer.dist", F.lit(rounds).alias("hops"), "offer.pred"))
+        changed, n = seen.add(won)
         if n == 0:
             break
     return seen.close()
@@ -464,7 +458,7 @@ def constrained_paths(graph: Graph, sources: DataFrame, rel_type, label: str, we
                    .withColumn("lowest", F.min("cost").over(prior))
                    .where(F.col("new") & (F.col("lowest").isNull() | (F.col("cost") < F.col("lowest"))))
                    .select("source", "id", "dist", "cost", F.lit(rounds).alias("hops"), "pred_cost", "pred"))
-            changed, n = seen.add(won, "hops", rounds)
+            changed, n = seen.add(won)
             if n == 0:
                 break
     history = seen.close()
@@ -573,7 +567,7 @@ def _least_to(targets: DataFrame, back: Edges, max_len: int | None) -> DataFrame
         known = seen.rows().groupBy("source", "id").agg(F.min("dist").alias("known"))
         won = (cand.join(known, ["source", "id"], "left").where(F.col("known").isNull() | (F.col("dist") < F.col("known")))
                .select("source", "id", "dist", F.lit(rounds).alias("hops")))
-        changed, n = seen.add(won, "hops", rounds)
+        changed, n = seen.add(won)
         if n == 0:
             break
     least = lambda m: F.min(F.when(F.col("source") == m, F.col("dist"))).alias(f"to_{m}")

@@ -69,6 +69,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: a lineage cut like a checkpoint, whose
+    size Spark knows when it chooses joins."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class RoundState:
     """Lineage control for loops: ``persist`` every round, reliable checkpoint every
     ``every`` rounds.  A lost executor recomputes at most ``every`` rounds from the
