@@ -56,10 +56,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/trellis-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/trellis-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below this application's part of the shared checkpoint folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove all scratch of this application; for its end, as frames that still read it fail then.
+
+    Spark's own checkpoints lie beside it and follow ``spark.cleaner.referenceTracking.cleanCheckpoints``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
