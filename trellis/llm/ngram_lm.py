@@ -51,7 +51,7 @@ ORDER = 3
 MIN_COUNT = 1
 RUN_BYTES = 2_000_000         # text a task counts at once
 FLUSH = 500_000               # distinct n-grams a task holds before it sends them
-PART_TOKENS = 4_000_000       # tokens whose n-grams one part, or one segment, has on average at most
+PART_TOKENS = 6_000_000       # tokens whose n-grams one part, or one segment, has on average at most
 END = mix(np.array([0x656E64], np.uint64))[0]
 _32 = np.uint64(32)
 
@@ -198,32 +198,32 @@ class Level:
     discount: float = 0.0
 
     def find(self, context: np.ndarray, word: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each distinct (context, word): node id (-1: none) and discounted probability."""
+        """Of each distinct (context, word), in order: node id (-1: none) and discounted probability."""
         node, p = np.full(len(context), -1, np.int64), np.zeros(len(context))
         for s, at, seg in self._split(context):
             rank = context[at] - self.contexts[s]
-            ptr, inverse = np.unique(rank, return_inverse=True)
+            new = np.concatenate([[True], rank[1:] != rank[:-1]])
+            ptr, inverse = rank[new], np.cumsum(new) - 1
             lo, hi = coded(self.files[s], "ptr_").ranges(ptr)
             place = coded(self.files[s], "next_").find((rank * n_words + word[at]).astype(np.uint64), lo[inverse], hi[inverse])
             hit = place >= 0
-            node[at[hit]] = place[hit] + self.nodes[s]
-            p[at[hit]] = from_bytes(seg["prob"][place[hit]], float(seg["steps"][0]))
+            node[at][hit] = place[hit] + self.nodes[s]
+            p[at][hit] = from_bytes(seg["prob"][place[hit]], float(seg["steps"][0]))
         return node, p
 
     def left_over(self, context: np.ndarray) -> np.ndarray:
-        """Mass that the kept n-grams of a context leave to the shorter one."""
+        """Mass that the kept n-grams of a context leave to the shorter one; contexts in order."""
         out = np.ones(len(context))
         for s, at, seg in self._split(context):
             out[at] = from_bytes(seg["left"][context[at] - self.contexts[s]], float(seg["steps"][1]))
         return out
 
-    def _split(self, context: np.ndarray) -> Iterator[tuple[int, np.ndarray, dict]]:
-        which = np.searchsorted(self.contexts, context, side="right") - 1
-        order = np.argsort(which, kind="stable")
-        cuts = np.searchsorted(which[order], np.arange(len(self.files) + 1))
+    def _split(self, context: np.ndarray) -> Iterator[tuple[int, slice, dict]]:
+        """Sorted contexts by segment."""
+        cuts = np.searchsorted(context, self.contexts)
         for s in np.flatnonzero(np.diff(cuts)):
             if self.files[s]:
-                yield int(s), order[cuts[s]:cuts[s + 1]], open_arrays(self.files[s])
+                yield int(s), slice(cuts[s], cuts[s + 1]), open_arrays(self.files[s])
 
 
 @dataclass
