@@ -305,3 +305,26 @@ def test_many_blocks_of_items_with_one_id(spark, monkeypatch):
     got = Counter((r["doc_id"], r["item_id"]) for r in decontaminate.contained_items(docs, items).collect())
     assert got == Counter((i, None if i % 3 else 5) for i in range(0, 60, 2))
     assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == list(range(60, 80, 2))
+
+
+# -- 8 posterior
+
+def test_rule_posterior_equals_plain_em(spark):
+    """Votes as the rules give them, estimated again in plain Python; the stage keeps the same documents."""
+    import math
+
+    from test_llm_operators import plain_em
+    from trellis.llm import quality_rules
+
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    votes = quality_rules.rule_votes()
+    rated = quality_rules.text_figures(docs, "doc_id").select("doc_id", F.array(*votes.values()).alias("v")).collect()
+    prior, w = plain_em(Counter(tuple(r["v"]) for r in rated), quality_rules.SHARE, (0.7, 0.3), (0.02, 0.4))
+    odds = lambda v: prior + sum(a if x > 0 else b if x < 0 else 0 for x, (a, b) in zip(v, w))
+    want = {r["doc_id"]: 1 / (1 + math.exp(-odds(r["v"]))) for r in rated}
+    got = {r["doc_id"]: r for r in Q["op8_rule_votes"](spark, sf).collect()}
+    assert all(abs(got[i]["p_good"] - p) < 2e-3 for i, p in want.items())
+    assert all(got[i]["kept"] == (not got[i]["base_failed"] and p >= quality_rules.THRESHOLD) for i, p in want.items() if abs(p - 0.5) > 1e-2)
+    kept = {r["doc_id"] for r in quality_rules.keep_good(docs).collect()}
+    assert kept == {i for i, r in got.items() if r["kept"]}

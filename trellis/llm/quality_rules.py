@@ -26,9 +26,9 @@ from trellis.llm.weak_supervision import LabelModel, fit_label_model
 
 THRESHOLD = 0.5
 MIN_WORDS = 50
+SHARE = 0.85           # of good documents, where the estimation starts
 SYMBOLS = "#*$%&|<>"
 
-
 FEW = 24
 COUNTED = {"n_symbols": SYMBOLS, "bangs": "!", "digits": "0123456789", "stops": "."}
 
@@ -124,7 +124,7 @@ def base_failed() -> Column:
 
 def fit_rules(figures: DataFrame) -> LabelModel:
     votes = rule_votes()
-    return fit_label_model(figures.select(*(v.alias(k) for k, v in votes.items())), list(votes), share=0.85)
+    return fit_label_model(figures.select(*(v.alias(k) for k, v in votes.items())), list(votes), share=SHARE)
 
 
 def judge(figures: DataFrame, model: LabelModel, threshold: float = THRESHOLD) -> DataFrame:
