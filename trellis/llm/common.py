@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Ask the driver to drop frames that nothing refers to any more.
+
+    Spark removes the shuffle files of a finished step when the driver's memory is collected; a
+    driver with little to do collects late, and the files of all steps lie on disk until then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 WHITE = " \t\n\x0b\f\r"
 
 

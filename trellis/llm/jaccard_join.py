@@ -40,14 +40,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trellis.llm.common import register, store, table
+from trellis.llm.common import register, release_shuffles, store, table
 from trellis.llm.word_hash import chunks, distinct_by_text, mix, shingle_hashes, word_hashes
 
 PERCENT = 75          # least similarity
 WORDS = 5             # words in a shingle
 BLOCK = 4096          # sets of a tile that one task compares with as many
 BITS = 8              # bitmap bits per set element, at least
-TILE_BYTES = 8_000_000  # of bitmaps that a block of a tile has at most (a single set may have more)
+TILE_BYTES = 32_000_000  # of bitmaps that a block of a tile has at most (a single set may have more)
 PACKED = 5            # bytes of a hash inside its part
 PART_BYTES = 16_000_000  # text whose hashes one part owns on average
 NO_ID = -2**63        # a null id on its way through packed arrays
@@ -423,21 +423,27 @@ def near_tiles(docs: DataFrame, k: int = WORDS, by_set: bool = False) -> tuple[D
     likely = (share.filter(f"doc_id IS NOT NULL AND n_shingles > 0 AND n_shared * 100 >= n_shingles * {PERCENT}")
               .groupBy("doc_id").agg(F.max("n_shared").alias("n_shared")))
     sets = store(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(likely, "doc_id")
-                 .mapInArrow(_sets(k), _SETS), "near-sets")
+                 .mapInArrow(_sets(k), _SETS).withColumn("row", F.monotonically_increasing_id()), "near-sets")
+    release_shuffles(docs.sparkSession)       # of the hashes and the texts
+    # one row for each set, however many rows or ids have it
+    classes = store(sets.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("m")).select("digest", "m.doc_id", "m.row"), "near-classes")
+    reps = sets.join(classes.select("row"), "row", "left_semi").drop("row")
     if by_set:
         key = F.xxhash64("digest")
         member = sets.select("doc_id", key.alias("rep")).distinct()
-        reps = store(sets.dropDuplicates(["digest"]).withColumn("doc_id", key), "near-reps")
+        reps = store(reps.withColumn("doc_id", key), "near-reps")
     else:
-        classes = store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "near-classes")
-        member = sets.select("digest", "doc_id").join(classes.withColumnRenamed("doc_id", "rep"), "digest").select("doc_id", "rep").distinct()
-        reps = store(sets.join(classes, ["doc_id", "digest"], "left_semi").dropDuplicates(["digest"]), "near-reps")
+        member = (sets.select("digest", "doc_id").join(classes.select("digest", F.col("doc_id").alias("rep")), "digest")
+                  .select("doc_id", "rep").distinct())
+        reps = store(reps, "near-reps")
 
-    post = store(reps.mapInArrow(_prefixes, _TOKENS)
-                 .select("rep", "n", "share", F.explode("tokens").alias("token")), "near-tokens")
+    # read from the sets twice: written, the tokens would take a quarter of the sets' own space
+    post = reps.mapInArrow(_prefixes, _TOKENS).select("rep", "n", "share", F.explode("tokens").alias("token"))
     leaders = (post.groupBy("token").agg(F.count("*").alias("size"), F.max(F.struct("share", (-F.col("rep")).alias("less"))).alias("lead"))
                .filter("size > 1").select("token", F.col("lead.share").alias("lead_share"), (-F.col("lead.less")).alias("lead")))
-    return share, sets, member, reps, store(post.join(leaders, "token"), "near-tiles")        # hashes of one set alone go
+    tiles = store(post.select("rep", "n", "token").join(leaders, "token"), "near-tiles")        # hashes of one set alone go
+    release_shuffles(docs.sparkSession)
+    return share, sets, member, reps, tiles
 
 
 def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
@@ -448,6 +454,7 @@ def near_components(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFra
     stars = store(verified(best.select(F.col("rep").alias("a"), F.col("best.lead").alias("b")), reps), "near-stars")
 
     first = components(stars)
+    release_shuffles(docs.sparkSession)
     more = verified(band_pairs(post, reps, first), reps)
     # rows of one id with different texts belong together
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a")
