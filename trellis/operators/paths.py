@@ -18,6 +18,7 @@ joins more than about ``HUB`` relationships for one state row.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,7 @@ from trellis.operators.match import edge_frame, edge_identity, edge_tables
 from trellis.session import bounded_count, cut_lineage, stored
 
 HUB = 100_000          # relationships of a node that one task joins
+ROWS_A_TASK = 1_000_000    # trails that one task makes
 
 
 class Edges:
@@ -119,8 +121,56 @@ def trails(graph: Graph, starts: DataFrame, rel_type, near_label, far_label, min
                            min_hops, max_hops, direction, carry)
 
 
+def _reachable(tables: list, near_labels: list[str], max_hops: int, direction: str) -> set[tuple[str, str, str]]:
+    """The tables that a trail of at most ``max_hops`` from ``near_labels`` can use."""
+    at, used = set(near_labels), set()
+    for _ in range(max_hops):
+        far = set()
+        for key, _df in tables:
+            ways = [(key[1], key[2]), (key[2], key[1])]
+            for n, f in (ways if direction == "both" else ways[:1] if direction == "out" else ways[1:]):
+                if n in at:
+                    used.add(key)
+                    far.add(f)
+        at = far
+    return used
+
+
+def _trail_edges(graph: Graph, rel_type, near_labels: list[str], max_hops: int, direction: str) -> tuple[list[str], DataFrame | None]:
+    """(labels that trails over the types know, relationships ``rel_id, a, b, near, far`` that they can use)."""
+    tables = trail_tables(graph, rel_type)
+    labels = sorted({x for (_, s, d), _ in tables for x in (s, d)} | set(near_labels))
+    types = sorted({t for (t, _, _), _ in tables})
+    if len(labels) == 1:
+        e = _edges(graph, types, labels[0], direction)
+        return labels, None if e is None else e.withColumn("near", F.lit(labels[0])).withColumn("far", F.lit(labels[0]))
+    # a table that no trail from these labels meets is not read
+    used = _reachable(tables, near_labels, max_hops, direction)
+    near = replace(graph, rels={k: v for k, v in graph.rels.items() if k in used})
+    parts = [edge_frame(near, t, None, None, direction)[0] for t in sorted({t for t, _, _ in used})]
+    return labels, reduce(DataFrame.unionByName, [x.select(
+        F.struct("tab", F.col("rel_id").cast("string").alias("rel_id")).alias("rel_id"), F.col("a").cast("string").alias("a"),
+        F.col("b").cast("string").alias("b"), F.col("near_label").alias("near"), F.col("far_label").alias("far")) for x in parts]) if parts else None
+
+
+def spread(rows: DataFrame, made: int, *keys: str) -> DataFrame:
+    """``rows`` dealt by ``keys`` so that a task makes about ``ROWS_A_TASK`` of ``made`` rows; left alone where
+    the session's shuffles do that already."""
+    n = -(-made // ROWS_A_TASK)
+    return rows.repartition(n, *keys) if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
+def _made(left: DataFrame, at: list[str], right: DataFrame, on: list[str]) -> int:
+    """How many rows a join of the two makes; from counts a key, without making them."""
+    x = left.groupBy(*[F.col(c).alias(f"l{i}") for i, c in enumerate(at)]).agg(F.count("*").alias("nl"))
+    y = right.groupBy(*[F.col(c).alias(f"r{i}") for i, c in enumerate(on)]).agg(F.count("*").alias("nr"))
+    cond = reduce(lambda a, b: a & b, [F.col(f"l{i}") == F.col(f"r{i}") for i in range(len(at))])
+    return x.join(y, cond).agg(F.sum(F.col("nl") * F.col("nr")).alias("n")).first()["n"] or 0
+
+
 def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list[str], min_hops: int,
-                    max_hops: int, direction: str = "out", carry: str | None = None) -> DataFrame:
+                    max_hops: int, direction: str = "out", carry: str | None = None,
+                    head: tuple[DataFrame, Column] | None = None, tail: tuple[DataFrame, Column] | None = None) -> DataFrame:
     """All trails (no relationship twice) of ``min..max`` hops from ``starts`` (label, id).
 
     A trail may pass nodes of any label and relationships of all tables of the types.  Where
@@ -128,25 +178,22 @@ def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list
     and a relationship the pair (table, id), with ids as text.  ``near_labels`` are the labels
     that ``starts`` may have.
 
-    Output ``start, start_label, cur, cur_label, nodes, rels, hops[, carried]``."""
+    ``head`` and ``tail`` are frames to join with the trails and the conditions, on ``start`` and
+    ``start_label``, on ``cur`` and ``cur_label``.  The longest trails are most of the rows: they
+    meet ``head`` before their last hop and ``tail`` on its relationships, so they are never shuffled.
+
+    Output ``start, start_label, cur, cur_label, nodes, rels, hops[, carried]`` and the columns of both."""
     if max_hops is None:
         raise ValueError("variable-length trails need an upper bound; use bfs() for unbounded search")
-    tables = trail_tables(graph, rel_type)
-    labels = sorted({x for (_, s, d), _ in tables for x in (s, d)} | set(near_labels))
-    types = sorted({t for (t, _, _), _ in tables})
+    labels, e = _trail_edges(graph, rel_type, near_labels, max_hops, direction)
     if len(labels) == 1:
-        e, node = _edges(graph, types, labels[0], direction), F.col("start")
-        if e is not None:
-            e = e.withColumn("near", F.lit(labels[0])).withColumn("far", F.lit(labels[0]))
+        node = F.col("start")
         frontier = starts.select(F.col("id").alias("start"), F.lit(labels[0]).alias("start_label"))
     else:
-        parts = [edge_frame(graph, t, None, None, direction)[0] for t in types]
-        e = reduce(DataFrame.unionByName, [x.select(
-            F.struct("tab", F.col("rel_id").cast("string").alias("rel_id")).alias("rel_id"), F.col("a").cast("string").alias("a"),
-            F.col("b").cast("string").alias("b"), F.col("near_label").alias("near"), F.col("far_label").alias("far")) for x in parts]) if parts else None
         node = F.struct(F.col("start_label").alias("label"), F.col("start").alias("id"))
         frontier = starts.select(F.col("id").cast("string").alias("start"), F.col("label").alias("start_label"))
-    rel_kind = e.schema["rel_id"].dataType.simpleString() if e is not None else "string"
+    rel_kind = (e.schema["rel_id"].dataType.simpleString() if e is not None
+                else "string" if len(labels) == 1 else "struct<tab:string,rel_id:string>")
     frontier = frontier.select("start", "start_label", F.col("start").alias("cur"), F.col("start_label").alias("cur_label"),
                                F.array(node).alias("nodes"), F.array().cast(f"array<{rel_kind}>").alias("rels"), F.lit(0).alias("hops"))
     if carry:
@@ -158,28 +205,85 @@ def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list
                     .select(*frontier.columns, F.array(F.col("pval")).alias("carried")))
         if e is not None:
             e = e.join(props, (F.col("b") == F.col("pid")) & (F.col("far") == F.col("plabel"))).drop("pid", "plabel")
-    levels = [frontier] if min_hops == 0 else []
-    if e is None:
-        return reduce(DataFrame.unionAll, levels, frontier.where(F.lit(False)))
+
+    own = frontier.columns
+    with_head = lambda f: f if head is None else head[0].join(f, head[1])
+    with_tail = lambda f: f if tail is None else f.join(tail[0], tail[1])
+    at, on = (["cur"], ["a"]) if len(labels) == 1 else (["cur", "cur_label"], ["a", "near"])
+    levels = [with_tail(with_head(frontier))] if min_hops == 0 else []
+    if e is None or max_hops < 1:
+        return reduce(DataFrame.unionAll, levels or [with_tail(with_head(frontier.where(F.lit(False))))])
     e = cut_lineage(e)          # every level joins it
     far = F.col("b") if len(labels) == 1 else F.struct(F.col("far").alias("label"), F.col("b").alias("id"))
-    for k in range(1, max_hops + 1):
-        on = F.col("cur") == F.col("a")
-        if len(labels) > 1:
-            on &= F.col("cur_label") == F.col("near")
-        step = frontier.join(e, on).where(~F.array_contains(F.col("rels"), F.col("rel_id")))
-        cols = [F.col("start"), F.col("start_label"), F.col("b").alias("cur"), F.col("far").alias("cur_label"),
-                F.concat(F.col("nodes"), F.array(far)).alias("nodes"),
-                F.concat(F.col("rels"), F.array(F.col("rel_id"))).alias("rels"),
-                (F.col("hops") + 1).alias("hops")]
+
+    def step(rows: DataFrame, edges: DataFrame, made: int) -> DataFrame:
+        cond = reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in zip(at, on)])
+        cols = {"cur": F.col("b"), "cur_label": F.col("far"), "nodes": F.concat(F.col("nodes"), F.array(far)),
+                "rels": F.concat(F.col("rels"), F.array(F.col("rel_id"))), "hops": F.col("hops") + 1}
         if carry:
-            cols.append(F.concat(F.col("carried"), F.array(F.col("pval"))).alias("carried"))
-        frontier = step.select(*cols)
+            cols["carried"] = F.concat(F.col("carried"), F.array(F.col("pval")))
+        out = spread(rows, made, *at).join(edges, cond).where(~F.array_contains(F.col("rels"), F.col("rel_id")))
+        more = [c for c in (*rows.columns, *edges.columns) if c not in own and c not in e.columns]
+        return out.select(*[cols.get(c, F.col(c)).alias(c) for c in own], *more)
+
+    made = 0
+    for k in range(1, max_hops + 1):
+        if k > 1:
+            made = _made(frontier, at, e, on)
         if k < max_hops:
-            frontier = cut_lineage(frontier)
-        if k >= min_hops:
-            levels.append(frontier)
-    return reduce(DataFrame.unionAll, levels)
+            frontier = cut_lineage(step(frontier, e, made))
+            if k >= min_hops:
+                levels.append(with_tail(with_head(frontier)))
+            continue
+        last = e
+        if tail is not None:     # its condition names the trail's end
+            last = (e.select("*", F.col("b").alias("cur"), F.col("far").alias("cur_label")).join(tail[0], tail[1]).drop("cur", "cur_label"))
+        levels.append(step(with_head(spread(frontier, made, "start")), last, made))
+    return reduce(lambda x, y: x.unionByName(y), levels)
+
+
+def counted_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list[str], min_hops: int, max_hops: int,
+                   direction: str, ends: DataFrame, by_rel: bool = False) -> DataFrame:
+    """How many trails of ``min..max`` hops (2 at most) lead from each of ``starts`` (label, id) to the rows
+    of ``ends`` (end, end_label, more columns) with the same values in the other columns.
+
+    No trail is made: the relationships of each hop are counted by the node between them, and the pairs
+    that are one relationship twice are taken off.  ``by_rel`` counts the trails of one hop by their
+    relationship as well (``rel_id``).  Output ``start, start_label``, the other columns of ``ends``, ``n``."""
+    if max_hops > 2 or (by_rel and max_hops > 1):
+        raise ValueError("trails are counted for two hops at most")
+    labels, e = _trail_edges(graph, rel_type, near_labels, max_hops, direction)
+    text = (lambda c: c.cast("string")) if len(labels) > 1 else (lambda c: c)
+    kept = [c for c in ends.columns if c not in ("end", "end_label")]
+    ends = ends.withColumn("end", text(F.col("end")))
+    starts = starts.select(text(F.col("id")).alias("start"), F.col("label").alias("start_label"))
+    out = ["start", "start_label", *(["rel_id"] if by_rel else []), *kept]
+    levels, made = [], 0
+    if min_hops == 0 and not by_rel:
+        levels.append(starts.join(ends, (F.col("start") == F.col("end")) & (F.col("start_label") == F.col("end_label")))
+                      .select(*out, F.lit(1).cast("long").alias("n")))
+    if e is not None and max_hops > 0:
+        e = cut_lineage(e.where(F.col("rel_id").isNotNull()))        # no trail holds a relationship without an id
+        last = e.join(ends, (F.col("b") == F.col("end")) & (F.col("far") == F.col("end_label"))).drop("end", "end_label")
+        here = (F.col("start") == F.col("a")) & (F.col("start_label") == F.col("near"))
+        if min_hops <= 1:
+            into = last.groupBy("a", "near", *out[2:]).agg(F.count("*").alias("n"))
+            levels.append(starts.join(into, here).select(*out, "n"))
+        if max_hops == 2:
+            first = starts.join(e, here).select("start", "start_label", F.col("b").alias("mid"), F.col("far").alias("mid_label"), "rel_id")
+            goes = (F.col("mid") == F.col("a")) & (F.col("mid_label") == F.col("near"))
+            into = last.groupBy("a", "near", *kept).agg(F.count("*").alias("n2"))
+            one = first.groupBy("start", "start_label", "mid", "mid_label").agg(F.count("*").alias("n1"))
+            made = _made(one, ["mid", "mid_label"], into, ["a", "near"])
+            levels.append(spread(one, made, "mid", "mid_label").join(into, goes).select(*out, (F.col("n1") * F.col("n2")).alias("n")))
+            twice = last.withColumnRenamed("rel_id", "again")
+            levels.append(first.join(twice, goes & (F.col("rel_id") == F.col("again"))).select(*out, F.lit(-1).cast("long").alias("n")))
+    if not levels:
+        levels.append(starts.crossJoin(ends).where(F.lit(False)).select(
+            "start", "start_label", *([F.lit(None).cast("struct<tab:string,rel_id:string>").alias("rel_id")] if by_rel else []), *kept,
+            F.lit(0).cast("long").alias("n")))
+    rows = spread(reduce(DataFrame.unionByName, levels), made, "start")
+    return rows.groupBy(*out).agg(F.sum("n").alias("n")).where(F.col("n") > 0)
 
 
 # ---------------------------------------------------------------- routes
