@@ -89,8 +89,8 @@ def trails_several_labels(spark, sf):
     """MATCH (s:Supplier)-[:IN_NATION|IN_REGION*2]-(x) RETURN s.s_suppkey, labels(x), count(*):
     trails pass nodes of several labels and relationships of several tables."""
     g = fx.trade_graph(spark, sf)
-    m = g.match("s", "Supplier").var_hop(["IN_NATION", "IN_REGION"], "x", None, 2, 2, direction="both", path="p")
-    return m.agg({"supplier": "s.s_suppkey", "far_label": "labels(x)"}, n_trails=F.count(F.lit(1)))
+    m = g.match("s", "Supplier").var_hop(["IN_NATION", "IN_REGION"], "x", None, 2, 2, direction="both", keep=["labels(x)"])
+    return m.agg({"supplier": "s.s_suppkey", "far_label": "labels(x)"}, n_trails=m.rows())
 
 
 @register("untyped_after_hop", ids="M11 M10", sql="""
