@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from trellis.model import Graph
-
+from trellis.operators import paths as P
 
 
 def _graph(spark):
@@ -68,3 +68,16 @@ def test_counted_trails_come_last(spark):
         m.out("r", "T", "y", "A")
     with pytest.raises(ValueError):
         m.ret(a="a")
+
+
+def test_long_trails_are_dealt_by_their_number(spark, monkeypatch):
+    g = _graph(spark)
+    q = lambda: g.match("a", "A").var_hop("T", "x", "A", 1, 3, direction="both", path="p", carry="p")
+    cols = lambda m: (m.c("a").cast("string"), m.c("a.p"), m.c("x").cast("string"), m.c("x.p"), m.c("p").cast("string"), m.c("p.length"))
+    whole = q()
+    want = rows(whole.df.select(*cols(whole)))
+    monkeypatch.setattr(P, "ROWS_A_TASK", 2)
+    dealt = q()
+    assert rows(dealt.df.select(*cols(dealt))) == want and want
+    # the last hop of n trails runs in about n / 2 tasks
+    assert dealt.df.rdd.getNumPartitions() > whole.df.rdd.getNumPartitions()
