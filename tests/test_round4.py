@@ -81,3 +81,32 @@ def test_long_trails_are_dealt_by_their_number(spark, monkeypatch):
     assert rows(dealt.df.select(*cols(dealt))) == want and want
     # the last hop of n trails runs in about n / 2 tasks
     assert dealt.df.rdd.getNumPartitions() > whole.df.rdd.getNumPartitions()
+
+
+def test_parts_are_parsed_once(spark, tmp_path):
+    from trellis.sources import csv as C
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    lines = spark.createDataFrame([("p1", "1", "10"), ("p1", None, "11"), ("p2", "2", "10"), ("p2", "1", "10")], "part string, a string, b string")
+    key = lambda c: F.col(c).cast("long")
+    g, summary = C.load_parts(Graph(), lines.mapInPandas(look, lines.schema),
+                              nodes=[{"label": "A", "key": {"k": key("a")}}, {"label": "B", "key": {"k": key("b")}}],
+                              rels=[{"rel_type": "T", "src_label": "A", "dst_label": "B", "src_on": {"k": key("a")}, "dst_on": {"k": key("b")}}])
+    assert rows(summary) == [("p1", 3, 0, 1, 0), ("p2", 1, 2, 1, 1)]
+    assert g.rels["T", "A", "B"].count() == 2
+    assert seen.value == 4
+
+
+def test_lines_without_quotes_are_cut_alike(spark):
+    from trellis.sources.csv import split_line
+
+    text = ["a,,b", ",", "\\N,x,", "a", 'q,"x,y","",z', ""]
+    got = spark.createDataFrame([(t,) for t in text], "t string").select("t", split_line(F.col("t")).alias("r")).collect()
+    assert {r["t"]: r["r"] for r in got} == {"a,,b": ["a", None, "b"], ",": [None, None], "\\N,x,": [None, "x", None], "a": ["a"],
+                                             'q,"x,y","",z': ["q", "x,y", "", "z"], "": [None]}

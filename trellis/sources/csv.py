@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from trellis.functions.scalar import row_item
 from trellis.model import Graph
 from trellis.operators.merge import merge_nodes, merge_rels
+from trellis.session import stored
 
 WRITE_OPTS = {"escape": '"', "quote": '"', "nullValue": "\\N", "emptyValue": '""'}
 READ_OPTS = {"escape": '"', "quote": '"', "nullValue": "\\N", "emptyValue": ""}
@@ -52,7 +53,10 @@ def split_line(line: Column) -> Column:
         out = F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), quoted).otherwise(bare)
         return F.when(out != READ_OPTS["nullValue"], out)
 
-    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)), value)
+    # without a quote in the line every comma ends a field
+    plain = F.transform(F.split(line, ","), lambda f: F.when((F.length(f) > 0) & (f != READ_OPTS["nullValue"]), f))
+    return F.when(~F.contains(line, F.lit('"')), plain).otherwise(
+        F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)), value))
 
 
 def read_positional(spark: SparkSession, path: str, n_cols: int, header: bool = False,
@@ -180,6 +184,7 @@ def load_parts(graph: Graph, rows: DataFrame, nodes: list[dict], rels: list[dict
     Returns the graph and ``(part, nodes_created, nodes_matched, rels_created, rels_matched)``,
     a row for each part; keys are counted once in a part."""
     part = F.col(part_col)
+    rows = stored(rows, "part-rows")         # every step below reads them; the files are parsed once
     counts = [rows.select(part.alias("part")).distinct().select("part", *[F.lit(0).cast("long").alias(c) for c in _COUNTS])]
     order = [part] + [F.col(c) for c in rows.columns if c != part_col]
     known: dict[str, DataFrame] = {}         # by label: key columns, first part ('' if the graph had it)
@@ -194,7 +199,7 @@ def load_parts(graph: Graph, rows: DataFrame, nodes: list[dict], rels: list[dict
         if label in graph.nodes:
             old = graph.nodes[label].select(*keys).dropna().distinct().withColumn("old", F.lit(True))
             seen = (seen.join(old, keys, "full").select(*keys, F.when(F.col("old"), F.lit("")).otherwise(F.col("first")).alias("first")))
-        known[label] = seen
+        seen = known[label] = stored(seen, "part-keys")
         created = F.col("part") == F.col("first")
         counts.append(keyed.join(seen, keys).groupBy("part").agg(
             F.count_if(created).alias("nodes_created"), F.count_if(~created).alias("nodes_matched"),
@@ -218,6 +223,7 @@ def load_parts(graph: Graph, rows: DataFrame, nodes: list[dict], rels: list[dict
                 c = F.col(f"__{end}_{k}") == (on[k] if isinstance(on[k], Column) else F.col(on[k]))
                 match = c if match is None else match & c
             ready = ready.join(seen, match).where(part >= F.col(f"__{end}_first")).drop(*[f"__{end}_{k}" for k in keys], f"__{end}_first")
+        ready = stored(ready, "part-ready")  # counted and merged
         props = r.get("key_props") or {}
         values = {**{f"src_{k}": v for k, v in r["src_on"].items()}, **{f"dst_{k}": v for k, v in r["dst_on"].items()}, **props}
         keyed = ready.select(part.alias("part"), *[(v if isinstance(v, Column) else F.col(v)).alias(k) for k, v in values.items()]).distinct()
