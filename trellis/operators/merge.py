@@ -237,6 +237,15 @@ def merge_rels(graph: Graph, rel_type: str, src_label: str, dst_label: str, rows
                on_create: dict | None = None, on_match: dict | None = None, set_: dict | None = None,
                order_by: list[Column] | None = None) -> tuple[Graph, DataFrame]:
     """G6 ``MATCH (a..), (b..) MERGE (a)-[r:T {k: ..}]->(b)``: key = (src, dst, inline properties)."""
+    graph, touched = merge_rels_by_id(graph, rel_type, src_label, dst_label, rows, src_on, dst_on, key_props, on_create, on_match, set_, order_by)
+    return graph, touched.drop("rel_id")
+
+
+def merge_rels_by_id(graph: Graph, rel_type: str, src_label: str, dst_label: str, rows: DataFrame,
+                     src_on: dict, dst_on: dict, key_props: dict | None = None,
+                     on_create: dict | None = None, on_match: dict | None = None, set_: dict | None = None,
+                     order_by: list[Column] | None = None) -> tuple[Graph, DataFrame]:
+    """``merge_rels`` whose touched relationships have their ``rel_id``."""
     key_props = key_props or {}
     on_create = dict(on_create or {})
     on_match = dict(on_match or {})
@@ -257,8 +266,8 @@ def merge_rels(graph: Graph, rel_type: str, src_label: str, dst_label: str, rows
     table, touched = upsert(cur, j, keys, on_create, on_match, order_by, null_safe=True)
     new_id = F.sha2(F.to_json(F.struct(*[F.col(k) for k in keys])), 256)
     if current is not None:
-        new_id, touched = F.coalesce("rel_id", new_id), touched.drop("rel_id")
-    table = table.select(new_id.alias("rel_id"), *[c for c in table.columns if c != "rel_id"])
+        new_id = F.coalesce("rel_id", new_id)
+    table, touched = (x.select(new_id.alias("rel_id"), *[c for c in x.columns if c != "rel_id"]) for x in (table, touched))
     return graph.with_rels(*rk, table), touched
 
 

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from trellis.catalog import Catalog
 from trellis.model import NODE_ID, Graph
-from trellis.operators.merge import _as_col, _endpoint, merge_nodes, merge_rels
-from trellis.session import cut_lineage
+from trellis.operators.merge import _as_col, _endpoint, merge_nodes, merge_rels_by_id
+from trellis.session import cut_lineage, stored
 from trellis.sources.csv import READ_OPTS
 
 
@@ -76,11 +76,10 @@ class RelMerge:
         if old is not None:
             ends = _endpoint(g, rows, self.src_label, self.src_on, "__src").select(F.col("__src").alias("src")).distinct()
             small = replace(g, rels={**g.rels, rk: old.join(ends, "src", "left_semi")})
-        after, touched = merge_rels(small, *rk, rows, self.src_on, self.dst_on, self.key_props, self.on_create, self.on_match, self.set_, order)
+        after, touched = merge_rels_by_id(small, *rk, rows, self.src_on, self.dst_on, self.key_props, self.on_create, self.on_match, self.set_, order)
         keys = ["src", "dst", *self.key_props]
-        met = touched.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-        touched = cut_lineage(after.rels[rk].join(met, same, "left_semi"))
+        touched = cut_lineage(touched.select(*after.rels[rk].columns))       # the merge runs once
         table = touched
         if old is not None:
             old = old.withColumn("rel_id", F.col("rel_id").cast("string"))
@@ -115,6 +114,7 @@ def stream_merge_parts(spark: SparkSession, folder: str, schema: T.StructType, c
             g = catalog.load(graph_name)
         except KeyError:
             g = Graph()
+        batch = stored(batch, "batch")                # every merge reads it; the files are parsed once
         touched: dict[tuple, tuple[DataFrame, list[str]]] = {}
         for m in merges:
             g, table, rows, keys = m.apply(g, batch, order)
