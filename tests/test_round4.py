@@ -82,6 +82,41 @@ def test_long_trails_are_dealt_by_their_number(spark, monkeypatch):
     assert P.spread(spark.range(10), 100, "id").rdd.getNumPartitions() == 50
 
 
+def test_rows_made_are_dealt_whatever_the_shuffle_partitions(spark, monkeypatch):
+    """Partitions of few bytes are put together again, so many of them do not bound what a task makes and reads."""
+    g = _graph(spark)
+    q = lambda: g.match("a", "A").var_hop("T", "x", "A", 1, 3, path="p")
+    cols = lambda m: (m.c("a").cast("string"), m.c("x").cast("string"), m.c("p").cast("string"))
+    want = rows((m := q()).df.select(*cols(m)))
+    n = spark.sparkContext.defaultParallelism + 1
+    kept = []
+    monkeypatch.setattr(P, "KEPT_A_TASK", 1)
+    cut = P.cut_lineage
+    monkeypatch.setattr(P, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert rows((m := q()).df.select(*cols(m))) == want and want
+        assert P.spread(spark.range(10), n * P.ROWS_A_TASK, "id").rdd.getNumPartitions() == n
+        assert len(kept) == 3          # relationships, trails of one and of two hops
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    from trellis.operators import ordered as O
+
+    n = 4 * (spark.sparkContext.defaultParallelism + 1)
+    df = spark.range(n).select(F.col("id"), (F.col("id") * 7 % 5).alias("u"))
+    want = rows(O.global_lag(df, ["id"], ["u"]))
+    ranged = []
+    cut = O.cut_lineage
+    monkeypatch.setattr(O, "cut_lineage", lambda x: ranged.append(cut(x)) or ranged[-1])
+    monkeypatch.setattr(O, "ROWS_A_RANGE", 2)
+    assert rows(O.global_lag(df, ["id"], ["u"])) == want
+    assert ranged[0].rdd.getNumPartitions() == n // 2
+
+
 def test_parts_are_parsed_once(spark, tmp_path):
     from trellis.sources import csv as C
 

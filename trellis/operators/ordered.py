@@ -16,11 +16,18 @@ from pyspark.sql.window import Window
 
 from trellis.session import cut_lineage
 
+ROWS_A_RANGE = 100_000     # rows that one range, and the task that reads it, has on average at most
+
 
 def global_lag(df: DataFrame, order: list[str], cols: list[str], n_ranges: int | None = None,
                prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` for every ``c`` in ``cols``: the value on the previous row by ``order``
-    (``order`` must be a total order, e.g. end with a unique id)."""
+    (``order`` must be a total order, e.g. end with a unique id).
+
+    Ranges are as many as keep each near ``ROWS_A_RANGE`` rows where these are more than the cores, else left to Spark."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if n_ranges is None and (needed := -(-df.count() // ROWS_A_RANGE)) > cores:
+        n_ranges = needed
 
     # the range id must be one fixed value per row for both uses below (AQE may
     # coalesce the range partitions differently in two plan branches), so the
@@ -28,7 +35,7 @@ def global_lag(df: DataFrame, order: list[str], cols: list[str], n_ranges: int |
     byrange = df.repartitionByRange(n_ranges, *order) if n_ranges else df.repartitionByRange(*order)
     ranged = cut_lineage(byrange.withColumn("_rng", F.spark_partition_id()))
     w = Window.partitionBy("_rng").orderBy(*order)
-    inner = ranged
+    inner = ranged.repartition(n_ranges, "_rng") if n_ranges and n_ranges > cores else ranged
     for c in cols + order:
         inner = inner.withColumn(f"_lag_{c}", F.lag(c).over(w))
     inner = inner.withColumn("_first", F.row_number().over(w) == 1)

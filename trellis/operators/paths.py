@@ -31,6 +31,7 @@ from trellis.session import bounded_count, cut_lineage, stored
 
 HUB = 100_000          # relationships of a node that one task joins
 ROWS_A_TASK = 1_000_000    # trails that one task makes
+KEPT_A_TASK = 250_000      # of shorter trails that are written and read again: a task reads what one has written
 
 
 class Edges:
@@ -153,19 +154,21 @@ def _trail_edges(graph: Graph, rel_type, near_labels: list[str], max_hops: int,
         F.col("b").cast("string").alias("b"), F.col("near_label").alias("near"), F.col("far_label").alias("far")) for x in parts]) if parts else None
 
 
-def spread(rows: DataFrame, made: int, *keys: str) -> DataFrame:
-    """``rows`` dealt by ``keys`` so that a task makes about ``ROWS_A_TASK`` of ``made`` rows; left alone where
-    the session's shuffles do that already."""
-    n = -(-made // ROWS_A_TASK)
-    return rows.repartition(n, *keys) if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+def spread(rows: DataFrame, made: int, *keys: str, a_task: int | None = None) -> DataFrame:
+    """``rows`` dealt by ``keys`` so that a task makes about ``a_task`` (``ROWS_A_TASK``) of ``made`` rows; left alone
+    where as many tasks as the cores make no more.  The session's shuffle partitions say nothing: those of few bytes
+    are put together, however many rows they make."""
+    n = -(-made // (a_task or ROWS_A_TASK))
+    return rows.repartition(n, *keys) if n > rows.sparkSession.sparkContext.defaultParallelism else rows
 
 
 def _made(left: DataFrame, at: list[str], right: DataFrame, on: list[str]) -> int:
-    """How many rows a join of the two makes; from counts a key, without making them."""
+    """How many rows a join of the two makes, a row of ``left`` that meets none counted as one; from counts a key,
+    without making them."""
     x = left.groupBy(*[F.col(c).alias(f"l{i}") for i, c in enumerate(at)]).agg(F.count("*").alias("nl"))
     y = right.groupBy(*[F.col(c).alias(f"r{i}") for i, c in enumerate(on)]).agg(F.count("*").alias("nr"))
     cond = reduce(lambda a, b: a & b, [F.col(f"l{i}") == F.col(f"r{i}") for i in range(len(at))])
-    return x.join(y, cond).agg(F.sum(F.col("nl") * F.col("nr")).alias("n")).first()["n"] or 0
+    return x.join(y, cond, "left").agg(F.sum(F.col("nl") * F.coalesce("nr", F.lit(1))).alias("n")).first()["n"] or 0
 
 
 def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list[str], min_hops: int,
@@ -179,8 +182,9 @@ def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list
     that ``starts`` may have.
 
     ``head`` and ``tail`` are frames to join with the trails and the conditions, on ``start`` and
-    ``start_label``, on ``cur`` and ``cur_label``.  The longest trails are most of the rows: they
-    meet ``head`` before their last hop and ``tail`` on its relationships, so they are never shuffled.
+    ``start_label``, on ``cur`` and ``cur_label``.  Trails of every length meet ``head`` before their
+    last hop and ``tail`` on its relationships, so the rows returned are never shuffled, and the shorter
+    trails that they are made from are dealt by the number of rows made.
 
     Output ``start, start_label, cur, cur_label, nodes, rels, hops[, carried]`` and the columns of both."""
     if max_hops is None:
@@ -216,29 +220,25 @@ def labelled_trails(graph: Graph, starts: DataFrame, rel_type, near_labels: list
     e = cut_lineage(e)          # every level joins it
     far = F.col("b") if len(labels) == 1 else F.struct(F.col("far").alias("label"), F.col("b").alias("id"))
 
-    def step(rows: DataFrame, edges: DataFrame, made: int) -> DataFrame:
+    def step(rows: DataFrame, edges: DataFrame, made: int, a_task: int | None = None) -> DataFrame:
         cond = reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in zip(at, on)])
         cols = {"cur": F.col("b"), "cur_label": F.col("far"), "nodes": F.concat(F.col("nodes"), F.array(far)),
                 "rels": F.concat(F.col("rels"), F.array(F.col("rel_id"))), "hops": F.col("hops") + 1}
         if carry:
             cols["carried"] = F.concat(F.col("carried"), F.array(F.col("pval")))
-        out = spread(rows, made, *at).join(edges, cond).where(~F.array_contains(F.col("rels"), F.col("rel_id")))
+        out = spread(rows, made, *at, a_task=a_task).join(edges, cond).where(~F.array_contains(F.col("rels"), F.col("rel_id")))
         more = [c for c in (*rows.columns, *edges.columns) if c not in own and c not in e.columns]
         return out.select(*[cols.get(c, F.col(c)).alias(c) for c in own], *more)
 
-    made = 0
+    last = e
+    if tail is not None:     # its condition names the trail's end
+        last = (e.select("*", F.col("b").alias("cur"), F.col("far").alias("cur_label")).join(tail[0], tail[1]).drop("cur", "cur_label"))
     for k in range(1, max_hops + 1):
-        if k > 1:
-            made = _made(frontier, at, e, on)
+        made = _made(frontier, at, e, on) if k > 1 else e.count()
+        if k >= min_hops:
+            levels.append(step(with_head(spread(frontier, made, "start")), last, made))
         if k < max_hops:
-            frontier = cut_lineage(step(frontier, e, made))
-            if k >= min_hops:
-                levels.append(with_tail(with_head(frontier)))
-            continue
-        last = e
-        if tail is not None:     # its condition names the trail's end
-            last = (e.select("*", F.col("b").alias("cur"), F.col("far").alias("cur_label")).join(tail[0], tail[1]).drop("cur", "cur_label"))
-        levels.append(step(with_head(spread(frontier, made, "start")), last, made))
+            frontier = cut_lineage(step(frontier, e, made, KEPT_A_TASK))
     return reduce(lambda x, y: x.unionByName(y), levels)
 
 
