@@ -568,6 +568,31 @@ def test_language_model_keeps_what_occurs_once(spark):
     assert [level.nodes[-1] for level in trie.levels] == [len(level) for level in plain.levels]
 
 
+def test_runs_are_ranked_like_unique():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for n, top in ((0, 9), (1, 9), (5000, 700), (5000, 2**50), (5000, 2**63)):      # the last does not fit beside the places
+        keys = rng.integers(0, top, n, dtype=np.uint64)
+        for got in (ngram_lm.distinct(keys, top), ngram_lm.ranked(keys)):
+            for a, b in zip(got, np.unique(keys, return_inverse=True)):
+                assert a.tolist() == b.tolist()
+
+
+def test_counting_reads_no_probabilities(spark, monkeypatch):
+    """Triples are counted from the nodes of pairs alone; scoring reads both levels."""
+    trie = ngram_lm.train(spark.createDataFrame([(1, "a b c d a b c e"), (2, "f g h")], "doc_id long, text string"))
+    whole = ngram_lm.look_up(trie, [b"a b c x", b"", b"a b a b c"])
+    monkeypatch.setattr(ngram_lm, "from_bytes", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ngram_lm.look_up(trie, [b"a b c"])
+    nodes = ngram_lm.look_up(trie, [b"a b c x", b"", b"a b a b c"], scored=False).nodes
+    assert [x.tolist() for x in nodes] == [x.tolist() for x in whole.nodes]
+    assert max(nodes[1]) >= 0
+    batch = ngram_lm.pa.RecordBatch.from_pydict({"text": ["a b c d", None]})
+    pairs = ngram_lm.Trie(trie.vocab, trie.first, trie.total, trie.levels[:1])
+    assert sum(len(ngram_lm._from_planes(c)) for b in ngram_lm._count_ngrams(pairs, 1)(iter([batch])) for c in b.column("counts").to_pylist()) > 0
+
+
 def test_packed_ngrams_above_32_bits_of_contexts():
     import numpy as np
     bits = ngram_lm.word_bits(100_000)

@@ -176,7 +176,7 @@ def to_bytes(p: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def from_bytes(codes: np.ndarray, step: float) -> np.ndarray:
-    return 10.0 ** (-step * codes.astype(np.float64))
+    return (10.0 ** (-step * np.arange(256.0)))[codes]
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -197,8 +197,8 @@ class Level:
     nodes: list[int]
     discount: float = 0.0
 
-    def find(self, context: np.ndarray, word: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each distinct (context, word), in order: node id (-1: none) and discounted probability."""
+    def find(self, context: np.ndarray, word: np.ndarray, n_words: int, scored: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Of each distinct (context, word), in order: node id (-1: none) and, if ``scored``, discounted probability."""
         node, p = np.full(len(context), -1, np.int64), np.zeros(len(context))
         for s, at, seg in self._split(context):
             rank = context[at] - self.contexts[s]
@@ -208,7 +208,8 @@ class Level:
             place = coded(self.files[s], "next_").find((rank * n_words + word[at]).astype(np.uint64), lo[inverse], hi[inverse])
             hit = place >= 0
             node[at][hit] = place[hit] + self.nodes[s]
-            p[at][hit] = from_bytes(seg["prob"][place[hit]], float(seg["steps"][0]))
+            if scored:
+                p[at][hit] = from_bytes(seg["prob"][place[hit]], float(seg["steps"][0]))
         return node, p
 
     def left_over(self, context: np.ndarray) -> np.ndarray:
@@ -278,30 +279,70 @@ class Line:
     lefts: list[np.ndarray]
 
 
-def look_up(trie: Trie, run: list[bytes]) -> Line:
-    """Walk the trie along all tokens of a run; each distinct n-gram is searched once."""
+def distinct(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct ``keys``, all at most ``most``, and the rank of each: places are sorted below the keys."""
+    bits = int(len(keys)).bit_length()
+    if most.bit_length() + bits > 64:                              # a very long text
+        return np.unique(keys, return_inverse=True)
+    both = np.sort((keys << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64))
+    at, keys = (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    rank = np.empty(len(keys), np.int64)
+    rank[at] = np.cumsum(new) - 1
+    return keys[new], rank
+
+
+def ranked(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes and the rank of each: grouped by hashing, as most words come often."""
+    groups = pa.array(h).dictionary_encode()
+    known = groups.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(known)
+    rank = np.empty(len(known), np.int64)
+    rank[order] = np.arange(len(known))
+    return known[order], rank[groups.indices.to_numpy(zero_copy_only=False)]
+
+
+def look_up(trie: Trie, run: list[bytes], scored: bool = True) -> Line:
+    """Walk the trie along all tokens of a run; each distinct n-gram is searched once.
+
+    Within a run, words and contexts go by their ranks among the distinct ones, in the order of the
+    trie's ids, so an n-gram and its place fit a number.  Without ``scored`` only nodes are looked up."""
     h, bounds = tokens(run)
-    known, inverse = np.unique(h, return_inverse=True)
-    ids, counts = trie.words(known)
-    ids, counts = ids[inverse], counts[inverse]
+    known, word = ranked(h)
+    word_ids, word_counts = trie.words(known)
+    ids, counts = word_ids[word], word_counts[word]
     place = np.arange(len(h)) - np.repeat(bounds[:-1], np.diff(bounds))
     nodes, probs, lefts = [], [], []
-    before = ids                                   # node of the context that ends at a token
-    bits = word_bits(trie.n_words)
+    before, before_ids = word, word_ids            # rank of the context that ends at a token; its node by rank
+    bits = np.uint64(word_bits(len(known)))
     for k, level in enumerate(trie.levels, start=1):
         node, p, left = np.full(len(h), -1, np.int64), np.zeros(len(h)), np.ones(len(h))
-        context = np.concatenate([[-1], before[:-1]])
-        with_context = np.flatnonzero((place >= k) & (context >= 0))
-        distinct, back = np.unique(context[with_context], return_inverse=True)
-        left[with_context] = level.left_over(distinct)[back]
-        both = with_context[ids[with_context] >= 0]
-        keys, back = np.unique(packed(context[both], ids[both], bits), return_inverse=True)
-        found, prob = level.find(context_of(keys, bits), word_of(keys, bits), trie.n_words)
-        node[both], p[both] = found[back], prob[back]
+        at = np.flatnonzero(place >= k)
+        rank = before[at - 1]
+        good = before_ids[rank] >= 0
+        if not scored:
+            good &= ids[at] >= 0
+        at, rank = at[good], rank[good]
+        keys, back = distinct(packed(rank, word[at], int(bits)), len(before_ids) << int(bits))
+        of, to = context_of(keys, int(bits)), word_ids[word_of(keys, int(bits))]
+        context = before_ids[of]
+        found, prob = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
+        both = np.flatnonzero(to >= 0)
+        found[both], prob[both] = level.find(context[both], to[both], trie.n_words, scored)
+        node[at] = found[back]
+        if scored:
+            new = np.ones(len(of), bool)
+            np.not_equal(of[1:], of[:-1], out=new[1:])
+            p[at] = prob[back]
+            left[at] = level.left_over(context[new])[np.cumsum(new) - 1][back]
         nodes.append(node)
         probs.append(p)
         lefts.append(left)
-        before = node
+        # tokens without a context at this level point at one more rank, which has no node
+        before = np.full(len(h), len(found))
+        before[at] = back
+        before_ids = np.append(found, -1)
     return Line(ids, counts, bounds, place, nodes, probs, lefts)
 
 
@@ -339,7 +380,7 @@ def _count_ngrams(trie: Trie, parts: int):
         pending = Pending(parts, spread=True)
         for b in batches:
             for _, texts in chunks(b.column("text").to_pylist(), RUN_BYTES):
-                line = look_up(trie, texts)
+                line = look_up(trie, texts, scored=False)
                 ends = line.nodes[-1] if k else line.ids           # n-grams of length k + 1 by their end
                 context = np.concatenate([[-1], ends[:-1]])
                 good = (line.place > k) & (context >= 0) & (ends >= 0)
