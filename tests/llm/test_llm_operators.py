@@ -578,6 +578,37 @@ def test_runs_are_ranked_like_unique():
                 assert a.tolist() == b.tolist()
 
 
+def test_elias_fano_searches_once_for_a_range(monkeypatch):
+    """Numbers of one range are looked for together: buckets are selected for a range and high part, not for each number."""
+    import numpy as np
+    from trellis.llm import elias_fano as ef
+    rng = np.random.default_rng(7)
+    for span, n, low in ((1 << 14, 40, 1), (50, 12, 1), (3, 2, 1), (1 << 30, 9, 4), (7, 7, 0), (300, 200, 1), (1 << 55, 2, 7)):  # of a range; numbers in it
+        ranges = 60
+        ranges = min(ranges, 2**62 // span)
+        least = np.arange(ranges, dtype=np.uint64) * np.uint64(span)
+        sizes = np.where(np.arange(ranges) % 7 == 3, 0, n)
+        own = [np.unique(rng.integers(0, span, k)).astype(np.uint64) + b if k else np.zeros(0, np.uint64) for k, b in zip(sizes, least)]
+        values = np.concatenate(own)
+        ends = np.cumsum([0, *map(len, own)])
+        code = ef.EliasFano(ef.encode(values, span * ranges))
+        assert code.low_bytes == low
+        assert code.get(np.arange(len(values))).tolist() == values.tolist()
+        asked = np.unique(np.concatenate([rng.choice(values, len(values) // 3), rng.integers(0, span * ranges, 200).astype(np.uint64), values[:1]]))
+        for x in (asked, asked[:1], asked[5::29], values):             # many of a range, few of a long one, all
+            which, back = np.unique((x // np.uint64(span)).astype(np.int64), return_inverse=True)
+            got = code.find(x, ends[which], ends[which + 1], back, least[which], least[which] + np.uint64(span - 1))
+            want = {v: i for i, v in enumerate(values.tolist())}
+            assert got.tolist() == [want.get(v, -1) for v in x.tolist()]
+    values = np.sort(rng.choice(1 << 16, 5000, replace=False)).astype(np.uint64)    # one range of 5000, then a far number
+    code = ef.EliasFano(ef.encode(np.append(values, np.uint64(1 << 36)), (1 << 36) + 1))
+    seen, select = [], ef.EliasFano._select
+    monkeypatch.setattr(ef.EliasFano, "_select", lambda self, k, ones: seen.append(len(k)) or select(self, k, ones))
+    ask = lambda x: code.find(x, np.array([0]), np.array([5000]), np.zeros(len(x), np.int64), np.zeros(1, np.uint64), np.array([(1 << 16) - 1], np.uint64))
+    assert ask(values).tolist() == list(range(5000)) and ask(values[4321:4322]).tolist() == [4321]
+    assert sum(seen) == 0
+
+
 def test_counting_reads_no_probabilities(spark, monkeypatch):
     """Triples are counted from the nodes of pairs alone; scoring reads both levels."""
     trie = ngram_lm.train(spark.createDataFrame([(1, "a b c d a b c e"), (2, "f g h")], "doc_id long, text string"))

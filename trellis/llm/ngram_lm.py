@@ -49,7 +49,7 @@ FOLDS = 7
 HELD_OUT = 2
 ORDER = 3
 MIN_COUNT = 1
-RUN_BYTES = 2_000_000         # text a task counts at once
+RUN_BYTES = 3_000_000         # text a task counts at once
 FLUSH = 500_000               # distinct n-grams a task holds before it sends them
 PART_TOKENS = 6_000_000       # tokens whose n-grams one part, or one segment, has on average at most
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -205,7 +205,9 @@ class Level:
             new = np.concatenate([[True], rank[1:] != rank[:-1]])
             ptr, inverse = rank[new], np.cumsum(new) - 1
             lo, hi = coded(self.files[s], "ptr_").ranges(ptr)
-            place = coded(self.files[s], "next_").find((rank * n_words + word[at]).astype(np.uint64), lo[inverse], hi[inverse])
+            least = (ptr * n_words).astype(np.uint64)
+            place = coded(self.files[s], "next_").find((rank * n_words + word[at]).astype(np.uint64), lo, hi, inverse,
+                                                       least, least + np.uint64(n_words - 1))
             hit = place >= 0
             node[at][hit] = place[hit] + self.nodes[s]
             if scored:
@@ -275,7 +277,7 @@ class Line:
     bounds: np.ndarray
     place: np.ndarray           # of a token in its text
     nodes: list[np.ndarray]     # by level from 2: node of the n-gram that ends at a token
-    probs: list[np.ndarray]
+    probs: list[np.ndarray]     # the same, if scored
     lefts: list[np.ndarray]
 
 
@@ -317,7 +319,6 @@ def look_up(trie: Trie, run: list[bytes], scored: bool = True) -> Line:
     before, before_ids = word, word_ids            # rank of the context that ends at a token; its node by rank
     bits = np.uint64(word_bits(len(known)))
     for k, level in enumerate(trie.levels, start=1):
-        node, p, left = np.full(len(h), -1, np.int64), np.zeros(len(h)), np.ones(len(h))
         at = np.flatnonzero(place >= k)
         rank = before[at - 1]
         good = before_ids[rank] >= 0
@@ -330,15 +331,19 @@ def look_up(trie: Trie, run: list[bytes], scored: bool = True) -> Line:
         found, prob = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
         both = np.flatnonzero(to >= 0)
         found[both], prob[both] = level.find(context[both], to[both], trie.n_words, scored)
+        node = np.full(len(h), -1, np.int64)
         node[at] = found[back]
+        nodes.append(node)
         if scored:
+            p, left = np.zeros(len(h)), np.ones(len(h))
             new = np.ones(len(of), bool)
             np.not_equal(of[1:], of[:-1], out=new[1:])
             p[at] = prob[back]
             left[at] = level.left_over(context[new])[np.cumsum(new) - 1][back]
-        nodes.append(node)
-        probs.append(p)
-        lefts.append(left)
+            probs.append(p)
+            lefts.append(left)
+        if k == len(trie.levels):
+            break
         # tokens without a context at this level point at one more rank, which has no node
         before = np.full(len(h), len(found))
         before[at] = back
