@@ -11,7 +11,7 @@ from llm_cases import SCHEMA, SF, SPACE, edge_rows, lower_az, table_dir, words
 from pyspark.sql import functions as F
 
 from trellis.llm import conversation_repair, minhash_dedup, queries, spelling
-from trellis.llm.common import table
+from trellis.llm.common import store, table
 
 Q, _ = queries.load()
 TALK = "conv_id long, turn long, role string, text string"
@@ -328,3 +328,41 @@ def test_rule_posterior_equals_plain_em(spark):
     assert all(got[i]["kept"] == (not got[i]["base_failed"] and p >= quality_rules.THRESHOLD) for i, p in want.items() if abs(p - 0.5) > 1e-2)
     kept = {r["doc_id"] for r in quality_rules.keep_good(docs).collect()}
     assert kept == {i for i, r in got.items() if r["kept"]}
+
+
+# -- memory of a task
+
+def test_scratch_is_written_in_small_row_groups(spark):
+    """A task holds one row group in memory: sets of long texts do not fill it up to 128 MB."""
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    def sets(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for n in b.column("id").to_pylist():
+                items = np.random.default_rng(n).integers(0, 2**63, 125_000).tobytes()
+                yield pa.RecordBatch.from_pydict({"doc_id": [n], "items": [items]})
+
+    frame = store(spark.range(60).coalesce(1).mapInArrow(sets, "doc_id long, items binary"), "long-sets")
+    groups = []
+    for path in frame.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+        groups += [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert sum(groups) > 60_000_000 and max(groups) < 32_000_000
+    got = frame.collect()
+    assert len(got) == 60 and all(r["items"] == np.random.default_rng(r["doc_id"]).integers(0, 2**63, 125_000).tobytes() for r in got)
+
+
+def test_parquet_is_read_in_small_batches_unless_the_session_says_otherwise(spark, tmp_path):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    path = table_dir(spark, str(tmp_path), spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("4096", "512"), ("1000", "1000")):
+            spark.conf.set(name, given)
+            table(spark, path, "documents")
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
